@@ -111,6 +111,7 @@ class ByteBPE:
         self.known: dict[str, str] = {}
         self.runs: dict[str, str] = {}
         self.bytes_of = Remembered(self.decode, limit)
+        self.limit = limit
 
     def _index(self, keys: np.ndarray, made: np.ndarray) -> None:
         self.slots, self.found = np.full(1 << 22, -1, np.int64), np.full(1 << 22, NONE, np.int32)
