@@ -6,13 +6,25 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tremor.llm import bpe, compression, piece_count
+from tremor.llm import bpe, compression, mixing, ngram_join, piece_count, quality_lr, sharding
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.plan(table(spark, sf_dir, "documents")).drop("h")
+
+
+def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.components(table(spark, sf_dir, "documents"))
+
+
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_lr.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"))
 
@@ -21,12 +33,16 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_count.token_counts(table(spark, sf_dir, "documents"))
 
 
+def op8_best_fit_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign_shards(table(spark, sf_dir, "documents"))
+
+
 def op10_compression_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compression.compression_rules(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op6_bpe_round_trip, op7_token_counts, op10_compression_rules)}
+    return {f.__name__: f for f in (op2_source_mixing, op3_ngram_jaccard_join, op4_quality_classifier, op6_bpe_round_trip, op7_token_counts, op8_best_fit_shards, op10_compression_rules)}
 
 
 #: DuckDB SQL of those queries that SQL can express.
