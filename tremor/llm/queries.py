@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import importlib.util
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tremor.llm import bpe, compression, mixing, ngram_join, piece_count, quality_lr, sharding
+from tremor.llm import bpe, compression, line_dedup, mixing, ngram_join, piece_count, quality_lr, sharding
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,12 +38,22 @@ def op8_best_fit_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(table(spark, sf_dir, "documents"))
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+    return found.selectExpr("doc_id", "_lines as n_lines", "_exact as n_exact_dropped", "_near as n_near_dropped", "_kept as kept_text")
+
+
 def op10_compression_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compression.compression_rules(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_source_mixing, op3_ngram_jaccard_join, op4_quality_classifier, op6_bpe_round_trip, op7_token_counts, op8_best_fit_shards, op10_compression_rules)}
+    found = {f.__name__: f for f in (op2_source_mixing, op3_ngram_jaccard_join, op4_quality_classifier, op6_bpe_round_trip, op7_token_counts, op8_best_fit_shards, op9_line_dedup, op10_compression_rules)}
+    if importlib.util.find_spec("corpus_pipeline") is not None:
+        from corpus_pipeline import run
+
+        found["pipeline"] = run
+    return found
 
 
 #: DuckDB SQL of those queries that SQL can express.
