@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import importlib.util
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -48,12 +47,7 @@ def op10_compression_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = {f.__name__: f for f in (op2_source_mixing, op3_ngram_jaccard_join, op4_quality_classifier, op6_bpe_round_trip, op7_token_counts, op8_best_fit_shards, op9_line_dedup, op10_compression_rules)}
-    if importlib.util.find_spec("corpus_pipeline") is not None:
-        from corpus_pipeline import run
-
-        found["pipeline"] = run
-    return found
+    return {f.__name__: f for f in (op2_source_mixing, op3_ngram_jaccard_join, op4_quality_classifier, op6_bpe_round_trip, op7_token_counts, op8_best_fit_shards, op9_line_dedup, op10_compression_rules)}
 
 
 #: DuckDB SQL of those queries that SQL can express.
