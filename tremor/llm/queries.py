@@ -6,13 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tremor.llm import bpe, compression, line_dedup, mixing, ngram_join, piece_count, quality_lr, sharding
+from tremor.llm import ann_graph, bpe, compression, line_dedup, mixing, ngram_join, piece_count, quality_lr, sharding, substring
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.plan(table(spark, sf_dir, "documents")).drop("h")
 
@@ -25,6 +29,10 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_lr.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann_graph.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op6_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"))
 
@@ -47,7 +55,7 @@ def op10_compression_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_source_mixing, op3_ngram_jaccard_join, op4_quality_classifier, op6_bpe_round_trip, op7_token_counts, op8_best_fit_shards, op9_line_dedup, op10_compression_rules)}
+    return {f.__name__: f for f in (op1_substring_dedup, op2_source_mixing, op3_ngram_jaccard_join, op4_quality_classifier, op5_embedding_near_dedup, op6_bpe_round_trip, op7_token_counts, op8_best_fit_shards, op9_line_dedup, op10_compression_rules)}
 
 
 #: DuckDB SQL of those queries that SQL can express.
