@@ -23,7 +23,7 @@ link is lost. Candidates are verified by exact intersection.
 Documents of one signature are compared without forming all their pairs: each
 with the least of them, then, only where that leaves them in different
 components and the triangle inequality of the Jaccard distance permits a link,
-with one another, round by round.
+with 8, 64, 512, ... of the others, until one component or none is left.
 """
 
 from __future__ import annotations
@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from tremor.llm._text import as_bytes, mix, shingles, slices, to_signed
 from tremor.operators.components import connected_components
-from tremor.session import materialize, remove
+from tremor.session import materialize
 
 #: Similarity as a fraction: 80 of 100.
 PERCENT, WIDTH = 80, 5
@@ -249,48 +249,53 @@ def components(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH, text
     shared = shared.join(same, "doc", "left").select("key", F.coalesce("r", "doc").alias("doc")).distinct()
     sizes = whole.groupBy("doc").agg(F.max("n").alias("n"))
     shared = materialize(shared.join(sizes, "doc"), "join-shared")
-    links = same.select(F.col("doc").alias("a"), F.col("r").alias("b"))
-    done = None  # verified pairs with their distance
-    active = shared
+    equal = same.select(F.col("doc").alias("a"), F.col("r").alias("b"))
+    near = (100 - percent) / 100 + 1e-9
+    # First every document of a signature against the least one, or all pairs where they are few.
+    per = shared.groupBy("key").agg(F.count("*").alias("c"), F.min(F.struct("doc", "n")).alias("s")).where("c > 1")
+    few = shared.join(per.where(f"c <= {AT_ONCE}").select("key"), "key")
+    many = shared.join(per.where(f"c > {AT_ONCE}").select("key", F.col("s.doc").alias("rep"), F.col("s.n").alias("rn")), "key").where("doc <> rep")
+    x, y = few.alias("x"), few.alias("y")
+    pairs = x.join(y, F.expr("x.key = y.key and x.doc < y.doc")).select(F.col("x.doc").alias("a"), F.col("y.doc").alias("b"), F.col("x.n").alias("na"), F.col("y.n").alias("nb"))
+    pairs = pairs.union(many.select("rep", "doc", "rn", "n"))
+    done = _compare(texts, pairs, percent, width)
+    reach = materialize(connected_components(equal.union(done.where("link").select("a", "b"))), "join-reach")
+    # Then, where a signature of many documents still holds several components, more and more
+    # of its documents against the others, so far as they are not connected and their distances
+    # from the least one leave a link possible.
+    told = done.select(F.col("a").alias("rep"), F.col("b").alias("doc"), F.expr("1 - both / (na + nb - both)").alias("d"))
+    active = materialize(many.join(told, ["rep", "doc"], "left").select("key", "doc", "n", "d"), "join-active")
+    reps = 1
     while True:
-        per = active.groupBy("key").agg(F.count("*").alias("c"), F.min("doc").alias("rep"), F.min(F.struct("doc", "n")).alias("s")).where("c > 1")
-        few = active.join(per.where(f"c <= {AT_ONCE}").select("key"), "key")
-        many = active.join(per.where(f"c > {AT_ONCE}").select("key", "rep", F.col("s.n").alias("rn")), "key")
-        x, y = few.alias("x"), few.alias("y")
-        pairs = x.join(y, F.expr("x.key = y.key and x.doc < y.doc")).select(F.col("x.doc").alias("a"), F.col("y.doc").alias("b"), F.col("x.n").alias("na"), F.col("y.n").alias("nb"))
-        pairs = pairs.union(many.where("doc <> rep").select("rep", "doc", "rn", "n"))
-        # Sizes too far apart cannot link.
-        pairs = pairs.where(f"100 * least(na, nb) >= {percent} * greatest(na, nb)").select("a", "b").distinct()
-        if done is not None:
-            pairs = pairs.join(done.select("a", "b"), ["a", "b"], "left_anti")
-        checked = _distances(texts, materialize(pairs, "join-pairs"), width)
-        checked = materialize(checked.withColumn("link", F.expr(f"100 * both >= {percent} * (na + nb - both)")), "join-done")
-        done = checked if done is None else materialize(done.union(checked), "join-done")
-        links = same.select(F.col("doc").alias("a"), F.col("r").alias("b")).union(done.where("link").select("a", "b"))
-        reach = materialize(connected_components(links), "join-reach")
-        # Go on with signatures of many documents: without the least one, and without those that can link with nothing left.
-        if many.limit(1).count() == 0:
-            break
-        left = many.where("doc <> rep").select("key", "doc", "n", "rep", "rn")
-        d = done.select(F.col("a").alias("rep"), F.col("b").alias("doc"), F.expr("1 - both / (na + nb - both)").alias("d"), "link")
-        left = left.join(d, ["rep", "doc"], "left")
-        # Not compared: sizes too far apart; a lower bound of the distance is 1 - smaller / larger size.
-        left = left.withColumn("d", F.coalesce("d", F.expr("1 - least(n, rn) / greatest(n, rn)"))).withColumn("link", F.coalesce("link", F.lit(False)))
-        left = left.withColumn("measured", F.expr(f"100 * least(n, rn) >= {percent} * greatest(n, rn)"))
-        # The nearest of those without a link; unmeasured ones may be as near as their sizes permit.
-        near = left.where("not link").groupBy("key").agg(F.min("d").alias("nearest"))
-        left = left.join(near, "key").where(f"not link or nearest - d <= {(100 - percent) / 100} + 1e-9")
-        left = left.join(reach, left["doc"] == reach["node"], "left").withColumn("k", F.coalesce("component", "doc"))
-        mixed = left.groupBy("key").agg(F.min("k").alias("k0"), F.max("k").alias("k1")).where("k0 <> k1").select("key")
-        active = materialize(left.select("key", "doc", "n").join(mixed, "key"), "join-active")
-        if active.limit(1).count() == 0:
+        reps *= 8
+        active = active.drop("k").join(reach, active["doc"] == reach["node"], "left").withColumn("k", F.coalesce("component", "doc")).select("key", "doc", "n", "d", "k")
+        mixed = active.groupBy("key").agg(F.min("k").alias("k0"), F.max("k").alias("k1")).where("k0 <> k1").select("key")
+        active = active.join(mixed, "key").withColumn("place", F.expr("row_number() over (partition by key order by doc)"))
+        active = materialize(active, "join-active")
+        if not _any(active):
             break
+        x, y = active.where(f"place <= {reps}").alias("x"), active.alias("y")
+        open_ = f"x.key = y.key and x.place < y.place and x.k <> y.k and coalesce(abs(x.d - y.d) <= {near}, true)"
+        pairs = x.join(y, F.expr(open_)).select(F.col("x.doc").alias("a"), F.col("y.doc").alias("b"), F.col("x.n").alias("na"), F.col("y.n").alias("nb"))
+        more = _compare(texts, pairs, percent, width, done)
+        done = materialize(done.union(more), "join-done")
+        reach = materialize(connected_components(equal.union(done.where("link").select("a", "b"))), "join-reach")
+        active = active.where(f"place > {reps}").drop("place")
     out = whole.join(reach, whole["doc"] == reach["node"], "left")
     out = out.select(F.col("doc").alias("doc_id"), F.col("n").cast("long").alias("n_shingles"), F.coalesce("component", "doc").alias("component_id"))
     bare = anonymous.mapInArrow(_emit(percent, width), "key long, doc long, n int, whole boolean").where("whole")
     return out.union(bare.select(F.lit(None).cast("long"), F.col("n").cast("long"), F.lit(None).cast("long"))) if _any(anonymous) else out
 
 
+def _compare(texts: DataFrame, pairs: DataFrame, percent: int, width: int, done: DataFrame | None = None) -> DataFrame:
+    """``a, b, both, na, nb, link`` of the distinct pairs whose sizes permit a link and that aren't done yet."""
+    pairs = pairs.where(f"100 * least(na, nb) >= {percent} * greatest(na, nb)").select("a", "b").distinct()
+    if done is not None:
+        pairs = pairs.join(done.select("a", "b"), ["a", "b"], "left_anti")
+    checked = _distances(texts, materialize(pairs, "join-pairs"), width)
+    return materialize(checked.withColumn("link", F.expr(f"100 * both >= {percent} * (na + nb - both)")), "join-done")
+
+
 def _any(df: DataFrame) -> bool:
     return df.limit(1).count() > 0
 
