@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tremor.operators import catalog, clusters, pairs, picks, windows
+from tremor.operators import catalog, clusters, density, locate, pairs, picks, windows
+from tremor.plans import pipeline
 from tremor.plans.fixtures import ZONES, view, with_views, zones
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -339,3 +340,41 @@ def pick_report(spark, d):
 def scatter_barycenter(spark, d):
     s = catalog.scatter_summary(view(spark, d, "fx_scatter"))
     return s.withColumns({c: F.round(c, 6) for c in ("best_latitude", "best_longitude", "best_depth")})
+
+
+# Operators that SQL doesn't express: each runs over all picks, in windows of a day.
+
+
+def _daily(spark: SparkSession, d: str) -> DataFrame:
+    return windows.assign(located_picks(spark, d), DAY, 60.0)
+
+
+@query()
+def hdbscan_labels(spark, d):
+    return density.cluster_windows(_daily(spark, d), 5.0, 8)
+
+
+@query()
+def window_merge(spark, d):
+    return pipeline.merge_labels(hdbscan_labels(spark, d), located_picks(spark, d), 2)
+
+
+def _clusters(spark, d):
+    rows = located_picks(spark, d)
+    return clusters.observations(pipeline.merge_labels(hdbscan_labels(spark, d), rows, 6).join(rows, "pick_ord"))
+
+
+@query()
+def locate_origins(spark, d):
+    return locate.locate_clusters(_clusters(spark, d)).drop("arrivals")
+
+
+@query()
+def associate_events(spark, d):
+    return locate.associate_clusters(_clusters(spark, d), locate.AssociatorSettings(tolerance=60.0))
+
+
+@query()
+def detect_events(spark, d):
+    s = pipeline.Settings(time_window=DAY, min_stations=3)
+    return pipeline.run(view(spark, d, "fx_picks"), view(spark, d, "fx_stations"), s)["events"].drop("arrivals")
