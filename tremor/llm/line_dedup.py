@@ -7,13 +7,12 @@ white space doesn't count; lines without words always stay.
 
 Lines at distance one share a deletion variant: a line less one word. Emitting
 every such variant of every line would be one row per word of the corpus, so
-the join runs twice. First over coarse symbols: a line is cut after words
-whose hash says so (about every n/6 words, so an edit moves no other cut), and
-its variants are the line less one piece or less two adjacent pieces, since a
-word's edit changes one piece or joins or splits two. Lines with too few
-pieces emit their word variants at once. Then, for the lines that share a
-coarse variant with another, over words. A word variant that keeps the place
-of the missing word proves the distance: equal rest and equal place is a
+the join runs twice. First lines meet that could be at distance one at all: an
+edit leaves the first or the last half of a line as it was, so two keys a line
+(its first and its last m words, m a power of two of about a third of the
+line) lose none. Then the lines that share a key with a different line emit
+all their deletion variants, and equal variants join. A variant that keeps the
+place of the missing word proves the distance: equal rest and equal place is a
 substitution, rest equal to a whole line is an insertion. Keys are 64-bit
 hashes of the words.
 """
@@ -96,50 +95,32 @@ class Lines:
         at = self.start[of] + place
         return of, place, self.without(of, at, at + 1)
 
-    def coarse_variants(self, line: np.ndarray, every: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Line and key of each coarse variant, where words whose hash is 0 modulo ``every`` (per line) end a piece."""
-        if not len(line):
-            return line, np.zeros(0, np.uint64)
-        n = self.size[line]
-        of = np.repeat(np.arange(len(line)), n)
-        at = np.repeat(self.start[line] - (np.cumsum(n) - n), n) + np.arange(len(of))
-        last = at == self.end[line][of] - 1
-        cut = ((mix(self.words[at]) & (every[of] - 1).astype(np.uint64)) == 0) | last
-        piece_line, piece_end = of[cut], at[cut] + 1
-        first = np.append(True, piece_line[1:] != piece_line[:-1])
-        piece_start = np.where(first, self.start[line][piece_line], np.append(0, piece_end[:-1]))
-        pieces = np.bincount(piece_line, minlength=len(line))
-        many = pieces[piece_line] >= 3
-        pair = many[:-1] & (piece_line[1:] == piece_line[:-1])
-        out_line = [line[piece_line[many]], line[piece_line[:-1][pair]]]
-        out_key = [
-            self.without(out_line[0], piece_start[many], piece_end[many]),
-            self.without(out_line[1], piece_start[:-1][pair], piece_end[1:][pair]),
-        ]
-        few = line[pieces <= 3]
-        if len(few):
-            of, _, key = self.word_variants(few)
-            out_line += [few, of]
-            out_key += [self.whole[few], key]
-        return np.concatenate(out_line), np.concatenate(out_key)
-
     def near_keys(self, line: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Line and key of all first-round variants of the given lines (MIN_WORDS words or more)."""
-        out = []
+        """Line and key of the first-round keys of the given lines (MIN_WORDS words or more).
+
+        With ``m = 2**(k - 1)`` for lines of ``2**k`` words or more, an edit
+        at place e leaves the first m words if e >= m, else the last m. A
+        partner one word shorter or longer may be of another k, so lines at
+        the border of two use both.
+        """
         n = self.size[line]
-        size_class = np.floor(np.log2(np.maximum(n, 1))).astype(np.int64)
-        for shift in (0, -1, 1):  # a partner one word shorter or longer may be of another size class
-            k = np.floor(np.log2(np.maximum(n + shift, 1))).astype(np.int64)
-            use = np.ones(len(line), bool) if shift == 0 else k != size_class
-            if use.any():
-                out.append(self.coarse_variants(line[use], np.int64(1) << np.maximum(k[use] - 2, 0)))
-        return np.concatenate([x for x, _ in out]), np.concatenate([x for _, x in out])
+        out_line, out_key = [], []
+        k = np.floor(np.log2(n)).astype(np.int64)
+        for shift in (0, -1, 1):
+            other = np.floor(np.log2(n + shift)).astype(np.int64)
+            use = np.ones(len(line), bool) if shift == 0 else other != k
+            at, m = line[use], np.int64(1) << (other[use] - 1)
+            s, e = self.start[at], self.end[at]
+            for side, (a, b) in enumerate(((s, s + m), (e - m, e))):
+                out_line.append(at)
+                out_key.append(mix(self._name((self.sums[b] - self.sums[a]) * self.down[a], m) + np.uint64(side + 1)))
+        return np.concatenate(out_line), np.concatenate(out_key)
 
 
 def _emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Lines and variants of a slice of texts; of equal lines in the slice only the first goes on, the others are gone."""
     with np.errstate(over="ignore"):
-        for part in slices(batches, 1024):
+        for part in slices(batches, 512):
             h, doc, th, no, found = [], [], [], [], []
             for i, t, x in zip(part["i"], part["t"], part["h"], strict=True):
                 lines = Lines(t)
