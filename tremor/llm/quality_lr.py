@@ -28,6 +28,8 @@ FOLDS, HELD_OUT = 5, 0
 SCHEMA = "doc_id long, held_out boolean, score double, predicted int"
 _TOKENS = re.compile(r"\w+|[^\w\s]+").findall
 _HASH = Remembered(lambda w: xxhash.xxh3_64_intdigest(w.encode()))
+#: A word after itself is one pair whatever the word: most words are too rare to learn their own.
+_AGAIN = np.uint64(0x5851F42D4C957F2D)
 
 
 def features(text: str, bits: int = BITS) -> np.ndarray:
@@ -37,10 +39,11 @@ def features(text: str, bits: int = BITS) -> np.ndarray:
         return np.zeros(0, np.int64)
     h = np.fromiter(map(_HASH.__getitem__, words), np.uint64, len(words))
     pair = (h[:-1] * np.uint64(0x9E3779B97F4A7C15)) ^ (h[1:] * np.uint64(0xC2B2AE3D27D4EB4F))
+    pair[h[:-1] == h[1:]] = _AGAIN
     return (np.concatenate([h, pair]) >> np.uint64(64 - bits)).astype(np.int64)
 
 
-def train(rows: list[tuple[np.ndarray, np.ndarray, int]], bits: int = BITS, epochs: int = 3, alpha: float = 0.2, beta: float = 1.0, l1: float = 0.02, l2: float = 1.0) -> np.ndarray:
+def train(rows: list[tuple[np.ndarray, np.ndarray, int]], bits: int = BITS, epochs: int = 5, alpha: float = 0.5, beta: float = 1.0, l1: float = 0.0, l2: float = 1.0) -> np.ndarray:
     """FTRL-proximal (McMahan et al., 2013) over ``(features, values, label)``; the last weight is the bias.
 
     Without rows the weights are zero and every score is a half.
