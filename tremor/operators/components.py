@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tremor.session import materialize, remove
+from tremor.session import materialize, materialize_with, remove
 
 
 def connected_components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
@@ -20,8 +20,12 @@ def connected_components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
     """
     e = edges.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b"))
     e = e.where("a is not null and b is not null and a <> b")
-    e = materialize(e.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "cc")
+    # Count and checksum tell whether a round has changed anything, without a job of their own.
+    state = F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")
+    e, before = materialize_with(e.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "cc", *state)
     for _ in range(max_rounds):
+        if not before["n"]:
+            break
         # Large star: every neighbour above a node goes to the node's smallest neighbour.
         both = e.union(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
@@ -31,12 +35,12 @@ def connected_components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         small = small.union(low.select("a", F.col("m").alias("b"))).where("a <> b").distinct()
-        small = materialize(small, "cc")
-        same = small.count() == e.count() and small.join(e, ["a", "b"], "left_anti").limit(1).count() == 0
+        small, after = materialize_with(small, "cc", *state)
         remove(e.sparkSession, e, large)
         e = small
-        if same:
+        if after == before:
             break
+        before = after
     else:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     return e.select(F.col("a").alias("node"), F.col("b").alias("component")).union(e.select("b", "b").distinct())

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 
 def local_session(cpus: int = 8, partitions: int | None = None, memory: str = "8g") -> SparkSession:
@@ -49,10 +49,16 @@ def materialize(df: DataFrame, label: str = "t") -> DataFrame:
     The result depends on the written files only, so lost executors cost no
     recomputation of what lies before.
     """
+    return materialize_with(df, label)[0]
+
+
+def materialize_with(df: DataFrame, label: str, *measures: Column) -> tuple[DataFrame, dict]:
+    """As :func:`materialize`, with aggregates that are taken while the rows are written."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/tremor/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    seen = Observation() if measures else None
+    (df.observe(seen, *measures) if measures else df).write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), seen.get if measures else {}
 
 
 def remove(spark: SparkSession, *tables: DataFrame) -> None:
