@@ -70,3 +70,28 @@ def test_catalog_round_trip(spark, tmp_path):
 def test_config(tmp_path):
     (tmp_path / "c.yml").write_text("a: &x /data\nb: !join [*x, /picks, .csv]\n")
     assert catalog_xml.read_config(tmp_path / "c.yml")["b"] == "/data/picks.csv"
+
+
+def test_inventory_and_formats(spark, tmp_path):
+    (tmp_path / "inv.xml").write_text('<FDSNStationXML xmlns="x"><Network code="N"><Station code="A"><Latitude>1</Latitude><Longitude>2</Longitude><Elevation>3</Elevation><Channel code="HHZ" startDate="2020-01-01T00:00:00"><Latitude>1.5</Latitude><Longitude>2.5</Longitude><Elevation>3.5</Elevation></Channel></Station><Station code="B"><Latitude>4</Latitude><Longitude>5</Longitude><Elevation>6</Elevation></Station></Network></FDSNStationXML>')
+    rows = {r.station: (r.channel, r.latitude) for r in catalog_xml.read_inventory(spark, str(tmp_path / "inv.xml")).collect()}
+    assert rows == {"A": ("HHZ", 1.5), "B": (None, 4.0)}
+    catalog_xml.write_events(spark.range(3), str(tmp_path / "j"), "json")
+    assert spark.read.json(str(tmp_path / "j")).count() == 3
+    with pytest.raises(ValueError):
+        catalog_xml.write_events(spark.range(3), str(tmp_path / "k"), "other")
+    assert catalog_xml.render("a {X} b", {"{X}": "1"}) == "a 1 b"
+
+
+def test_stream(spark, tmp_path):
+    from tremor.streaming.incremental import clean_stream, window_counts
+
+    rows = spark.sql("select 'N.A.00' as station_id, 'P' as phase_type, timestamp_seconds(1000 + id div 2 * 10) as phase_time, 0.9D as phase_score from range(40)")
+    rows.write.parquet(str(tmp_path / "in"))
+    source = lambda: spark.readStream.schema(rows.schema).parquet(str(tmp_path / "in"))
+    for name, df, mode in (("cleaned", clean_stream(source()), "append"), ("counted", window_counts(source(), "1 minute"), "complete")):
+        q = df.writeStream.format("memory").queryName(name).outputMode(mode).option("checkpointLocation", str(tmp_path / name)).start()
+        q.processAllAvailable()
+        q.stop()
+    assert spark.table("cleaned").count() == 20
+    assert spark.sql("select sum(n_picks) from counted").first()[0] == 40

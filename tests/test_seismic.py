@@ -170,3 +170,24 @@ def test_dropped_picks_hand_over_their_arrivals(spark):
     arrivals = frame(spark, [(1,), (2,), (3,), (4,)], "pick_id long")
     assert {r.pick_id for r in kept.collect()} == {1, 4}
     assert sorted(r.pick_id for r in catalog.remap_arrivals(arrivals, moved).collect()) == [1, 1, 1, 4]
+
+
+def test_relocation_and_origin_filters(spark):
+    rows = [r for r in two_quakes() if r[6] == 0]
+    arrivals = frame(spark, [(1, r[0], r[1], r[2].lower(), round(1704067200e6 + r[3] * 1e6), 1.0 if r[0] else 0.0) for r in rows], "event_id long, ord int, station string, phase string, us long, time_weight double").withColumn("pick_time", F.timestamp_micros("us"))
+    stations = frame(spark, list({(r[1], float(r[4]), float(r[5])) for r in rows}), "station string, latitude double, longitude double")
+    got = locate.relocate(arrivals, stations, [1]).where("pass = 1").collect()
+    assert len(got) == 1 and len(got[0].arrivals) == len(rows) - 1
+    assert float(vincenty_km([got[0].latitude], [got[0].longitude], [44.1], [3.1])[0]) < 5
+    assert locate.relocate(arrivals, stations, [2]).count() == 0
+    origins = frame(spark, [(1, 1.0, "LOCATED"), (2, float("nan"), "LOCATED"), (3, 1.0, "Aborted"), (4, 1.0, None)], "event_id long, e double, status string")
+    assert {r.event_id for r in catalog.sound_origins(origins, ["e"], "status").collect()} == {1, 4}
+    assert {r.agency for r in catalog.stamped(origins, agency="XX").collect()} == {"XX"}
+
+
+def test_window_merges(spark):
+    rows = [(0, 0, 1, "a"), (0, 1, 2, "a"), (0, 1, 3, "b"), (0, 2, 4, "b"), (0, -1, 5, None), (1, 0, 6, None)]
+    df = frame(spark, rows, "window_id long, label int, pick_ord long, eventid string")
+    got = {r.pick_ord: r.label for r in clusters.merge_windows_by_eventid(df).collect()}
+    assert got == {1: 0, 2: 0, 3: 0, 4: 1, 5: -1, 6: 0}
+    assert {r.pick_ord: r.label for r in clusters.merge_windows_to_fixpoint(df, 2).where("window_id = 0").collect()} == {1: 0, 2: 0, 3: 0, 4: 0}

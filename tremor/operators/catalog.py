@@ -201,3 +201,21 @@ def scatter_summary(cloud: DataFrame) -> DataFrame:
     best = cloud.join(F.broadcast(top), F.col("h2") == F.col("top")).agg(*[F.avg(c).alias(f"best_{c}") for c in ("latitude", "longitude", "depth")], F.count("*").alias("n_best"))
     span = cloud.agg(*[f(c).alias(f"{n}_{c}") for c in ("latitude", "longitude") for n, f in (("min", F.min), ("max", F.max))])
     return best.join(span)
+
+
+def sound_origins(origins: DataFrame, errors: list[str], status: str | None = None) -> DataFrame:
+    """Origins whose errors are numbers and whose locator status doesn't say that it gave up."""
+    for c in errors:
+        origins = origins.where(F.col(c).isNotNull() & ~F.isnan(c))
+    return origins if status is None else origins.where(F.coalesce(~F.upper(status).rlike("ABORTED|IGNORED|REJECTED"), F.lit(True)))
+
+
+def with_prelocation(origins: DataFrame, preloc: DataFrame, model: str) -> DataFrame:
+    """Origins plus, as origins of their own, the first locations that association gave (depth in m)."""
+    extra = preloc.select("event_id", "origin_time", "latitude", "longitude", (F.col("preloc_depth_m") / 1000).alias("depth_km"), F.lit("tremor/associator").alias("method_id"), F.lit(model).alias("earth_model_id"))
+    return origins.unionByName(extra, allowMissingColumns=True)
+
+
+def stamped(origins: DataFrame, **defaults: str) -> DataFrame:
+    """Origins with agency, author, mode, method and model where these are missing."""
+    return origins.withColumns({k: F.coalesce(origins[k] if k in origins.columns else F.lit(None).cast("string"), F.lit(v)) for k, v in defaults.items()})

@@ -359,6 +359,20 @@ def window_merge(spark, d):
     return pipeline.merge_labels(hdbscan_labels(spark, d), located_picks(spark, d), 2)
 
 
+def _labelled(spark, d):
+    return hdbscan_labels(spark, d).join(view(spark, d, "fx_picks").select("pick_ord", "eventid"), "pick_ord")
+
+
+@query()
+def eventid_merge(spark, d):
+    return clusters.merge_windows_by_eventid(_labelled(spark, d))
+
+
+@query()
+def fixpoint_merge(spark, d):
+    return clusters.merge_windows_to_fixpoint(_labelled(spark, d), 3)
+
+
 def _clusters(spark, d):
     rows = located_picks(spark, d)
     return clusters.observations(pipeline.merge_labels(hdbscan_labels(spark, d), rows, 6).join(rows, "pick_ord"))

@@ -144,6 +144,45 @@ def write_catalog(events: DataFrame, path: str, per_file: int = 100, partitions:
     docs.select(F.concat(F.lit(head), F.array_join(F.transform("e", lambda v: v["x"]), ""), F.lit(tail)).alias("value")).write.mode("errorifexists").option("lineSep", "\n").option("maxRecordsPerFile", 1).text(path)
 
 
+STATIONS = "network string, station string, channel string, start_date date, end_date date, latitude double, longitude double, elevation double"
+
+
+def station_rows(content: bytes) -> list[tuple]:
+    """One row per channel epoch of a station inventory (one per station without channels)."""
+    out = []
+    day = lambda node, k: pd.Timestamp(node.get(k)).date() if node.get(k) else None
+    for net in ET.fromstring(content).iter():
+        if _strip(net.tag) != "Network":
+            continue
+        for sta in _all(net, "Station"):
+            for node in _all(sta, "Channel") or [sta]:
+                place = [_number(_text(node, k)) for k in ("Latitude", "Longitude", "Elevation")]
+                out.append((net.get("code"), sta.get("code"), node.get("code") if node is not sta else None, day(node, "startDate"), day(node, "endDate"), *place))
+    return out
+
+
+def read_inventory(spark: SparkSession, path) -> DataFrame:
+    """Channel epochs of one or several station inventories (XML)."""
+    return _read(spark, path, station_rows, STATIONS)
+
+
+def write_events(events: DataFrame, path: str, form: str = "quakeml", per_file: int = 100) -> None:
+    """Events in a configured format: quakeml, json or parquet; existing output is an error."""
+    if form == "quakeml":
+        write_catalog(events, path, per_file)
+    elif form in ("json", "parquet"):
+        events.write.mode("errorifexists").option("maxRecordsPerFile", per_file).format(form).save(path)
+    else:
+        raise ValueError(f"unknown format: {form}")
+
+
+def render(template: str, tags: dict[str, str]) -> str:
+    """A locator's control text with its tags replaced."""
+    for k, v in tags.items():
+        template = template.replace(k, v)
+    return template
+
+
 def read_config(path: str) -> dict:
     """YAML settings with ``!join`` lists put together into one text."""
     import yaml
