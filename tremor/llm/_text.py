@@ -22,7 +22,7 @@ CONTINUATION = bytes(range(0x80, 0xC0))
 class Remembered(dict):
     """A dictionary that computes missing values by ``make`` and is emptied at ``limit`` entries."""
 
-    def __init__(self, make, limit: int = 400_000):
+    def __init__(self, make, limit: int = 200_000):
         self.make, self.limit = make, limit
 
     def __missing__(self, key):

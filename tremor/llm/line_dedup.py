@@ -120,7 +120,7 @@ class Lines:
 def _emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Lines and variants of a slice of texts; of equal lines in the slice only the first goes on, the others are gone."""
     with np.errstate(over="ignore"):
-        for part in slices(batches, 512):
+        for part in slices(batches, 256, 4 << 20):
             h, doc, th, no, found = [], [], [], [], []
             for i, t, x in zip(part["i"], part["t"], part["h"], strict=True):
                 lines = Lines(t)
