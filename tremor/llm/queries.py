@@ -58,5 +58,33 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_substring_dedup, op2_source_mixing, op3_ngram_jaccard_join, op4_quality_classifier, op5_embedding_near_dedup, op6_bpe_round_trip, op7_token_counts, op8_best_fit_shards, op9_line_dedup, op10_compression_rules)}
 
 
+_LOWER = "translate({x}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = "regexp_extract_all(" + _LOWER + ", '[^\\x20\\x09-\\x0D]+')"
+#: Components of links ``e(a, b)`` between ``nodes(n)``, as recursive SQL: the smallest node reachable.
+_REACH = """both_ways AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
+ reach AS (SELECT DISTINCT a AS n, a AS m FROM both_ways UNION SELECT b.b, r.m FROM reach r JOIN both_ways b ON r.n = b.a),
+ component AS (SELECT n, min(m) AS m FROM reach GROUP BY n)"""
+
 #: DuckDB SQL of those queries that SQL can express.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op3_ngram_jaccard_join": f"""WITH RECURSIVE w AS (SELECT doc_id, {_WORDS.format(x="coalesce(text, '')")} AS ws FROM documents),
+ s AS (SELECT DISTINCT doc_id, array_to_string(ws[i:i + 4], ' ') AS sh FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 4, 1) + 1)) AS i FROM w WHERE len(ws) > 0) t),
+ n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+ p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id < b.doc_id GROUP BY ALL),
+ e AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)), {_REACH}
+ SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(c.m, d.doc_id) AS component_id FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN component c ON c.n = d.doc_id""",
+    "op5_embedding_near_dedup": f"""WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
+ e AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id < b.vec_id WHERE list_cosine_similarity(a.x, b.x) >= 0.98), {_REACH},
+ k AS (SELECT a, count(*) AS k FROM both_ways GROUP BY a)
+ SELECT vec_id, coalesce(k, 0) AS n_links, coalesce(m, vec_id) AS component_id, coalesce(m, vec_id) = vec_id AS kept FROM v LEFT JOIN k ON k.a = vec_id LEFT JOIN component c ON c.n = vec_id""",
+    "op9_line_dedup": f"""WITH t AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS x, unnest(range(0, len(string_split(text, chr(10))))) AS line FROM documents),
+ l AS (SELECT *, {_WORDS.format(x="x")} AS ws FROM t), o AS (SELECT *, row_number() OVER (ORDER BY doc_id, line) AS o, array_to_string(ws, ' ') AS k FROM l),
+ f AS (SELECT k, min(o) AS o, any_value(ws) AS ws FROM o WHERE len(ws) > 0 GROUP BY k),
+ g AS (SELECT * FROM f WHERE len(ws) >= 10),
+ v AS (SELECT o, i, array_to_string(list_concat(ws[1:i - 1], ws[i + 1:len(ws)]), ' ') AS rest FROM (SELECT o, ws, unnest(range(1, len(ws) + 1)) AS i FROM g) u),
+ m AS (SELECT o, min(o) OVER (PARTITION BY rest, i) AS first FROM v),
+ near AS (SELECT o FROM m WHERE o > first UNION SELECT v.o FROM v JOIN g ON v.rest = g.k WHERE v.o > g.o UNION SELECT g.o FROM g JOIN v ON v.rest = g.k WHERE g.o > v.o),
+ d AS (SELECT o.*, len(o.ws) > 0 AS full_line, len(o.ws) > 0 AND o.o > f.o AS exact, near.o IS NOT NULL AS close FROM o LEFT JOIN f ON f.k = o.k AND len(o.ws) > 0 LEFT JOIN near ON near.o = o.o)
+ SELECT doc_id, count(*) FILTER (WHERE full_line) AS n_lines, count(*) FILTER (WHERE exact) AS n_exact_dropped, count(*) FILTER (WHERE close) AS n_near_dropped,
+  coalesce(string_agg(x, chr(10) ORDER BY line) FILTER (WHERE NOT coalesce(exact, false) AND NOT close), '') AS kept_text FROM d GROUP BY doc_id""",
+}
