@@ -283,7 +283,7 @@ def components(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH, text
         active = active.where(f"place > {reps}").drop("place")
     out = whole.join(reach, whole["doc"] == reach["node"], "left")
     out = out.select(F.col("doc").alias("doc_id"), F.col("n").cast("long").alias("n_shingles"), F.coalesce("component", "doc").alias("component_id"))
-    bare = anonymous.mapInArrow(_emit(percent, width), "key long, doc long, n int, whole boolean").where("whole")
+    bare = anonymous.withColumn("i", F.lit(0).cast("long")).mapInArrow(_emit(percent, width), "key long, doc long, n int, whole boolean").where("whole")
     return out.union(bare.select(F.lit(None).cast("long"), F.col("n").cast("long"), F.lit(None).cast("long"))) if _any(anonymous) else out
 
 
