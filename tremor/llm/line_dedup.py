@@ -87,16 +87,24 @@ class Lines:
         right = (self.sums[e] - self.sums[b]) * self.down[s + (b - a)]
         return self._name(left + right, e - s - (b - a))
 
-    def word_variants(self, line: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """For each word of the given lines: line, place in the line, name of the rest."""
+    def word_variants(self, line: np.ndarray, sides: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Line, place in the line and name of the rest, for the words that an edit may have touched.
+
+        ``sides``: 1 where another line has the same first words, 2 the same
+        last words, 3 both; the edit lies outside of what is the same.
+        """
         n = self.size[line]
         of = np.repeat(line, n)
         place = np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
+        m = np.repeat(np.int64(1) << (np.floor(np.log2(n - 1)).astype(np.int64) - 1), n)
+        side, size = np.repeat(sides, n), np.repeat(n, n)
+        use = ((side & 1 > 0) & (place >= m)) | ((side & 2 > 0) & (place < size - m))
+        of, place = of[use], place[use]
         at = self.start[of] + place
         return of, place, self.without(of, at, at + 1)
 
-    def near_keys(self, line: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Line and key of the first-round keys of the given lines (MIN_WORDS words or more).
+    def near_keys(self, line: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Line, key and side (0: first words, 1: last) of the first-round keys of the given lines (MIN_WORDS words or more).
 
         With ``m = 2**(k - 1)`` for lines of ``2**k`` words or more, an edit
         at place e leaves the first m words if e >= m, else the last m. A
@@ -104,7 +112,7 @@ class Lines:
         the border of two use both.
         """
         n = self.size[line]
-        out_line, out_key = [], []
+        out_line, out_key, out_side = [], [], []
         k = np.floor(np.log2(n)).astype(np.int64)
         for shift in (0, -1, 1):
             other = np.floor(np.log2(n + shift)).astype(np.int64)
@@ -114,7 +122,8 @@ class Lines:
             for side, (a, b) in enumerate(((s, s + m), (e - m, e))):
                 out_line.append(at)
                 out_key.append(mix(self._name((self.sums[b] - self.sums[a]) * self.down[a], m) + np.uint64(side + 1)))
-        return np.concatenate(out_line), np.concatenate(out_key)
+                out_side.append(np.full(len(at), side, np.int64))
+        return np.concatenate(out_line), np.concatenate(out_key), np.concatenate(out_side)
 
 
 def _emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -144,18 +153,19 @@ def _emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield _batch(np.full(keep.sum(), LINE), h[keep], None, doc[keep], th[keep], no[keep])
             if len(gone):
                 yield _batch(np.full(len(gone), GONE), mix(h[gone] ^ th[gone].view(np.uint64) ^ no[gone].view(np.uint64)), None, doc[gone], th[gone], no[gone])
-            keys, owners = [], []
+            keys, owners, sides = [], [], []
             edge = np.append(0, np.cumsum(count))
             for j, lines in enumerate(found):
                 mine = np.flatnonzero(keep[edge[j] : edge[j + 1]])
                 mine = mine[lines.size[mine] >= MIN_WORDS] if len(mine) else mine
                 if len(mine):
-                    of, key = lines.near_keys(mine)
+                    of, key, side = lines.near_keys(mine)
                     keys.append(key)
+                    sides.append(side)
                     owners.append(lines.whole[of])
             if keys:
                 key = np.concatenate(keys)
-                yield _batch(np.full(len(key), NEAR), key, np.concatenate(owners), None, None, None)
+                yield _batch(np.full(len(key), NEAR), key, np.concatenate(owners), None, None, np.concatenate(sides))
 
 
 def _batch(kind, key, h, doc, th, line) -> pa.RecordBatch:
@@ -195,14 +205,14 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _word_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Word variants of the listed lines of each text: key, place of the missing word (-1: the whole line), and the line."""
+    """Variants of the listed lines of each text: key, place of the missing word (-1: the whole line), and the line."""
     with np.errstate(over="ignore"):
         for part in slices(batches, 256):
             out = []
             for i, t, x, want in zip(part["i"], part["t"], part["h"], part["lines"], strict=True):
                 lines = Lines(t)
-                mine = np.searchsorted(lines.number, np.array(sorted(set(want)), np.int64))
-                of, place, key = lines.word_variants(mine)
+                mine = np.searchsorted(lines.number, np.array([w["line"] for w in want], np.int64))
+                of, place, key = lines.word_variants(mine, np.array([w["sides"] for w in want], np.int64))
                 of, place, key = np.append(mine, of), np.append(np.full(len(mine), -1), place), np.append(lines.whole[mine], key)
                 out.append((key, place, np.full(len(of), i, np.int64), np.full(len(of), x, np.int64), lines.number[of]))
             if out:
@@ -223,11 +233,14 @@ def dropped_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -
     rows = texts.mapInArrow(_emit, _ROWS).repartition("key").sortWithinPartitions(*_NAMES)
     found = materialize(rows.mapInArrow(_groups, _ROWS), "lines")
     exact = found.where(f"kind = {GONE}").select("doc", "th", "line", F.lit(False).alias("near"))
-    near = found.where(f"kind = {NEAR}").select(F.explode(F.array("h", "doc")).alias("h")).distinct()
+    near = found.where(f"kind = {NEAR}").select(F.explode(F.array("h", "doc")).alias("h"), F.expr("shiftleft(1, line)").alias("side")).groupBy("h").agg(F.bit_or("side").alias("sides"))
     places = found.where(f"kind = {LINE}").select(F.col("key").alias("h"), "doc", "th", "line").join(near, "h")
-    wanted = places.groupBy(F.col("doc").alias("i"), F.col("th").alias("h")).agg(F.collect_list("line").alias("lines"))  # of one text
-    variants = texts.join(wanted, ["i", "h"]).select("i", "t", "h", "lines").mapInArrow(_word_rows, "v long, place int, doc long, th long, line int")
+    wanted = places.groupBy(F.col("doc").alias("i"), F.col("th").alias("h")).agg(F.collect_list(F.struct("line", "sides")).alias("lines"))  # of one text
+    variants = texts.join(wanted, ["i", "h"]).select("i", "t", "h", "lines").dropDuplicates(["i", "h"]).mapInArrow(_word_rows, "v long, place int, doc long, th long, line int")
     variants = materialize(variants, "variants").withColumn("s", F.struct("doc", "th", "line"))
+    # Most variants are one line's alone; the others are few.
+    shared = variants.groupBy("v").agg(F.min("s").alias("m"), F.max("s").alias("x")).where("m < x").select("v")
+    variants = materialize(variants.join(shared, "v", "left_semi"), "shared-variants")
     rest, whole = variants.where("place >= 0"), variants.where("place < 0")
     by_place = rest.groupBy("v", "place").agg(F.min("s").alias("m"), F.max("s").alias("x")).where("m < x").select("v", "place", "m")
     swapped = rest.join(by_place, ["v", "place"]).where("s > m").select("s")
