@@ -46,9 +46,9 @@ TINY, SMALL, SEGMENTS = 12, 28, 4
 #: Each band of larger sets spans this factor of sizes.
 SPAN = 4
 #: A signature shared by so many documents or fewer has all its open pairs compared at once.
-AT_ONCE = 24
-#: The most shingles that are known as frequent when signatures are ordered (512 KB).
-FREQUENT = 65536
+AT_ONCE = 4
+#: Shingles of fewer documents aren't frequent. The most shingles that are known as frequent when signatures are ordered (512 KB).
+LEAST_FREQUENT, FREQUENT = 24, 65536
 
 
 def difference(a: int, b: int, percent: int = PERCENT) -> int:
@@ -56,40 +56,41 @@ def difference(a: int, b: int, percent: int = PERCENT) -> int:
     return (100 - percent) * (a + b) // (100 + percent)
 
 
-def _segment_sums(s: np.ndarray, seg: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Non-empty segments, the sum of scrambled elements of each (its signature), and their sizes."""
-    order = np.argsort(seg, kind="stable")
-    seg, s = seg[order], s[order]
+def _segments(u: np.ndarray, m: int) -> np.ndarray:
+    """The segment of each shingle: equal ranges of the hashes, so that of sorted hashes they come in order."""
+    return ((u >> np.uint64(32)) * np.uint64(m)) >> np.uint64(32)
+
+
+def _segment_sums(v: np.ndarray, seg: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Non-empty segments, the sum of scrambled elements of each (its signature), and where each begins."""
     start = np.flatnonzero(np.append(True, seg[1:] != seg[:-1]))
-    return seg[start], np.add.reduceat(s, start), np.diff(np.append(start, len(s)))
+    return seg[start], np.add.reduceat(v, start), start
 
 
 def _key(band: int, seg: np.ndarray, value: np.ndarray) -> np.ndarray:
     salt = np.uint64(0x9E3779B97F4A7C15) * np.uint64(band + 1)
-    return mix(value ^ mix(seg.astype(np.uint64) + salt))
+    return mix(value ^ mix(seg + salt))
+
+
+def _ranked(keys: np.ndarray, hot: np.ndarray, most: int) -> np.ndarray:
+    """The first ``most + 1`` keys of the common order: by hash, those of frequent segments (highest bit) last."""
+    keys = (keys >> np.uint64(1)) | (hot.astype(np.uint64) << np.uint64(63))
+    return np.partition(keys, most)[: most + 1] if len(keys) > most + 1 else keys
 
 
 def _large_keys(u: np.ndarray, hot: np.ndarray, band: int, base: int, most: int) -> np.ndarray:
     """Signatures of a set in a large band: those of its first ``most + 1`` segments."""
-    m = np.uint64(2 * base)
-    seg = (u >> np.uint64(8)) % m
-    order = np.argsort(seg, kind="stable")
-    seg, v, hot = seg[order], mix(u[order]), hot[order]
-    start = np.flatnonzero(np.append(True, seg[1:] != seg[:-1]))
-    keys = _key(band, seg[start], np.add.reduceat(v, start))
-    keys = keys[np.lexsort((keys, np.logical_and.reduceat(hot, start)))]  # frequent segments last
-    if len(keys) > most:
-        return keys[: most + 1]
-    return np.concatenate([keys, _first(u, hot[np.argsort(order)], 1000 + band, most)])
+    seg, total, start = _segment_sums(mix(u), _segments(u, 2 * base))
+    keys = _ranked(_key(band, seg, total), np.logical_and.reduceat(hot, start), most)
+    return keys if len(keys) > most else np.concatenate([keys, _first(u, hot, 1000 + band, most)])
 
 
 def _first(u: np.ndarray, hot: np.ndarray, band: int, most: int) -> np.ndarray:
-    v = mix(u ^ np.uint64(0xA5A5A5A5))
-    return _key(band, np.zeros(1, np.uint64), v[np.lexsort((v, hot))][: most + 1])
+    return _ranked(_key(band, np.zeros(len(u), np.uint64), mix(u ^ np.uint64(0xA5A5A5A5))), hot, most)
 
 
 def signatures(u: np.ndarray, percent: int = PERCENT, frequent: np.ndarray | None = None) -> np.ndarray:
-    """Signature keys of a set of distinct shingle hashes.
+    """Signature keys of a set of distinct shingle hashes in ascending order.
 
     ``frequent`` (sorted) holds shingles that many documents have. Segments of
     nothing else cost many candidates, so they come last in the common order;
@@ -109,10 +110,10 @@ def signatures(u: np.ndarray, percent: int = PERCENT, frequent: np.ndarray | Non
             out.append(_first(u, hot, 0, difference(n, largest if n <= TINY else TINY, percent)))
         if n > TINY and n * percent <= SMALL * 100:
             bound = difference(n, largest if n <= SMALL else SMALL, percent)
-            seg = (u >> np.uint64(8)) % np.uint64(SEGMENTS)
-            v = mix(u)
-            at, total, size = _segment_sums(v, seg)
-            where = np.searchsorted(at, seg)
+            seg, v = _segments(u, SEGMENTS), mix(u)
+            at, total, start = _segment_sums(v, seg)
+            size = np.diff(np.append(start, n))
+            where = np.repeat(np.arange(len(at)), size)
             rich = size[where] > 1
             out.append(_key(1, at, total))
             out.append(_key(1, seg[rich], (total[where] - v)[rich]))
@@ -125,7 +126,7 @@ def signatures(u: np.ndarray, percent: int = PERCENT, frequent: np.ndarray | Non
             out.append(_large_keys(u, hot, 3 + band, base, most))
             if band and n * percent <= (base - 1) * 100:  # a smaller partner may lie in the band below
                 out.append(_large_keys(u, hot, 2 + band, base // SPAN, difference(n, min(n, base - 1), percent)))
-        return np.unique(np.concatenate(out))
+        return out[0] if len(out) == 1 else np.unique(np.concatenate(out))
 
 
 def frequent_shingles(texts: DataFrame, width: int, most: int = FREQUENT) -> np.ndarray:
@@ -155,7 +156,7 @@ def frequent_shingles(texts: DataFrame, width: int, most: int = FREQUENT) -> np.
             yield flush()
 
     counts = texts.mapInArrow(run, "s long, c long").groupBy("s").agg(F.sum("c").alias("c"))
-    top = counts.where(f"c >= {AT_ONCE}").orderBy(F.desc("c"), "s").limit(most)
+    top = counts.where(f"c >= {LEAST_FREQUENT}").orderBy(F.desc("c"), "s").limit(most)
     return np.sort(np.array([r["s"] for r in top.collect()], np.int64).view(np.uint64))
 
 
