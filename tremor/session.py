@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -61,6 +62,16 @@ def materialize_with(df: DataFrame, label: str, *measures: Column) -> tuple[Data
     return spark.read.schema(df.schema).parquet(path), seen.get if measures else {}
 
 
+def release(spark: SparkSession) -> None:
+    """Let go of the shuffle files of plans that nothing refers to any more.
+
+    Spark drops them once the driver has collected its garbage, which may be
+    long after a large table has been written and its shuffle is of no use.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def remove(spark: SparkSession, *tables: DataFrame) -> None:
     """Delete the files behind tables made by :func:`materialize` that nothing reads any more."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
