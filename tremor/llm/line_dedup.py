@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tremor.llm._text import as_bytes, mix, slices, to_signed, word_hashes
-from tremor.session import materialize
+from tremor.session import materialize, release
 
 #: Shorter lines are dropped only where their words are equal: one word of them is too much of a difference.
 MIN_WORDS = 10
@@ -232,15 +232,21 @@ def dropped_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -
     texts = texts.withColumn("h", F.xxhash64("t"))
     rows = texts.mapInArrow(_emit, _ROWS).repartition("key").sortWithinPartitions(*_NAMES)
     found = materialize(rows.mapInArrow(_groups, _ROWS), "lines")
+    del rows
+    release(docs.sparkSession)
     exact = found.where(f"kind = {GONE}").select("doc", "th", "line", F.lit(False).alias("near"))
     near = found.where(f"kind = {NEAR}").select(F.explode(F.array("h", "doc")).alias("h"), F.expr("shiftleft(1, line)").alias("side")).groupBy("h").agg(F.bit_or("side").alias("sides"))
     places = found.where(f"kind = {LINE}").select(F.col("key").alias("h"), "doc", "th", "line").join(near, "h")
     wanted = places.groupBy(F.col("doc").alias("i"), F.col("th").alias("h")).agg(F.collect_list(F.struct("line", "sides")).alias("lines"))  # of one text
     variants = texts.join(wanted, ["i", "h"]).select("i", "t", "h", "lines").dropDuplicates(["i", "h"]).mapInArrow(_word_rows, "v long, place int, doc long, th long, line int")
-    variants = materialize(variants, "variants").withColumn("s", F.struct("doc", "th", "line"))
+    variants = materialize(variants, "variants")
+    release(docs.sparkSession)
+    variants = variants.withColumn("s", F.struct("doc", "th", "line"))
     # Most variants are one line's alone; the others are few.
     shared = variants.groupBy("v").agg(F.min("s").alias("m"), F.max("s").alias("x")).where("m < x").select("v")
     variants = materialize(variants.join(shared, "v", "left_semi"), "shared-variants")
+    del shared
+    release(docs.sparkSession)
     rest, whole = variants.where("place >= 0"), variants.where("place < 0")
     by_place = rest.groupBy("v", "place").agg(F.min("s").alias("m"), F.max("s").alias("x")).where("m < x").select("v", "place", "m")
     swapped = rest.join(by_place, ["v", "place"]).where("s > m").select("s")

@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from tremor.llm._text import as_bytes, mix, shingles, slices, to_signed
 from tremor.operators.components import connected_components
-from tremor.session import materialize
+from tremor.session import materialize, release
 
 #: Similarity as a fraction: 80 of 100.
 PERCENT, WIDTH = 80, 5
@@ -243,6 +243,8 @@ def components(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH, text
     rows = texts.mapInArrow(_emit(percent, width, frequent), "key long, doc long, n int, whole boolean")
     rows = rows.repartition("key").sortWithinPartitions("whole", "key", "doc")
     found = materialize(rows.mapInArrow(_groups, "key long, rep long, doc long, n int, whole boolean"), "join-keys")
+    del rows
+    release(spark)
     # Equal sets are one class: only its least document takes part in what follows.
     whole = found.where("whole").select("doc", "n", F.when(F.col("n") > 0, F.col("rep")).otherwise(F.col("doc")).alias("rep"))
     same = whole.where("rep <> doc").groupBy("doc").agg(F.min("rep").alias("r"))
@@ -306,6 +308,7 @@ def _distances(texts: DataFrame, pairs: DataFrame, width: int) -> DataFrame:
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("i")).distinct()
     some = texts.join(wanted, "i", "left_semi").groupBy("i").agg(F.min("t").alias("t"))
     some = materialize(some, "join-texts")
+    release(texts.sparkSession)
     rows = pairs.join(some.select(F.col("i").alias("b"), F.col("t").alias("tb")), "b")
     rows = rows.join(some.select(F.col("i").alias("a"), F.col("t").alias("ta")), "a").select("a", "b", "ta", "tb")
     return rows.mapInArrow(_verify(width), "a long, b long, both long, na long, nb long")
