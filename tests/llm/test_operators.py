@@ -259,6 +259,33 @@ def test_embedding_links_equal_brute_force(spark):
     assert sum(got[i] == want[i] for i in want) >= 890
 
 
+def test_dense_family_keeps_its_links(spark, monkeypatch):
+    monkeypatch.setattr(ann_graph, "BLOCK", 1000)
+    monkeypatch.setattr(ann_graph, "SHARD_ROWS", 100)
+    rng = np.random.default_rng(6)
+    x = np.float32(np.concatenate([rng.normal(size=32) + rng.normal(size=(4000, 32)) * 0.1, rng.normal(size=(500, 32))]))
+    u = x.astype(np.float64) / np.linalg.norm(x.astype(np.float64), axis=1)[:, None]
+    s = u @ u.T >= 0.98
+    np.fill_diagonal(s, False)
+    df = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)], "vec_id long, embedding array<float>, label int")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in ann_graph.near_duplicates(df).collect()}
+    assert s.sum() > 1_000_000
+    assert sum(got[i][0] for i in range(4500)) >= 0.98 * s.sum() and all(got[i][0] <= s[i].sum() for i in range(4500))
+
+
+def test_cells_hold_every_near_pair():
+    rng = np.random.default_rng(4)
+    p = ann_graph.thin(ann_graph.unit_rows(rng.normal(size=(300, 6))), 0.93)
+    near = p @ p.T
+    np.fill_diagonal(near, -1)
+    assert near.max() < 0.93
+    x = ann_graph.unit_rows(rng.normal(size=(1500, 6)))
+    top, guest = ann_graph.cells(x, p, len(p), 0.98)
+    members = [set(t[g]) for t, g in zip(top, guest, strict=True)]
+    for i, j in zip(*np.nonzero(x @ x.T >= 0.98), strict=True):
+        assert top[i, 0] in members[j]
+
+
 def test_bpe_equals_the_library(corpus, rows):
     codec = bpe.codec(bpe.RANKS)
     library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=codec.ranks, special_tokens={})

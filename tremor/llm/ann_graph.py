@@ -1,8 +1,10 @@
 """Embedding near-dedup over a robust-pruned flat graph (operator 5).
 
 Vectors of one label (and dimension) are dealt to overlapping shards around
-sampled pivots: home at the nearest, guest at the next ones of nearly the same
-cosine. Each shard builds a graph: a vector's nearest candidates, robustly
+sampled pivots, thinned so that no two lie near one another: home at the
+nearest, guest at those whose cell a vector within the range may have for its
+home. A shard over BLOCK rows (a dense family) is split into blocks, and every
+block meets every other and itself, by brute force. Each other shard builds a graph: a vector's nearest candidates, robustly
 pruned (a neighbour goes if a kept one is nearer to it by the factor alpha),
 with reverse edges. The lists of a vector from all its shards are united, and
 every vector is searched in its home shard over the united graph: greedily
@@ -13,8 +15,9 @@ Links are verified by cosine in double precision.
 Pairs never leave a shard: a shard passes on how many links each of its
 vectors has and, for components, one link from each vector to the least of
 those connected inside the shard. An audit measures the recall of links by
-brute force for a stated, bounded set of vectors against all rows; below the
-target the index is built again with more overlap.
+brute force for a stated, bounded set of vectors against all rows, and for as many that have links;
+below the target the index is built again with more overlap, at last without
+a cap on it.
 """
 
 from __future__ import annotations
@@ -33,11 +36,13 @@ from tremor.session import materialize
 THRESHOLD = 0.98
 #: Home vectors of a shard on average; the most pivots (the sampled, broadcast part of the index: 16 MB at 64 dimensions).
 SHARD_ROWS, MAX_PIVOTS = 500, 65536
-#: A vector is a guest of the pivots whose cosine is within MARGIN of the best, at most OVERLAP shards in all.
-OVERLAP, MARGIN = 4, 0.12
+#: A vector is in at most OVERLAP shards at first; rebuilds double it up to the number of pivots.
+OVERLAP = 4
+#: Rows of a shard that one task takes by its graph; larger shards are compared in pairs of blocks of so many rows.
+BLOCK = 4096
 #: Graph: candidates, degree, pruning factor; search: beam, and how far below the threshold it still walks.
 CANDIDATES, DEGREE, ALPHA, BEAM, SLACK = 48, 16, 1.2, 8, 0.05
-AUDIT_ROWS, TARGET_RECALL = 128, 0.95
+AUDIT_ROWS, TARGET_RECALL, LEAST_RECALL = 128, 0.95, 0.9
 
 
 def unit_rows(vectors) -> np.ndarray:
@@ -137,7 +142,40 @@ def range_search(x: np.ndarray, graph: list[np.ndarray], medoid: int, q: int, th
     return hits[hits != q]
 
 
-def _assign(pivots, overlap: int, margin: float):
+def thin(p: np.ndarray, most: float) -> np.ndarray:
+    """Pivots of which no two have a cosine of ``most`` or more: each goes that is so near to one before it."""
+    kept = p[:0]
+    for a in range(0, len(p), 256):
+        part = p[a : a + 256]
+        if len(kept):
+            part = part[(part @ kept.T).max(axis=1) < most]
+        near, own = part @ part.T >= most, []
+        for i in range(len(part)):
+            if not near[i, own].any():
+                own.append(i)
+        kept = np.concatenate([kept, part[own]])
+    return kept
+
+
+def cells(x: np.ndarray, p: np.ndarray, overlap: int, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """For each row the ``overlap`` pivots of which it may be a guest, its home first, and whether it is.
+
+    A vector within the threshold of x lies at most ``reach`` away, so its
+    home is another pivot only if x is that near to the plane between the two.
+    Without a cap, every pair within the threshold meets in a home of one.
+    """
+    reach = np.sqrt(2 - 2 * threshold) + 1e-9
+    s = x @ p.T
+    home = s.argmax(axis=1)
+    at, of = np.unique(home, return_inverse=True)
+    apart = np.sqrt(np.maximum(2 - 2 * (p[at] @ p.T), 1e-30))[of]
+    away = (s[np.arange(len(x)), home][:, None] - s) / apart
+    away[np.arange(len(x)), home] = -1
+    top = np.argsort(away, axis=1, kind="stable")[:, :overlap]
+    return top, np.take_along_axis(away, top, 1) <= reach
+
+
+def _assign(pivots, overlap: int, threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = pivots.value
         for b in batches:
@@ -157,11 +195,7 @@ def _assign(pivots, overlap: int, margin: float):
                 p = known[g]
                 for a in range(0, len(at), 1024):
                     part = at[a : a + 1024]
-                    s = unit_rows([emb[i].values.to_numpy() for i in part]) @ p.T
-                    k = min(overlap, s.shape[1])
-                    top = np.argsort(-s, axis=1, kind="stable")[:, :k]
-                    c = np.take_along_axis(s, top, 1)
-                    for i, t, near in zip(part, top, c >= c[:, :1] - margin, strict=True):
+                    for i, t, near in zip(part, *cells(unit_rows([emb[i].values.to_numpy() for i in part]), p, overlap, threshold), strict=True):
                         names = [f"{g}/{j}" for j in t[near]]
                         rows += [i] * len(names)
                         shard += names
@@ -221,30 +255,90 @@ def _search(threshold: float):
     return run
 
 
-def _index(reps: DataFrame, threshold: float, overlap: int, margin: float) -> DataFrame:
-    """``vec, links, root`` of the distinct vectors, some rows per vector."""
-    spark = reps.sparkSession
+def _compare(threshold: float):
+    """Links between two blocks of a shard, or inside one, counted as :func:`_search` does: by a vector at
+    home, and by a guest where its own home doesn't hold the other."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("vec", ignore_index=True)
+        ids, home, many, block = (pdf[c].to_numpy() for c in ("vec", "home", "many", "block"))
+        x = unit_rows(pdf["emb"])
+        code: dict[str, int] = {}
+        own = np.array([code.setdefault(s[0], len(code)) if not h else -1 for s, h in zip(pdf["shards"], home, strict=True)])
+        #: Whether the home of each guest here (by code) holds a row; the last line, for rows at home, says no.
+        holds = np.zeros((len(code) + 1, len(ids)), bool)
+        for j, names in enumerate(pdf["shards"]):
+            for name in names:
+                if name in code:
+                    holds[code[name], j] = True
+        links, label = np.zeros(len(ids), np.int64), np.arange(len(ids))
+        one = block.min() == block.max()
+        # A pair of blocks leaves out what lies inside a block, which has a task of its own.
+        sides = [(np.arange(len(ids)),) * 2] if one else [(np.flatnonzero(block == v), np.flatnonzero(block != v)) for v in (block.min(), block.max())]
+        for k, (mine, other) in enumerate(sides):
+            y = x[other]
+            for a in range(0, len(mine), 256):
+                part = mine[a : a + 256]
+                hit = x[part] @ y.T >= threshold
+                if one:
+                    hit[np.arange(len(part)), part] = False
+                count = hit & (home[part][:, None] | (home[other][None, :] & ~holds[own[part]][:, other]))
+                links[part] += (count @ many[other].astype(np.float64)).astype(np.int64)
+                if k:
+                    continue
+                for i, h in zip(part, hit, strict=True):
+                    if h.any():
+                        both = np.unique(np.append(label[other[h]], label[i]))
+                        if len(both) > 1:
+                            label[np.isin(label, both)] = both[0]
+        use = (links > 0) | (label != np.arange(len(ids)))
+        return pd.DataFrame({"vec": ids[use], "links": links[use], "root": ids[label[use]]})
+
+    return run
+
+
+def _pivots(reps: DataFrame, threshold: float) -> dict[str, np.ndarray]:
+    """Sampled pivots by group, thinned to less than the cosine that a search still walks."""
     n = reps.count()
     rate = min(1 / SHARD_ROWS, MAX_PIVOTS / max(2 * n, 1))
     sample = reps.where(F.pmod(F.xxhash64("vec"), F.lit(1 << 20)) < int(rate * (1 << 20)) + 1).limit(MAX_PIVOTS)
     groups: dict[str, list] = {}
     for r in sample.select("group", "vec", "emb").collect():
         groups.setdefault(r["group"], []).append((r["vec"], r["emb"]))
-    pivots = spark.sparkContext.broadcast({g: unit_rows([e for _, e in sorted(v)]) for g, v in groups.items()})
-    rows = reps.select("vec", "group", "many", "emb").mapInArrow(_assign(pivots, overlap, margin), "shard string, vec long, many long, home boolean, shards array<string>, emb array<double>")
+    return {g: thin(unit_rows([e for _, e in sorted(v)]), threshold - SLACK) for g, v in groups.items()}
+
+
+def _index(reps: DataFrame, known: dict[str, np.ndarray], threshold: float, overlap: int) -> DataFrame:
+    """``vec, links, root`` of the distinct vectors, some rows per vector."""
+    spark = reps.sparkSession
+    pivots = spark.sparkContext.broadcast(known)
+    rows = reps.select("vec", "group", "many", "emb").mapInArrow(_assign(pivots, overlap, threshold), "shard string, vec long, many long, home boolean, shards array<string>, emb array<double>")
     rows = materialize(rows, "ann-shards")
-    lists = rows.select("shard", "vec", "emb").groupBy("shard").applyInPandas(_build, "vec long, near array<long>")
-    united = lists.groupBy("vec").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"))  # of OVERLAP shards at most
+    large = F.broadcast(rows.groupBy("shard").count().where(f"count > {BLOCK}").select("shard", F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks")))  # of MAX_PIVOTS shards at most
+    rows = rows.join(large, "shard", "left")
+    small = rows.where("blocks is null").drop("blocks")
+    lists = small.select("shard", "vec", "emb").groupBy("shard").applyInPandas(_build, "vec long, near array<long>")
+    united = lists.groupBy("vec").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"))  # of ``overlap`` shards at most
     united = materialize(united, "ann-graph")
-    return materialize(rows.join(united, "vec", "left").groupBy("shard").applyInPandas(_search(threshold), "vec long, links long, root long"), "ann-links")
+    found = materialize(small.join(united, "vec", "left").groupBy("shard").applyInPandas(_search(threshold), "vec long, links long, root long"), "ann-links")
+    block = rows.where("blocks is not null").withColumn("block", F.pmod(F.xxhash64("vec"), "blocks").cast("int"))
+    tasks = block.withColumn("with", F.explode(F.expr("sequence(0, blocks - 1)"))).withColumns({"a": F.least("block", "with"), "b": F.greatest("block", "with")})
+    split = tasks.select("shard", "a", "b", "block", "vec", "many", "home", "shards", "emb").groupBy("shard", "a", "b")
+    return found.union(materialize(split.applyInPandas(_compare(threshold), "vec long, links long, root long"), "ann-blocks"))
 
 
 def audit(reps: DataFrame, counted: DataFrame, threshold: float, rows: int = AUDIT_ROWS) -> float:
-    """Recall of links: brute force for ``rows`` vectors (those of the smallest hash) against all rows.
+    """Recall of links: brute force against all rows, for ``rows`` vectors (those of the smallest hash) and for
+    ``rows`` of those that have links; the lower of the two.
 
-    ``counted`` has ``vec, n`` for every distinct vector.
+    ``counted`` has ``vec, n`` for every distinct vector with links.
     """
-    asked = reps.orderBy(F.xxhash64("vec"), "vec").limit(rows).select("vec", "group", "emb").collect()
+    linked = reps.join(counted.where("n > 0").select("vec"), "vec", "left_semi")
+    return min(_recall(reps, x.orderBy(F.xxhash64("vec"), "vec").limit(rows), counted, threshold) for x in (reps, linked))
+
+
+def _recall(reps: DataFrame, some: DataFrame, counted: DataFrame, threshold: float) -> float:
+    asked = some.select("vec", "group", "emb").collect()
     if not asked:
         return 1.0
     by_group: dict[str, tuple[list[int], list]] = {}
@@ -285,9 +379,10 @@ def near_duplicates(embeddings: DataFrame, threshold: float = THRESHOLD, vec_id:
     with that id. Null vec_ids link with nothing. An empty table gives an
     empty result; other columns are ignored.
 
-    Shards are bounded by the pivots, up to MAX_PIVOTS * SHARD_ROWS vectors or
-    so; a single dense family (all within the range of one another) stays in
-    one shard, where its links are counted and never listed.
+    Pivots are thinned, so a dense family has one and shares its shard; shards
+    over BLOCK rows are compared block by block, and links are counted and
+    never listed. Raises RuntimeError if even the index without a cap on the
+    overlap finds less than LEAST_RECALL of the audited links.
     """
     e = F.col("emb")
     rows = embeddings.select(F.col(vec_id).cast("long").alias("id"), F.col(label).cast("string").alias("label"), F.col(embedding).cast("array<double>").alias("emb"))
@@ -297,13 +392,17 @@ def near_duplicates(embeddings: DataFrame, threshold: float = THRESHOLD, vec_id:
     rows = materialize(rows.dropDuplicates(["id", "label", "emb"]), "ann-rows")
     reps = rows.where("ok").groupBy("h").agg(F.min("id").alias("vec"), F.count("*").alias("many"), F.first("group").alias("group"), F.first("emb").alias("emb"))
     reps = materialize(reps, "ann-reps")
-    overlap, margin = OVERLAP, MARGIN
-    for _ in range(3):
-        found = _index(reps, threshold, overlap, margin)
+    known = _pivots(reps, threshold)
+    most, overlap = max(map(len, known.values()), default=1), OVERLAP
+    while True:
+        found = _index(reps, known, threshold, overlap)
         counted = found.groupBy("vec").agg(F.sum("links").alias("n"))
-        if audit(reps, counted, threshold) >= TARGET_RECALL:
+        recall = audit(reps, counted, threshold)
+        if recall >= TARGET_RECALL or overlap >= most:
             break
-        overlap, margin = 2 * overlap, 2 * margin
+        overlap *= 2
+    if recall < LEAST_RECALL:
+        raise RuntimeError(f"the index finds {recall:.3f} of the audited links, less than {LEAST_RECALL}")
     reach = materialize(connected_components(found.select(F.col("vec").alias("a"), F.col("root").alias("b"))), "ann-reach")
     per = reps.join(counted, "vec", "left").join(reach, reps["vec"] == reach["node"], "left").select("h", "many", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("component", "vec").alias("component"))
     out = rows.join(per, "h", "left")
