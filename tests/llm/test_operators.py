@@ -172,6 +172,22 @@ def test_repeated_passages(spark):
     assert set(forest) == set().union(*want.values()) and got["n_words"].min() >= 51
 
 
+def test_passages_quoted_in_part_before_are_found(spark):
+    rng = random.Random(12)
+    voc = [f"v{i}" for i in range(4000)]
+    words = lambda n: [rng.choice(voc) for _ in range(n)]
+    docs, want = [], set()
+    for k in range(30):
+        p, quote = words(51), rng.choice([40, 45])
+        whole, both = words(120) + p + words(80), words(100) + p[:quote] + words(1000) + p + words(60)
+        # The text that quotes the passage in part is the representative of every other pair.
+        a, b = (whole, both) if k % 2 else (both, whole)
+        docs += [(2 * k, " ".join(a)), (2 * k + 1, " ".join(b))]
+        want.add((2 * k, 2 * k + 1))
+    got = {(r.rep_doc_id, r.doc_id) for r in substring.repeated_passages(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == want
+
+
 def test_compact_windows_are_the_wide_nodes_of_the_tree():
     rng = np.random.default_rng(1)
     for n in (10, 46, 47, 48, 60, 300):
