@@ -126,6 +126,13 @@ def test_location_and_association_as_queries(spark):
     assert events["event"].nunique() == 2 and events.groupby("event").size().min() >= 20
 
 
+def test_association_takes_as_many_events_as_there_are():
+    rows = [(r, k) for k in range(20) for r in two_quakes() if r[6] == 0]
+    obs = pd.DataFrame({"pick_ord": range(len(rows)), "station_id": [r[1] for r, _ in rows], "phase_type": [r[2] for r, _ in rows], "us": [round((r[3] + 600 * k) * 1e6) for r, k in rows], "latitude": [r[4] for r, _ in rows], "longitude": [r[5] for r, _ in rows], "uncertainty": 0.1})
+    found = locate.associate(obs.sort_values(["us", "station_id", "phase_type"], ignore_index=True), locate.AssociatorSettings())
+    assert len(found) == 20 and sum(len(p) for _, p in found) >= 20 * 20
+
+
 def test_hdbscan_separates_groups_and_noise():
     rng = np.random.default_rng(1)
     pts = np.concatenate([rng.normal(0, 0.3, (30, 2)), rng.normal(10, 0.3, (25, 2)), rng.uniform(-30, 40, (6, 2))])
