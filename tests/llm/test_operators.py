@@ -147,6 +147,17 @@ def test_line_dedup_equals_brute_force(spark):
     assert got.columns[:3] == ["doc_id", "text", "h"]
 
 
+def test_repeated_rows_count_their_lines_once(spark):
+    rng = random.Random(9)
+    old, new = [prose(rng, 12) for _ in range(3)], [prose(rng, 12) for _ in range(3)]
+    rows = [(1, "\n".join(old))] + [(2, "\n".join(old + new))] * 2 + [(3, prose(rng, 15))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = multiset(line_dedup.dedup_lines(df), "doc_id", "_lines", "_exact", "_near")
+    assert got == {(1, 3, 0, 0): 1, (2, 6, 3, 0): 2, (3, 1, 0, 0): 1}
+    kept = multiset(line_dedup.keep_first_lines(df), "doc_id", "text")
+    assert kept == {rows[0]: 1, (2, "\n".join(new)): 2, rows[3]: 1}
+
+
 def test_repeated_passages(spark):
     rng = random.Random(3)
     voc = [f"v{i}" for i in range(4000)]

@@ -23,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tremor.llm._text import as_bytes, mix, slices, to_signed, word_hashes
@@ -220,11 +220,17 @@ def _word_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.RecordBatch.from_arrays([pa.array(to_signed(key)), pa.array(place.astype(np.int32)), pa.array(doc), pa.array(th), pa.array(no.astype(np.int32))], ["v", "place", "doc", "th", "line"])
 
 
+def _places(which: Column) -> Column:
+    """How many lines of a text, each counted once: a repeated row has its places as often."""
+    return F.size(F.collect_set(F.when(which, F.col("line")))).cast("long")
+
+
 def dropped_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """``doc, th, line, near``: the place of every line that goes, and whether it goes for a line at distance one.
 
     ``doc`` is the doc_id (the least long for null), ``th`` a hash of the
-    text, ``line`` counts from 0. Null and empty texts have no lines. Equal
+    text, ``line`` counts from 0. Null and empty texts have no lines. Rows that
+    are repeated give the same place more than once. Equal
     lines of one task are reduced before they are sent, so a line that a third
     of the rows hold travels once per slice of a task.
     """
@@ -264,7 +270,7 @@ def dedup_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
     gives an empty result. Only column names that begin with an underscore
     could clash, so the input's columns are carried as one struct meanwhile.
     """
-    gone = dropped_lines(docs, text, doc_id).groupBy("doc", "th").agg(F.collect_set("line").alias("gone"), F.count_if(~F.col("near")).alias("_exact"), F.count_if("near").alias("_near"))
+    gone = dropped_lines(docs, text, doc_id).groupBy("doc", "th").agg(F.collect_set("line").alias("gone"), _places(~F.col("near")).alias("_exact"), _places(F.col("near")).alias("_near"))
     rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), F.coalesce(docs[doc_id].cast("long"), F.lit(_NULL_ID)).alias("i"), F.xxhash64(as_bytes(text)).alias("h"), docs[text].alias("t"))
     rows = rows.join(gone, (F.col("i") == F.col("doc")) & (F.col("h") == F.col("th")), "left")
     lines = F.split("t", "\n", -1)
