@@ -404,6 +404,17 @@ def test_compression_verdicts(spark):
     assert got[1] == "fine" and got[2] == "incompressible" and "repetitive" in got[3]
 
 
+def test_compression_judges_the_end_of_a_text():
+    rng = random.Random(7)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    text = (prose(rng, 4000)[:4100] + " " + "".join(rng.choice(letters) for _ in range(3900))).encode()
+    press = compression.zstandard.ZstdCompressor(level=3)
+    assert compression.outside(compression.WHOLE[3], compression.ratio(press, text)) is None
+    n_chunks, n_failed, verdict, kept = compression.rules(text, press)[-4:]
+    assert (n_chunks, n_failed, verdict, kept) == (2, 1, "incompressible chunks", False)
+    assert compression.rules(text[:4096], press)[-4] == 1 and compression.rules(text[:4095], press)[-4] == 0
+
+
 def test_empty_tables(spark):
     docs = spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")
     labels = spark.createDataFrame([], "doc_id long, quality int")

@@ -32,7 +32,7 @@ class Band:
 
 #: Short texts carry the frame's overhead and find few repeats, so their ratios lie lower.
 WHOLE = (Band(128, 0.0, 4.0), Band(512, 1.05, 2.5), Band(2048, 1.3, 3.0), Band(8192, 1.5, 3.5), Band(65536, 1.6, 4.0), Band(None, 1.6, 4.5))
-#: For each full chunk of CHUNK bytes; a text fails if more than CHUNK_SHARE of them fail.
+#: For each full chunk of CHUNK bytes, and the last CHUNK bytes where the chunks leave a rest; a text fails if more than CHUNK_SHARE of them fail.
 CHUNK, CHUNK_BAND, CHUNK_SHARE = 4096, Band(None, 1.5, 3.5), 0.2
 MIN_WORDS, REPEAT_WORDS, REPEAT_PERCENT = 20, 8, 30
 
@@ -84,7 +84,10 @@ def rules(text: bytes, press: zstandard.ZstdCompressor) -> tuple:
     failed = len(words) < MIN_WORDS or 100 * repeats > REPEAT_PERCENT * len(words)
     whole = ratio(press, text)
     verdict = outside(next(b for b in WHOLE if b.below is None or len(text) < b.below), whole) if text else "empty"
-    chunks = [outside(CHUNK_BAND, ratio(press, text[i : i + CHUNK])) for i in range(0, len(text) - CHUNK + 1, CHUNK)]
+    starts = list(range(0, len(text) - CHUNK + 1, CHUNK))
+    if starts and len(text) % CHUNK:
+        starts.append(len(text) - CHUNK)
+    chunks = [outside(CHUNK_BAND, ratio(press, text[i : i + CHUNK])) for i in starts]
     bad = [x for x in chunks if x]
     if verdict is None and len(bad) > CHUNK_SHARE * len(chunks):
         verdict = f"{max(set(bad), key=bad.count)} chunks"
