@@ -441,3 +441,65 @@ def test_pipeline_small(spark, tmp_path, corpus):
     before = ngram_join.components(spark.read.parquet(f"{tmp_path}/s1")).toPandas()
     assert kept == set(before[before["doc_id"] == before["component_id"]]["doc_id"]) and len(kept) < len(before)
     assert len(out) and set(out["doc_id"]) <= kept
+
+
+def test_pipeline_equals_plain_versions(spark, tmp_path, corpus, rows):
+    import corpus_pipeline
+
+    rng = random.Random(21)
+    old = [x for x in dict(rows)[1].split("\n") if x][:2]
+    partly = "\n".join(old + [prose(rng, 15) for _ in old])
+    columns = ["doc_id", "text", "lang", "source", "n_chars"]
+    extra = spark.createDataFrame([(500, partly, "en", "src1", 1)] * 2, corpus.select(columns).schema)
+    corpus.select(columns).where("doc_id is not null").union(extra).coalesce(2).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, 1) for i in range(120)] + [(304, 0), (309, 0)], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    good = corpus_pipeline.quality(spark, docs, str(tmp_path)).withColumn("h", F.xxhash64(F.coalesce(F.col("text").cast("binary"), F.lit(b"")))).collect()
+
+    # Lines: each goes if an earlier one, by doc_id, hash of the text and place, is the same or within one word.
+    split = lambda t: (t or "").encode().split(b"\n")
+    items = sorted({(r.doc_id, r.h, i, tuple(WORD.findall(x.lower()))) for r in good for i, x in enumerate(split(r.text)) if WORD.search(x)})
+    gone = {x[:3] for k, x in enumerate(items) if any(close(x[3], y[3]) for y in items[:k])}
+    first = []
+    for r in good:
+        full = [i for i, x in enumerate(split(r.text)) if WORD.search(x)]
+        if not full or any((r.doc_id, r.h, i) not in gone for i in full):
+            text = None if r.text is None else b"\n".join(x for i, x in enumerate(split(r.text)) if (r.doc_id, r.h, i) not in gone).decode()
+            first.append((r.doc_id, r.source, text))
+    assert [t for i, _, t in first if i == 500] == ["\n".join(partly.split("\n")[len(old) :])] * 2
+
+    # Near-duplicates: rows of the least doc_id of each component.
+    sets, forest = [(i, shingle_set(t)) for i, _, t in first], Forest()
+    for x, (i, a) in enumerate(sets):
+        for j, b in sets[:x]:
+            if a and b and 100 * len(a & b) >= 80 * len(a | b):
+                forest.join(i, j)
+    once = [r for r in first if forest.find(r[0]) == r[0]]
+    assert len(once) < len(first)
+
+    # Mixing: every source is one block here, read in order of hash, epoch by epoch, up to its room.
+    hashed = spark.createDataFrame(once, "doc_id long, source string, text string").withColumn("h", F.xxhash64(F.coalesce("text", F.lit(""))))
+    hashed = [(r.doc_id, r.source, r.text, r.h, r.order) for r in hashed.withColumn("order", F.array(*[F.xxhash64("doc_id", F.lit(e), "h") for e in range(5)])).collect()]
+    size = lambda t: len(WORD.findall((t or "").encode()))
+    sources = sorted({r[1] for r in hashed}, key=lambda s: (s is None, s or ""))
+    totals = [float(sum(size(r[2]) for r in hashed if r[1] == s)) for s in sources]
+    weights = mixing.weights_at(totals, mixing.bisect_exponent(totals, sum(totals)))
+    copies, read = Counter(r[:4] for r in hashed), Counter()
+    for source, weight, total in zip(sources, weights, totals, strict=True):
+        own = [r for r in hashed if r[1] == source]
+        assert len(own) <= mixing.BLOCK_ROWS
+        start = 0
+        for e in range(mixing.epochs(weight * sum(totals), total)):
+            for r in sorted(own, key=lambda r: (r[4][e], r[0], r[3])):
+                if start < weight * sum(totals) or not total:
+                    read[r[:4]] += 1
+                start += size(r[2])
+    mixed = [r[:4] for r in hashed for _ in range(-(-read[r[:4]] // copies[r[:4]]))]
+
+    # Token ids: the library's.
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.codec(bpe.RANKS).ranks, special_tokens={})
+    want = Counter()
+    for i, _, t, _ in mixed:
+        ids = library.encode_ordinary(t or "")
+        want[i, len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256((t or "").encode()).hexdigest()] += 1
+    assert multiset(corpus_pipeline.run(spark, str(tmp_path)), "doc_id", "n_tokens", "ids_sha256", "decoded_sha256") == want
