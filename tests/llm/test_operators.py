@@ -199,6 +199,20 @@ def test_passages_quoted_in_part_before_are_found(spark):
     assert got == want
 
 
+def test_near_passages_are_found(spark):
+    rng = random.Random(31)
+    voc = [f"v{i}" for i in range(9000)]
+    words = lambda n: [rng.choice(voc) for _ in range(n)]
+    docs, want = [], set()
+    for k in range(400):
+        p = words(51)
+        q = [*p[:25], "changed", *p[26:]]
+        docs += [(2 * k, " ".join(words(70) + p + words(70))), (2 * k + 1, " ".join(words(70) + q + words(70)))]
+        want.add((2 * k, 2 * k + 1))
+    got = {(r.rep_doc_id, r.doc_id) for r in substring.repeated_passages(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == want
+
+
 def test_compact_windows_are_the_wide_nodes_of_the_tree():
     rng = np.random.default_rng(1)
     for n in (10, 46, 47, 48, 60, 300):
