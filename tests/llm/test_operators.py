@@ -77,9 +77,9 @@ class Forest(dict):
         self[b] = a
 
 
-@pytest.mark.parametrize("at_once", [4, 2])
-def test_jaccard_join_is_exact(corpus, rows, monkeypatch, at_once):
-    monkeypatch.setattr(ngram_join, "AT_ONCE", at_once)
+@pytest.mark.parametrize("block", [ngram_join.BLOCK, 3000])
+def test_jaccard_join_is_exact(corpus, rows, monkeypatch, block):
+    monkeypatch.setattr(ngram_join, "BLOCK", block)
     got = multiset(ngram_join.components(corpus), "doc_id", "n_shingles", "component_id")
     sets = [(i, shingle_set(t)) for i, t in rows]
     forest = Forest()
@@ -93,9 +93,16 @@ def test_jaccard_join_is_exact(corpus, rows, monkeypatch, at_once):
     assert kept.columns == corpus.columns and {r.doc_id for r in kept.collect()} == {i for i, _, c in want if i is None or i == c}
 
 
-def test_signatures_lose_no_pair():
+@pytest.mark.parametrize("kind", [None, 0, 1])
+def test_signatures_lose_no_pair(kind):
     rng = np.random.default_rng(5)
     universe = rng.integers(0, 2**63, 200_000, dtype=np.uint64)
+    plan = ngram_join.allocate(5000, {k: (1000, 0.3, 500.0) for k in range(3, 9)})
+    if kind is not None:
+        for k in range(1, len(plan.kind)):
+            top = int(plan.bases[min(k + 1, len(plan.bases) - 1)]) - 1
+            most = int(ngram_join.difference(top, top * 100 // 80))
+            plan.kind[k], plan.segments[k] = kind, most // 2 + 1 if kind else int((most + 1) * 1.5)
     for n in [1, 2, 3, 4, 5, 7, 12, 13, 15, 16, 22, 28, 29, 35, 36, 60, 115, 116, 140, 463, 464, 600] * 12:
         a = np.unique(rng.choice(universe, n))
         drop, add = rng.integers(0, len(a) // 5 + 1), rng.integers(0, len(a) // 4 + 1)
@@ -103,13 +110,18 @@ def test_signatures_lose_no_pair():
         both = len(np.intersect1d(a, b))
         if both and 100 * both >= 80 * (len(a) + len(b) - both) and not np.array_equal(a, b):
             hot = np.sort(rng.choice(a, len(a) // 3 + 1))
-            assert len(np.intersect1d(ngram_join.signatures(a, 80, hot), ngram_join.signatures(b, 80, hot)))
+            keys, of = ngram_join.signatures(np.concatenate([a, b]), np.array([0, len(a), len(a) + len(b)]), plan, (hot, np.full(len(hot), 9)))
+            assert len(np.intersect1d(keys[of == 0], keys[of == 1]))
+            # A parity bitmap never differs in more bits than the sets do in elements.
+            x, y = (np.frombuffer(m, np.uint64) for m in ngram_join.bitmaps(np.concatenate([a, b]), np.array([0, len(a), len(a) + len(b)])))
+            w = min(len(x), len(y))
+            assert np.bitwise_count(ngram_join.fold(x, w) ^ ngram_join.fold(y, w)).sum() <= len(a) + len(b) - 2 * both
 
 
 def close(a, b):
     if a == b:
         return True
-    if min(len(a), len(b)) < line_dedup.MIN_WORDS or abs(len(a) - len(b)) > 1:
+    if max(len(a), len(b)) < 5 or abs(len(a) - len(b)) > 1:
         return False
     if len(a) == len(b):
         return sum(x != y for x, y in zip(a, b, strict=True)) <= 1
@@ -119,7 +131,7 @@ def close(a, b):
 
 def test_line_dedup_equals_brute_force(spark):
     rng = random.Random(4)
-    base = [prose(rng, rng.choice([3, 9, 10, 11, 15, 16, 17, 31, 32, 33, 60])) for _ in range(40)]
+    base = [prose(rng, rng.choice([3, 4, 5, 6, 9, 10, 11, 12, 13, 15, 16, 17, 31, 32, 33, 60])) for _ in range(40)]
 
     def edit(x):
         w, i = x.split(), rng.randrange(len(x.split()))
@@ -143,8 +155,8 @@ def test_line_dedup_equals_brute_force(spark):
     gone = {(d, t, i) for k, (d, _, i, w, t) in enumerate(items) if any(close(w, v[3]) for v in items[:k])}
     want = Counter((d, None if t is None else "\n".join(x for i, x in enumerate(t.split("\n")) if (d, t, i) not in gone)) for d, t in texts)
     got = line_dedup.dedup_lines(df)
-    assert multiset(got, "doc_id", "_kept") == want
-    assert got.columns[:3] == ["doc_id", "text", "h"]
+    assert multiset(got, "row.doc_id", "kept") == want
+    assert got.schema["row"].dataType.names == ["doc_id", "text", "h"]
 
 
 def test_repeated_rows_count_their_lines_once(spark):
@@ -152,7 +164,7 @@ def test_repeated_rows_count_their_lines_once(spark):
     old, new = [prose(rng, 12) for _ in range(3)], [prose(rng, 12) for _ in range(3)]
     rows = [(1, "\n".join(old))] + [(2, "\n".join(old + new))] * 2 + [(3, prose(rng, 15))]
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    got = multiset(line_dedup.dedup_lines(df), "doc_id", "_lines", "_exact", "_near")
+    got = multiset(line_dedup.dedup_lines(df), "row.doc_id", "n_lines", "n_exact", "n_near")
     assert got == {(1, 3, 0, 0): 1, (2, 6, 3, 0): 2, (3, 1, 0, 0): 1}
     kept = multiset(line_dedup.keep_first_lines(df), "doc_id", "text")
     assert kept == {rows[0]: 1, (2, "\n".join(new)): 2, rows[3]: 1}

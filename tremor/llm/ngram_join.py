@@ -2,28 +2,28 @@
 
 A document is its set of word shingles. Two sets of sizes a and b have a
 Jaccard similarity of t or more only if they differ in at most
-``H = floor((1 - t) / (1 + t) * (a + b))`` elements. The universe of shingle
-hashes is parted into segments, finer for larger sets (size bands). Three
-allocations serve three kinds of bands, by the number of signatures that they
-cost a set of n shingles (cf. Deng et al., 2015, 2018):
-
-* tiny sets: every shingle is its own segment; ``H + 1`` of them;
-* small sets: few segments, each by its exact signature and by those of its
-  one-deletion neighbourhood: a segment of two or more elements then catches a
-  difference of one, so that few segments suffice and each is selective
-  (``n`` signatures and a few);
-* large sets: exact signatures of the ``H + 1`` segments that come first in a
-  common order (those of frequent shingles last, else by hash): sets that
-  differ in at most H segments share one there.
-
-A set whose segments cannot meet its bound (too many empty or single ones)
-falls back to all of its signatures plus its ``H + 1`` first shingles. So no
-link is lost. Candidates are verified by exact intersection.
-
-Documents of one signature are compared without forming all their pairs: each
-with the least of them, then, only where that leaves them in different
-components and the triangle inequality of the Jaccard distance permits a link,
-with 8, 64, 512, ... of the others, until one component or none is left.
+``H = floor((1 - t) / (1 + t) * (a + b))`` elements. Sizes are parted into
+bands; a pair meets in the band of its smaller set, so a set has keys in its
+own band and, where a smaller partner may lie there, in the one below. A band
+parts the universe of shingle hashes into segments (cf. Deng et al., 2015, 2018)
+and has one of two allocations, the cheaper by the shingle frequencies that
+were measured over all documents (:func:`allocate`):
+
+* segment subsets: sets that differ in at most H elements share one of their
+  ``H + 1`` segments that come first in a common order, in which segments of
+  frequent shingles come last;
+* one-deletion neighbourhoods: of ``H / 2 + 1`` segments one differs in at most
+  one element, so each counts as it is and less each of its elements.
+
+A set whose segments cannot meet its bound (too many empty or single ones) has
+the ``H + 1`` first of its shingles as keys besides. So no link is lost.
+
+Every set of a key is compared with one of them first. A parity bitmap of each
+set (a bit flips for each element) differs in no more bits than the sets do in
+elements, so it rules most others out exactly; the rest is verified on the
+words of the texts. Where a key still holds several components, its sets are
+compared across components by their bitmaps, in blocks, and of those that may
+link only a spanning forest goes on to be verified, until no pair is open.
 """
 
 from __future__ import annotations
@@ -35,192 +35,424 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tremor.llm._text import as_bytes, mix, shingles, slices, to_signed
+from tremor.llm._text import as_bytes, batch_slices, column_shingles, mix, sorted_sets, to_signed
 from tremor.operators.components import connected_components
-from tremor.session import materialize, release
+from tremor.session import materialize, release, remove
 
 #: Similarity as a fraction: 80 of 100.
 PERCENT, WIDTH = 80, 5
-#: Sets up to TINY shingles: single-shingle segments. Up to SMALL: SEGMENTS segments with deletions.
-TINY, SMALL, SEGMENTS = 12, 28, 4
-#: Each band of larger sets spans this factor of sizes.
-SPAN = 4
-#: A signature shared by so many documents or fewer has all its open pairs compared at once.
-AT_ONCE = 4
-#: Shingles of fewer documents aren't frequent. The most shingles that are known as frequent when signatures are ordered (512 KB).
+#: First sizes of the bands: the first one takes single shingles as segments; each later one spans this factor of sizes.
+TINY, SPAN = 12, 1.5
+#: Shingles of fewer documents aren't frequent. The most shingles that are known as frequent when segments are ordered (1 MB).
 LEAST_FREQUENT, FREQUENT = 24, 65536
+#: How many segments a band may have for each one that a set needs, and the costs of a key row and of a pair of one key.
+SLACK, ROW_COST, PAIR_COST = (1.0, 1.5, 2.0, 3.0), 1.0, 1.0
+#: Bytes of bitmaps that a task compares at once; a larger group goes by pairs of blocks.
+BLOCK = 8 << 20
+#: A set that a task has met has no keys again; so many are remembered.
+SEEN = 200_000
+_SUBSETS, _DELETIONS, _SINGLE = 0, 1, 2
+_NAME = np.uint64(0xD6E8FEB86659FD93)
 
 
-def difference(a: int, b: int, percent: int = PERCENT) -> int:
+def difference(a, b, percent: int = PERCENT):
     """The most elements in which sets of sizes a and b may differ and link."""
     return (100 - percent) * (a + b) // (100 + percent)
 
 
-def _segments(u: np.ndarray, m: int) -> np.ndarray:
-    """The segment of each shingle: equal ranges of the hashes, so that of sorted hashes they come in order."""
-    return ((u >> np.uint64(32)) * np.uint64(m)) >> np.uint64(32)
+def band_bases(largest: int) -> np.ndarray:
+    """The least size of each band, the first of which begins at 1, up to that of a set of ``largest`` shingles and one more."""
+    out = [1, TINY + 1]
+    while out[-1] <= largest:
+        out.append(max(int(out[-1] * SPAN), out[-1] + 1))
+    return np.array(out, np.int64)
 
 
-def _segment_sums(v: np.ndarray, seg: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Non-empty segments, the sum of scrambled elements of each (its signature), and where each begins."""
-    start = np.flatnonzero(np.append(True, seg[1:] != seg[:-1]))
-    return seg[start], np.add.reduceat(v, start), start
+class Allocation:
+    """For each band the kind of its keys and the number of its segments."""
 
+    def __init__(self, bases: np.ndarray, kind: np.ndarray, segments: np.ndarray, percent: int = PERCENT):
+        self.bases, self.kind, self.segments, self.percent = bases, kind, segments, percent
 
-def _key(band: int, seg: np.ndarray, value: np.ndarray) -> np.ndarray:
-    salt = np.uint64(0x9E3779B97F4A7C15) * np.uint64(band + 1)
-    return mix(value ^ mix(seg + salt))
 
+def allocate(largest: int, hot: dict[int, tuple[int, float, float]], percent: int = PERCENT) -> Allocation:
+    """The cheapest allocation of each band.
 
-def _ranked(keys: np.ndarray, hot: np.ndarray, most: int) -> np.ndarray:
-    """The first ``most + 1`` keys of the common order: by hash, those of frequent segments (highest bit) last."""
-    keys = (keys >> np.uint64(1)) | (hot.astype(np.uint64) << np.uint64(63))
-    return np.partition(keys, most)[: most + 1] if len(keys) > most + 1 else keys
+    ``hot``: by band the number of sets, the share of frequent shingles among
+    theirs, and the mean number of documents of those. A set that lacks
+    segments without frequent shingles falls on frequent keys, each of which
+    has about as many sets as the shingle has documents.
+    """
+    bases = band_bases(largest)
+    kind, segments = np.zeros(len(bases), np.int64), np.ones(len(bases), np.int64)
+    kind[0] = _SINGLE
+    for k in range(1, len(bases) - 1):
+        top = int(bases[k + 1]) - 1
+        n = (int(bases[k]) + top) / 2
+        most = int(difference(top, top * 100 // percent, percent))
+        _, share, documents = hot.get(k, (0, 0.0, 0.0))
+        choices = []
+        for slack in SLACK:
+            s = int((most + 1) * slack)
+            clean = s * (1 - share ** max(n / s, 1))
+            choices.append((ROW_COST * (most + 1) * (1 + s / n) + PAIR_COST * max(most + 1 - clean, 0) * documents, _SUBSETS, s))
+        s = most // 2 + 1
+        size = n / s
+        # A segment is of frequent shingles alone, or of them but for one: that many keys are frequent.
+        frequent = s * (share**size + size * share ** max(size - 1, 0) * (1 - share))
+        choices.append((ROW_COST * (s + n) + PAIR_COST * frequent * documents, _DELETIONS, s))
+        _, kind[k], segments[k] = min(choices)
+    return Allocation(bases, kind, segments, percent)
+
+
+def _key(band: np.ndarray, seg: np.ndarray, value: np.ndarray) -> np.ndarray:
+    return mix(value ^ mix(seg + np.uint64(0x9E3779B97F4A7C15) * (band.astype(np.uint64) + np.uint64(1))))
+
+
+def _first(owner: np.ndarray, cost: np.ndarray, keys: np.ndarray, most: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of each owner's keys the first ``most + 1`` of the common order: by cost, then by hash. Owners ascend."""
+    order = np.lexsort(((keys >> np.uint64(6)) | (cost.astype(np.uint64) << np.uint64(58)), owner))
+    owner, keys = owner[order], keys[order]
+    new = np.append(True, owner[1:] != owner[:-1])
+    place = np.arange(len(owner)) - np.maximum.accumulate(np.where(new, np.arange(len(owner)), 0))
+    use = place <= most[owner]
+    return owner[use], keys[use]
+
+
+def _band_keys(u, owner, cost, band, most, plan: Allocation):
+    """Keys of sets (``owner`` of each shingle ascends) in the given band of each, for the bound ``most`` of each."""
+    if not len(u):
+        return [], []
+    kind = plan.kind[band]
+    v = mix(u)
+    seg = ((u >> np.uint64(32)) * plan.segments[band][owner].astype(np.uint64)) >> np.uint64(32)
+    single = kind[owner] == _SINGLE
+    start = np.flatnonzero(np.append(True, (seg[1:] != seg[:-1]) | (owner[1:] != owner[:-1])))
+    total = np.add.reduceat(v, start)
+    so, sg = owner[start], seg[start]
+    size = np.diff(np.append(start, len(u)))
+    whole = _key(band[so], sg, total)
+    n = len(band)
+    owners, keys = [], []
+    subsets = kind[so] == _SUBSETS
+    if subsets.any():
+        o, k = _first(so[subsets], np.minimum.reduceat(cost, start)[subsets], whole[subsets], most)
+        owners.append(o), keys.append(k)
+    deletions = kind[so] == _DELETIONS
+    if deletions.any():
+        owners.append(so[deletions]), keys.append(whole[deletions])
+        of = np.repeat(np.arange(len(start)), size)
+        rich = (size[of] > 1) & deletions[of]
+        of = of[rich]
+        owners.append(so[of]), keys.append(_key(band[so[of]], sg[of], total[of] - v[rich]))
+    # Too few segments for the bound: single shingles besides.
+    reach = np.bincount(so, np.where(kind[so] == _DELETIONS, np.minimum(size, 2), 1), n)
+    weak = single | (reach <= most)[owner]
+    if weak.any():
+        w = owner[weak]
+        o, k = _first(w, cost[weak], _key(band[w] + 1000, np.zeros(len(w), np.uint64), mix(u[weak] ^ np.uint64(0xA5A5A5A5))), most)
+        owners.append(o), keys.append(k)
+    return owners, keys
+
+
+def signatures(u: np.ndarray, edge: np.ndarray, plan: Allocation, frequent: tuple[np.ndarray, np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of several sets of distinct shingle hashes (each ascending), and whose they are.
+
+    ``frequent`` holds shingles that many documents have (sorted) and their
+    cost, 1 to 63. Any such list gives the same links.
+    """
+    with np.errstate(over="ignore"):
+        n = np.diff(edge)
+        owner = np.repeat(np.arange(len(n)), n)
+        cost = np.zeros(len(u), np.int64)
+        if frequent is not None and len(frequent[0]):
+            at = np.minimum(np.searchsorted(frequent[0], u), len(frequent[0]) - 1)
+            cost = np.where(frequent[0][at] == u, frequent[1][at], 0)
+        band = np.maximum(np.searchsorted(plan.bases, n, side="right") - 1, 0)
+        owners, keys = _band_keys(u, owner, cost, band, difference(n, n * 100 // plan.percent, plan.percent), plan)
+        # A smaller partner may lie in the band below.
+        below = (band > 0) & (n * plan.percent <= (plan.bases[band] - 1) * 100)
+        if below.any():
+            use = below[owner]
+            more = _band_keys(u[use], owner[use], cost[use], np.maximum(band - 1, 0), difference(n, np.minimum(n, plan.bases[band] - 1), plan.percent), plan)
+            owners, keys = owners + more[0], keys + more[1]
+        if not keys:
+            return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        return np.concatenate(keys), np.concatenate(owners)
+
+
+def names(u: np.ndarray, edge: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two independent 64-bit names of each set; the empty set has a name too."""
+    with np.errstate(over="ignore"):
+        return tuple(mix(np.diff(np.append(np.uint64(0), np.cumsum(mix(u ^ salt)))[edge]) + np.diff(edge).astype(np.uint64) + salt) for salt in (np.uint64(0), _NAME))
 
 
-def _large_keys(u: np.ndarray, hot: np.ndarray, band: int, base: int, most: int) -> np.ndarray:
-    """Signatures of a set in a large band: those of its first ``most + 1`` segments."""
-    seg, total, start = _segment_sums(mix(u), _segments(u, 2 * base))
-    keys = _ranked(_key(band, seg, total), np.logical_and.reduceat(hot, start), most)
-    return keys if len(keys) > most else np.concatenate([keys, _first(u, hot, 1000 + band, most)])
+def bitmaps(u: np.ndarray, edge: np.ndarray) -> list[bytes]:
+    """Parity bitmap of each set, 4 to 8 bits for each shingle, a power of two of 64 at least."""
+    out = []
+    for a, b in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True):
+        bits = 1 << max((4 * (b - a) - 1).bit_length(), 6)
+        odd = (np.bincount((u[a:b] & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1).astype(np.uint8)
+        out.append(np.packbits(odd, bitorder="little").tobytes())
+    return out
 
 
-def _first(u: np.ndarray, hot: np.ndarray, band: int, most: int) -> np.ndarray:
-    return _ranked(_key(band, np.zeros(len(u), np.uint64), mix(u ^ np.uint64(0xA5A5A5A5))), hot, most)
+def fold(bits: np.ndarray, words: int) -> np.ndarray:
+    """Bitmaps (rows of 64-bit words) brought down to ``words`` words; their differences don't grow."""
+    while bits.shape[-1] > words:
+        half = bits.shape[-1] // 2
+        bits = bits[..., :half] ^ bits[..., half:]
+    return bits
 
 
-def signatures(u: np.ndarray, percent: int = PERCENT, frequent: np.ndarray | None = None) -> np.ndarray:
-    """Signature keys of a set of distinct shingle hashes in ascending order.
+_FACTS = "kind int, doc long, id long, other long, n int, bits binary"
 
-    ``frequent`` (sorted) holds shingles that many documents have. Segments of
-    nothing else cost many candidates, so they come last in the common order;
-    any such list gives the same links.
-    """
-    with np.errstate(over="ignore"):
-        n = len(u)
-        largest = n * 100 // percent  # of a partner
-        most = difference(n, largest, percent)
-        if n == 0:
-            return np.zeros(0, np.uint64)
-        hot = np.zeros(n, bool)
-        if frequent is not None and len(frequent):
-            hot = frequent[np.minimum(np.searchsorted(frequent, u), len(frequent) - 1)] == u
-        out = []
-        if n * percent <= TINY * 100:  # it, or a smaller partner, is tiny
-            out.append(_first(u, hot, 0, difference(n, largest if n <= TINY else TINY, percent)))
-        if n > TINY and n * percent <= SMALL * 100:
-            bound = difference(n, largest if n <= SMALL else SMALL, percent)
-            seg, v = _segments(u, SEGMENTS), mix(u)
-            at, total, start = _segment_sums(v, seg)
-            size = np.diff(np.append(start, n))
-            where = np.repeat(np.arange(len(at)), size)
-            rich = size[where] > 1
-            out.append(_key(1, at, total))
-            out.append(_key(1, seg[rich], (total[where] - v)[rich]))
-            if int(np.minimum(size, 2).sum()) <= bound:
-                out.append(_first(u, hot, 2, bound))
-        if n > SMALL:
-            band, base = 0, SMALL + 1
-            while base * SPAN <= n:
-                band, base = band + 1, base * SPAN
-            out.append(_large_keys(u, hot, 3 + band, base, most))
-            if band and n * percent <= (base - 1) * 100:  # a smaller partner may lie in the band below
-                out.append(_large_keys(u, hot, 2 + band, base // SPAN, difference(n, min(n, base - 1), percent)))
-        return out[0] if len(out) == 1 else np.unique(np.concatenate(out))
-
-
-def frequent_shingles(texts: DataFrame, width: int, most: int = FREQUENT) -> np.ndarray:
-    """Up to ``most`` of the shingles that the most documents have, counted over all documents.
-
-    Each task counts exactly what it reads, some thousand documents at a time,
-    and passes on what it has met in more than one; so what comes together is
-    far less than the text. The list orders signatures and decides no link.
+
+def _facts(width: int, bases: np.ndarray):
+    """Of each text its names, size and bitmap (kind 0); of what a task has read, shingles of several texts with their number (kind 1).
+
+    A shingle comes once for each band of sizes: ``n`` tells the band then, ``other`` the number.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
 
-        def flush():
-            u, c = np.unique(np.concatenate(held), return_counts=True)
-            keep = c > 2
-            return pa.RecordBatch.from_arrays([pa.array(to_signed(u[keep])), pa.array(c[keep])], ["s", "c"])
+        def rows(kind, doc, ident, other, n, bits):
+            k = len(ident)
+            cols = [pa.array(np.full(k, kind, np.int32)), doc if doc is not None else pa.nulls(k, pa.int64()), pa.array(to_signed(ident)), pa.array(to_signed(other)), pa.array(n.astype(np.int32))]
+            return pa.RecordBatch.from_arrays([*cols, pa.array(bits, pa.binary()) if bits is not None else pa.nulls(k, pa.binary())], [x.split()[0] for x in _FACTS.split(", ")])
+
+        def counts():
+            s, b = (np.concatenate(x) for x in zip(*held, strict=True))
+            order = np.argsort(s)
+            s, b = s[order], b[order]
+            start = np.flatnonzero(np.append(True, s[1:] != s[:-1]))
+            often = np.diff(np.append(start, len(s))) > 2
+            keep = np.repeat(often, np.diff(np.append(start, len(s))))
+            s, b = s[keep], b[keep]
+            order = np.lexsort((b, s))
+            s, b = s[order], b[order]
+            start = np.flatnonzero(np.append(True, (s[1:] != s[:-1]) | (b[1:] != b[:-1]))) if len(s) else np.zeros(0, np.int64)
+            return rows(1, None, s[start], np.diff(np.append(start, len(s))).astype(np.uint64), b[start], None)
+
+        with np.errstate(over="ignore"):
+            for part in batch_slices(batches):
+                u, edge = sorted_sets(*column_shingles(part.column("t"), width))
+                n = np.diff(edge)
+                lo, hi = names(u, edge)
+                yield rows(0, part.column("i"), lo, hi, n, bitmaps(u, edge))
+                held.append((u, np.repeat((np.searchsorted(bases, n, side="right") - 1).astype(np.int8), n)))
+                size += len(u)
+                if size > 2_000_000:
+                    yield counts()
+                    held, size = [], 0
+            if held:
+                yield counts()
 
-        for part in slices(batches):
-            for t in part["t"]:
-                held.append(np.unique(shingles(t, width)))
-                size += len(held[-1])
-            if size > 4_000_000:
-                yield flush()
-                held, size = [], 0
-        if held:
-            yield flush()
-
-    counts = texts.mapInArrow(run, "s long, c long").groupBy("s").agg(F.sum("c").alias("c"))
-    top = counts.where(f"c >= {LEAST_FREQUENT}").orderBy(F.desc("c"), "s").limit(most)
-    return np.sort(np.array([r["s"] for r in top.collect()], np.int64).view(np.uint64))
+    return run
 
 
-def _emit(percent: int, width: int, frequent=None):
+def _emit(width: int, given, clashes: frozenset):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hot = frequent.value if frequent is not None else None
-        for part in slices(batches):
-            keys, ids, sizes, whole = [], [], [], []
-            for i, t in zip(part["i"], part["t"], strict=True):
-                u = np.unique(shingles(t, width))
-                # The first row of a document names its whole set, for equal sets and the size.
-                name = mix(np.array([mix(u).sum(dtype=np.uint64) + np.uint64(len(u))], np.uint64))
-                k = np.concatenate([name, signatures(u, percent, hot)])
-                keys.append(k)
-                ids.append(np.full(len(k), i, np.int64))
-                sizes.append(np.full(len(k), len(u), np.int32))
-                w = np.zeros(len(k), bool)
-                w[0] = True
-                whole.append(w)
-            if keys:
-                yield pa.RecordBatch.from_arrays([pa.array(to_signed(np.concatenate(keys))), pa.array(np.concatenate(ids)), pa.array(np.concatenate(sizes)), pa.array(np.concatenate(whole))], ["key", "doc", "n", "whole"])
+        plan, frequent = given.value
+        seen: set[int] = set()
+        with np.errstate(over="ignore"):
+            for part in batch_slices(batches):
+                u, edge = sorted_sets(*column_shingles(part.column("t"), width))
+                ident, n = _ids(u, edge, clashes), np.diff(edge)
+                fresh = np.ones(len(n), bool)
+                for k, x in enumerate(ident.tolist()):
+                    fresh[k] = x not in seen
+                    seen.add(x)
+                if len(seen) > SEEN:
+                    seen.clear()
+                take = np.repeat(fresh, n)
+                keys, of = signatures(u[take], np.append(0, np.cumsum(n[fresh])), plan, frequent)
+                yield pa.RecordBatch.from_arrays([pa.array(to_signed(keys)), pa.array(to_signed(ident[fresh][of])), pa.array(n[fresh][of].astype(np.int32))], ["key", "id", "n"])
 
     return run
 
 
-def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by (whole, key, doc): whole rows with the least document of their key, others only where a key has two.
+def _ids(u: np.ndarray, edge: np.ndarray, clashes: frozenset) -> np.ndarray:
+    """The first name of each set; of those whose first name another set has too, a mix of both."""
+    lo, hi = names(u, edge)
+    if clashes:
+        twice = np.isin(lo, np.array(sorted(clashes), np.uint64))
+        lo[twice] = mix(lo[twice] ^ mix(hi[twice]))
+    return lo
 
-    Holds one row of the batch before, never a group.
-    """
-    last = None  # (whole, key), its least document, and whether that has been told
+
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows sorted by key: each with the first of its key, where a key has two sets; holds one row of the batch before."""
+    last = None
     for b in batches:
-        key, doc, n, whole = (b.column(i).to_numpy(zero_copy_only=False) for i in range(4))
+        key, ident, n = (b.column(i).to_numpy(zero_copy_only=False) for i in range(3))
         if not len(key):
             continue
-        new = np.append(True, (key[1:] != key[:-1]) | (whole[1:] != whole[:-1]))
-        rep = doc[np.maximum.accumulate(np.where(new, np.arange(len(key)), 0))]
-        if last is not None and last[0] == (bool(whole[0]), int(key[0])):
+        new = np.append(True, key[1:] != key[:-1])
+        at = np.maximum.accumulate(np.where(new, np.arange(len(key)), 0))
+        rep, rn = ident[at], n[at]
+        if last is not None and last[0] == key[0]:
             stop = int(np.argmax(new[1:])) + 1 if new[1:].any() else len(key)
-            rep[:stop] = last[1]
-        yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(rep), pa.array(doc), pa.array(n), pa.array(whole)], ["key", "rep", "doc", "n", "whole"]).filter(pa.array(whole | (rep != doc)))
-        last = (bool(whole[-1]), int(key[-1])), int(rep[-1])
+            rep[:stop], rn[:stop] = last[1], last[2]
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (key, rep, rn, ident, n)], ["key", "rep", "rn", "id", "n"]).filter(pa.array(rep != ident))
+        last = int(key[-1]), int(rep[-1]), int(rn[-1])
+
 
+def _within(percent: int):
+    """Of pairs with their bitmaps: those that may link."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batch_slices(batches, 4096, 8 << 20):
+            na, nb = (b.column(c).to_numpy() for c in ("na", "nb"))
+            (xa, ea), (xb, eb) = (text_words(b.column(c)) for c in ("ba", "bb"))
+            wa, wb = np.diff(ea), np.diff(eb)
+            keep = np.zeros(b.num_rows, bool)
+            for size in {*zip(wa.tolist(), wb.tolist(), strict=True)}:
+                at = np.flatnonzero((wa == size[0]) & (wb == size[1]))
+                w = min(size)
+                x = fold(xa[ea[at][:, None] + np.arange(size[0])], w) ^ fold(xb[eb[at][:, None] + np.arange(size[1])], w)
+                keep[at] = np.bitwise_count(x).sum(1, dtype=np.int64) <= difference(na[at], nb[at], percent)
+            yield b.select(["a", "b", "na", "nb"]).filter(pa.array(keep))
+
+    return run
 
-def _verify(width: int):
-    """Of rows ``a, b, ta, tb``: the sizes of the intersection and of both sets."""
+
+def text_words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The 64-bit words of a binary column and the range of each row."""
+    _, offsets, data = column.buffers()
+    kind = np.int64 if pa.types.is_large_binary(column.type) else np.int32
+    bounds = np.frombuffer(offsets, kind, column.offset + len(column) + 1)[column.offset :].astype(np.int64)
+    raw = np.frombuffer(data, np.uint8)[bounds[0] : bounds[-1]] if len(column) else np.zeros(0, np.uint8)
+    return np.frombuffer(raw.tobytes(), np.uint64), (bounds - bounds[0]) // 8
+
+
+def _verify(width: int, percent: int):
+    """Of rows ``a, b, ta, tb``: whether the sets of the texts link."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[int, np.ndarray] = {}
-        for part in slices(batches, 128, 4 << 20):
-            out = []
-            for a, b, ta, tb in zip(part["a"], part["b"], part["ta"], part["tb"], strict=True):
-                x = known.get(a)
-                if x is None:
-                    if len(known) > 64:
-                        known.clear()
-                    x = known[a] = np.unique(shingles(ta, width))
-                y = np.unique(shingles(tb, width))
-                out.append((a, b, len(np.intersect1d(x, y, assume_unique=True)), len(x), len(y)))
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], ["a", "b", "both", "na", "nb"])
+        with np.errstate(over="ignore"):
+            for part in batch_slices(batches, 512):
+                (x, ex), (y, ey) = (sorted_sets(*column_shingles(part.column(c), width)) for c in ("ta", "tb"))
+                # Of both sorted sets side by side, equal neighbours are shared.
+                link = np.zeros(part.num_rows, bool)
+                for k in range(part.num_rows):
+                    z = np.concatenate([x[ex[k] : ex[k + 1]], y[ey[k] : ey[k + 1]]])
+                    z.sort()
+                    both = int(np.count_nonzero(z[1:] == z[:-1]))
+                    link[k] = 100 * both >= percent * (len(z) - both)
+                yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b"), pa.array(link)], ["a", "b", "link"])
 
     return run
 
 
+_OPEN = "key long, i int, j int, id long, k long, n int, bits binary, failed array<long>"
+
+
+def across(ident: np.ndarray, comp: np.ndarray, n: np.ndarray, bits: list[np.ndarray], failed: list, side: np.ndarray, percent: int = PERCENT) -> list[tuple[int, int]]:
+    """A spanning forest of the pairs of different components that may link.
+
+    ``side``: the block of each set where two blocks meet (only pairs of both
+    count), zeros where one is compared with itself.
+    """
+    words = min(len(x) for x in bits)
+    m = np.stack([fold(x, words) for x in bits])
+    never = {(int(a), int(b)) for a, bs in zip(ident, failed, strict=True) for b in (bs or ())}
+    _, comp = np.unique(comp, return_inverse=True)
+    parent = list(range(int(comp.max()) + 1))
+
+    def find(x):
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    # Rows of the largest component are compared with the others' only.
+    largest = int(np.bincount(comp).argmax())
+    mine = np.flatnonzero(comp != largest)
+    two = bool(side.any())
+    out = []
+    step = max(1, (2 << 20) // (len(ident) * words * 8 + 1))
+    for at in range(0, len(mine), step):
+        rows = mine[at : at + step]
+        now = np.array([find(c) for c in range(len(parent))])[comp]
+        d = np.bitwise_count(m[rows][:, None, :] ^ m[None, :, :]).sum(2, dtype=np.int32)
+        most = difference(n[rows][:, None].astype(np.int64), n[None, :], percent)
+        ok = (d <= most) & (100 * np.minimum(n[rows][:, None], n[None, :]) >= percent * np.maximum(n[rows][:, None], n[None, :])) & (now[rows][:, None] != now[None, :])
+        if two:
+            ok &= side[rows][:, None] != side[None, :]
+        x, y = np.nonzero(ok)
+        for k in np.argsort(d[x, y] / np.maximum(most[x, y], 1), kind="stable").tolist():
+            i, j = int(rows[x[k]]), int(y[k])
+            a, b = find(int(comp[i])), find(int(comp[j]))
+            if a != b:
+                p = int(ident[i]), int(ident[j])
+                if p not in never and p[::-1] not in never:
+                    parent[a] = b
+                    out.append(p)
+    return out
+
+
+def _across(percent: int):
+    """:func:`across` over rows sorted by key and blocks; a group has 2 * BLOCK bytes of bitmaps at most, or two sets."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, name, found = [], None, []
+
+        def close():
+            if len(held) > 1:
+                ident, comp, n, bits, failed, block = zip(*held, strict=True)
+                block = np.array(block) if name[1] != name[2] else np.zeros(len(held), np.int64)
+                pairs = across(np.array(ident), np.array(comp), np.array(n), [np.frombuffer(x, np.uint64) for x in bits], list(failed), block, percent)
+                found.extend((name[0], *p) for p in pairs)
+            held.clear()
+
+        for b in batches:
+            rows = b.to_pydict()
+            for key, i, j, ident, comp, n, bits, failed, block in zip(*(rows[c] for c in ("key", "i", "j", "id", "k", "n", "bits", "failed", "block")), strict=True):
+                if (key, i, j) != name:
+                    close()
+                    name = key, i, j
+                held.append((ident, comp, n, bits, failed, block))
+            yield _pairs(found)
+            found.clear()
+        close()
+        yield _pairs(found)
+
+    return run
+
+
+def _pairs(found: list[tuple[int, int, int]]) -> pa.RecordBatch:
+    cols = list(zip(*found, strict=True)) or [(), (), ()]
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["key", "a", "b"])
+
+
+def frequencies(facts: DataFrame, bases: np.ndarray, percent: int) -> tuple[Allocation, tuple[np.ndarray, np.ndarray]]:
+    """The allocation of each band, and the frequent shingles with their cost, from counts over all documents.
+
+    What comes to the driver is bounded: FREQUENT shingles and one row per band.
+    """
+    counts = facts.where("kind = 1").select(F.col("id").alias("s"), F.col("n").alias("band"), F.col("other").alias("c"))
+    top = counts.groupBy("s").agg(F.sum("c").alias("c")).where(f"c >= {LEAST_FREQUENT}").orderBy(F.desc("c"), "s").limit(FREQUENT).toPandas()
+    order = np.argsort(top["s"].to_numpy(np.int64).view(np.uint64))
+    shingles, c = top["s"].to_numpy(np.int64).view(np.uint64)[order], top["c"].to_numpy(np.int64)[order]
+    frequent = shingles, np.clip(np.ceil(2 * np.log2(np.maximum(c, 1))), 1, 63).astype(np.int64)
+    least = int(c.min()) if len(c) else LEAST_FREQUENT
+    wanted = counts.groupBy("s").agg(F.sum("c").alias("t")).where(f"t >= {least}")
+    share = {r["band"]: (r["c"], r["w"]) for r in counts.join(wanted, "s").groupBy("band").agg(F.sum("c").alias("c"), F.sum(F.col("c") * F.col("t").cast("double")).alias("w")).collect()}
+    band = F.expr(f"filter(sequence(0, {len(bases) - 1}), k -> element_at(array({', '.join(f'{b}L' for b in bases)}), k + 1) <= n)")
+    sizes = facts.where("kind = 0 and n > 0").groupBy((F.size(band) - 1).alias("band")).agg(F.count("*").alias("sets"), F.sum("n").alias("shingles"), F.max("n").alias("largest")).collect()
+    hot = {}
+    for r in sizes:
+        c, w = share.get(r["band"], (0, 0.0))
+        hot[r["band"]] = r["sets"], min(c / r["shingles"], 1.0), w / max(c, 1) * min(1.0, r["sets"] / max(sum(x["sets"] for x in sizes), 1))
+    return allocate(max([r["largest"] for r in sizes], default=1), hot, percent), frequent
+
+
+#: Bands up to sets of more shingles than an array may hold.
+_ALL_BASES = band_bases(1 << 31)
+
+
 def components(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every document.
 
@@ -231,93 +463,134 @@ def components(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH, text
     empty texts have empty sets and link with nothing; very long texts take
     part whole. Rows that repeat a doc_id with the same text come out once
     each with the same values; where texts differ, the rows of a doc_id are
-    one document for links and keep the size of their own set. Null doc_ids
-    link with nothing. An empty table gives an empty result; other columns
-    are ignored.
+    one document for links, each of its texts is compared, and each row keeps
+    the size of its own set. Null doc_ids link with nothing. An empty table
+    gives an empty result; other columns are ignored.
     """
     spark = docs.sparkSession
-    texts = docs.select(F.col(doc_id).cast("long").alias("i"), as_bytes(text).alias("t"))
-    anonymous = texts.where("i is null")
-    texts = texts.where("i is not null")
-    frequent = spark.sparkContext.broadcast(frequent_shingles(texts, width))  # FREQUENT numbers at most
-    rows = texts.mapInArrow(_emit(percent, width, frequent), "key long, doc long, n int, whole boolean")
-    rows = rows.repartition("key").sortWithinPartitions("whole", "key", "doc")
-    found = materialize(rows.mapInArrow(_groups, "key long, rep long, doc long, n int, whole boolean"), "join-keys")
+    texts = docs.select(docs[f"`{doc_id}`"].cast("long").alias("i"), as_bytes(text, docs).alias("t"))
+    facts = materialize(texts.mapInArrow(_facts(width, _ALL_BASES), _FACTS), "join-facts")
+    sets = facts.where("kind = 0 and doc is not null")
+    # Two sets of one 64-bit name: a handful among 10**10, told apart by the second name.
+    twice = sets.groupBy("id").agg(F.min("other").alias("x"), F.max("other").alias("y")).where("x <> y").select("id").limit(100_001).collect()
+    if len(twice) > 100_000:
+        raise RuntimeError("too many sets of one name")
+    clashes = frozenset(int(np.int64(r["id"]).view(np.uint64)) for r in twice)
+    if clashes:
+        named = texts.where("i is not null").mapInArrow(_named(width, clashes), "doc long, id long, n int, bits binary")
+        sets = materialize(named, "join-sets")
+    plan, frequent = frequencies(facts, _ALL_BASES, percent)
+    given = spark.sparkContext.broadcast((plan, frequent))  # FREQUENT numbers and one row per band
+    rows = texts.where("i is not null").mapInArrow(_emit(width, given, clashes), "key long, id long, n int")
+    rows = rows.repartition("key").sortWithinPartitions("key")
+    keys = materialize(rows.mapInArrow(_groups, "key long, rep long, rn int, id long, n int"), "join-keys")
     del rows
     release(spark)
-    # Equal sets are one class: only its least document takes part in what follows.
-    whole = found.where("whole").select("doc", "n", F.when(F.col("n") > 0, F.col("rep")).otherwise(F.col("doc")).alias("rep"))
-    same = whole.where("rep <> doc").groupBy("doc").agg(F.min("rep").alias("r"))
-    shared = found.where("not whole").select("key", F.explode(F.array("rep", "doc")).alias("doc")).distinct()
-    shared = shared.join(same, "doc", "left").select("key", F.coalesce("r", "doc").alias("doc")).distinct()
-    sizes = whole.groupBy("doc").agg(F.max("n").alias("n"))
-    shared = materialize(shared.join(sizes, "doc"), "join-shared")
-    equal = same.select(F.col("doc").alias("a"), F.col("r").alias("b"))
-    near = (100 - percent) / 100 + 1e-9
-    # First every document of a signature against the least one, or all pairs where they are few.
-    per = shared.groupBy("key").agg(F.count("*").alias("c"), F.min(F.struct("doc", "n")).alias("s")).where("c > 1")
-    few = shared.join(per.where(f"c <= {AT_ONCE}").select("key"), "key")
-    many = shared.join(per.where(f"c > {AT_ONCE}").select("key", F.col("s.doc").alias("rep"), F.col("s.n").alias("rn")), "key").where("doc <> rep")
-    x, y = few.alias("x"), few.alias("y")
-    pairs = x.join(y, F.expr("x.key = y.key and x.doc < y.doc")).select(F.col("x.doc").alias("a"), F.col("y.doc").alias("b"), F.col("x.n").alias("na"), F.col("y.n").alias("nb"))
-    pairs = pairs.union(many.select("rep", "doc", "rn", "n"))
-    done = _compare(texts, pairs, percent, width)
-    reach = materialize(connected_components(equal.union(done.where("link").select("a", "b"))), "join-reach")
-    # Then, where a signature of many documents still holds several components, more and more
-    # of its documents against the others, so far as they are not connected and their distances
-    # from the least one leave a link possible.
-    told = done.select(F.col("a").alias("rep"), F.col("b").alias("doc"), F.expr("1 - both / (na + nb - both)").alias("d"))
-    active = materialize(many.join(told, ["rep", "doc"], "left").select("key", "doc", "n", "d"), "join-active")
-    reps = 1
+    # One document stands for each set; the others of the same set link with it.
+    classes = materialize(sets.groupBy("id").agg(F.min("doc").alias("rep_doc"), F.max("n").alias("n"), F.max("bits").alias("bits")), "join-classes")
+    fitting = f"100 * least(na, nb) >= {percent} * greatest(na, nb)"
+    pairs = keys.select(F.least("rep", "id").alias("a"), F.greatest("rep", "id").alias("b"), F.when(F.col("rep") < F.col("id"), F.col("rn")).otherwise(F.col("n")).alias("na"), F.when(F.col("rep") < F.col("id"), F.col("n")).otherwise(F.col("rn")).alias("nb")).where(fitting).distinct()
+    bits = classes.select("id", "bits")
+    pairs = pairs.join(bits.select(F.col("id").alias("a"), F.col("bits").alias("ba")), "a").join(bits.select(F.col("id").alias("b"), F.col("bits").alias("bb")), "b")
+    pairs = materialize(pairs.select("a", "b", "na", "nb", "ba", "bb").mapInArrow(_within(percent), "a long, b long, na int, nb int"), "join-pairs")
+    release(spark)
+    met = keys.select("key", F.explode(F.array(F.struct(F.col("rep").alias("id")), F.struct("id"))).alias("s")).select("key", "s.id").distinct()
+    met = materialize(met, "join-met")
+    remove(spark, keys)
+    # Texts of the sets that share a key with another, once.
+    wanted = met.select("id").distinct().join(classes, "id").select("id", F.col("rep_doc").alias("i"))
+    held = texts.join(wanted, "i").select("id", "t")
+    names_ = held.mapInArrow(_check_names(width, clashes), "id long, t binary") if _any(_many_texts(sets)) else held
+    held = materialize(names_.dropDuplicates(["id"]), "join-texts")
+    release(spark)
+    done = _verified(held, pairs, percent, width)
+    links, failed = done.where("link").select("a", "b"), done.where("not link").select("a", "b")
+    keys = met.select("key").distinct()
+    reach = materialize(connected_components(links), "join-reach")
     while True:
-        reps *= 8
-        active = active.drop("k").join(reach, active["doc"] == reach["node"], "left").withColumn("k", F.coalesce("component", "doc")).select("key", "doc", "n", "d", "k")
-        mixed = active.groupBy("key").agg(F.min("k").alias("k0"), F.max("k").alias("k1")).where("k0 <> k1").select("key")
-        active = active.join(mixed, "key").withColumn("place", F.expr("row_number() over (partition by key order by doc)"))
-        active = materialize(active, "join-active")
-        if not _any(active):
+        # Keys of several components; of keys with the very same sets, one.
+        rows = met.join(keys, "key").join(reach, met["id"] == reach["node"], "left").select("key", "id", F.coalesce("component", "id").alias("k"))
+        mixed = rows.groupBy("key").agg(F.min("k").alias("k0"), F.max("k").alias("k1"), F.count("*").alias("c"), F.bit_xor(F.xxhash64("id")).alias("h0"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("h1")).where("k0 <> k1")
+        mixed = mixed.groupBy("c", "h0", "h1").agg(F.min("key").alias("key")).select("key")
+        rows = rows.join(mixed, "key").join(classes.select("id", "n", "bits"), "id")
+        # One list per set: of a set's failed pairs, which are pairs that are nearly similar enough.
+        lists = failed.groupBy(F.col("a").alias("id")).agg(F.collect_set("b").alias("failed"))
+        rows = rows.join(lists, "id", "left")
+        # Groups too large for one task meet in pairs of blocks.
+        heavy = rows.groupBy("key").agg(F.ceil(F.sum(F.length("bits")) / BLOCK).cast("int").alias("blocks"))
+        rows = rows.join(heavy, "key").withColumn("block", F.expr("cast(pmod(xxhash64(id, 7), blocks) as int)")).withColumn("o", F.explode(F.expr("sequence(0, blocks - 1)")))
+        rows = rows.select("key", F.least("block", "o").alias("i"), F.greatest("block", "o").alias("j"), "id", "k", "n", "bits", "failed", "block")
+        rows = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+        found = materialize(rows.mapInArrow(_across(percent), "key long, a long, b long"), "join-open")
+        if not _any(found):
             break
-        x, y = active.where(f"place <= {reps}").alias("x"), active.alias("y")
-        open_ = f"x.key = y.key and x.place < y.place and x.k <> y.k and coalesce(abs(x.d - y.d) <= {near}, true)"
-        pairs = x.join(y, F.expr(open_)).select(F.col("x.doc").alias("a"), F.col("y.doc").alias("b"), F.col("x.n").alias("na"), F.col("y.n").alias("nb"))
-        more = _compare(texts, pairs, percent, width, done)
-        done = materialize(done.union(more), "join-done")
-        reach = materialize(connected_components(equal.union(done.where("link").select("a", "b"))), "join-reach")
-        active = active.where(f"place > {reps}").drop("place")
-    out = whole.join(reach, whole["doc"] == reach["node"], "left")
-    out = out.select(F.col("doc").alias("doc_id"), F.col("n").cast("long").alias("n_shingles"), F.coalesce("component", "doc").alias("component_id"))
-    bare = anonymous.withColumn("i", F.lit(0).cast("long")).mapInArrow(_emit(percent, width), "key long, doc long, n int, whole boolean").where("whole")
-    return out.union(bare.select(F.lit(None).cast("long"), F.col("n").cast("long"), F.lit(None).cast("long"))) if _any(anonymous) else out
-
-
-def _compare(texts: DataFrame, pairs: DataFrame, percent: int, width: int, done: DataFrame | None = None) -> DataFrame:
-    """``a, b, both, na, nb, link`` of the distinct pairs whose sizes permit a link and that aren't done yet."""
-    pairs = pairs.where(f"100 * least(na, nb) >= {percent} * greatest(na, nb)").select("a", "b").distinct()
-    if done is not None:
-        pairs = pairs.join(done.select("a", "b"), ["a", "b"], "left_anti")
-    checked = _distances(texts, materialize(pairs, "join-pairs"), width)
-    return materialize(checked.withColumn("link", F.expr(f"100 * both >= {percent} * (na + nb - both)")), "join-done")
+        release(spark)
+        done = _verified(held, found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), percent, width)
+        keys = found.select("key").distinct()
+        failed = materialize(failed.union(done.where("not link").select("a", "b")), "join-failed")
+        links = materialize(links.union(done.where("link").select("a", "b")), "join-links")
+        reach = materialize(connected_components(links), "join-reach")
+    return _labelled(facts, sets, classes, links)
 
 
-def _any(df: DataFrame) -> bool:
-    return df.limit(1).count() > 0
+def _named(width: int, clashes: frozenset):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        with np.errstate(over="ignore"):
+            for part in batch_slices(batches):
+                u, edge = sorted_sets(*column_shingles(part.column("t"), width))
+                yield pa.RecordBatch.from_arrays([part.column("i"), pa.array(to_signed(_ids(u, edge, clashes))), pa.array(np.diff(edge).astype(np.int32)), pa.array(bitmaps(u, edge), pa.binary())], ["doc", "id", "n", "bits"])
+
+    return run
 
 
-def _distances(texts: DataFrame, pairs: DataFrame, width: int) -> DataFrame:
-    """``a, b, both, na, nb`` of each pair, from the whole texts."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("i")).distinct()
-    some = texts.join(wanted, "i", "left_semi").groupBy("i").agg(F.min("t").alias("t"))
-    some = materialize(some, "join-texts")
+def _check_names(width: int, clashes: frozenset):
+    """Rows whose text has the set that ``id`` names: of a doc_id with several texts not all do."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        with np.errstate(over="ignore"):
+            for part in batch_slices(batches):
+                mine = _ids(*sorted_sets(*column_shingles(part.column("t"), width)), clashes)
+                yield part.select(["id", "t"]).filter(pa.array(to_signed(mine) == part.column("id").to_numpy()))
+
+    return run
+
+
+def _many_texts(sets: DataFrame) -> DataFrame:
+    """doc_ids whose rows have different sets."""
+    return sets.groupBy("doc").agg(F.min("id").alias("x"), F.max("id").alias("y")).where("x <> y").select("doc")
+
+
+def _labelled(facts: DataFrame, sets: DataFrame, classes: DataFrame, links: DataFrame) -> DataFrame:
+    """The result: links between sets as links between documents, and each document's component."""
+    reps = classes.select("id", "rep_doc")
+    edges = links.join(reps.select(F.col("id").alias("a"), F.col("rep_doc").alias("x")), "a").join(reps.select(F.col("id").alias("b"), F.col("rep_doc").alias("y")), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
+    several = _many_texts(sets)
+    members = sets.join(reps, "id").select("doc", F.when(F.col("n") > 0, F.col("rep_doc")).otherwise(F.col("doc")).alias("rep"), "n")
+    edges = edges.union(members.join(several, "doc", "left_semi").select("doc", "rep"))
+    reach = materialize(connected_components(edges), "join-reach")
+    out = members.join(reach, members["rep"] == reach["node"], "left").select(F.col("doc").alias("doc_id"), F.col("n").cast("long").alias("n_shingles"), F.coalesce("component", "rep").alias("component_id"))
+    bare = facts.where("kind = 0 and doc is null").select(F.lit(None).cast("long"), F.col("n").cast("long"), F.lit(None).cast("long"))
+    return out.union(bare)
+
+
+def _verified(texts: DataFrame, pairs: DataFrame, percent: int, width: int) -> DataFrame:
+    """``a, b, link`` of each pair, from the whole texts."""
+    rows = pairs.select("a", "b").join(texts.select(F.col("id").alias("b"), F.col("t").alias("tb")), "b")
+    rows = rows.join(texts.select(F.col("id").alias("a"), F.col("t").alias("ta")), "a").select("a", "b", "ta", "tb")
+    done = materialize(rows.mapInArrow(_verify(width, percent), "a long, b long, link boolean"), "join-done")
     release(texts.sparkSession)
-    rows = pairs.join(some.select(F.col("i").alias("b"), F.col("t").alias("tb")), "b")
-    rows = rows.join(some.select(F.col("i").alias("a"), F.col("t").alias("ta")), "a").select("a", "b", "ta", "tb")
-    return rows.mapInArrow(_verify(width), "a long, b long, both long, na long, nb long")
+    return done
+
+
+def _any(df: DataFrame) -> bool:
+    return df.limit(1).count() > 0
 
 
 def keep_one(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` (all columns) without those that link, directly or not, to a smaller doc_id.
 
-    Rows of a null doc_id stay; repeated rows of one doc_id stay as they are.
+    Rows of a null doc_id stay; repeated rows of one doc_id stay as they are;
+    documents without words stay. An empty table gives an empty result.
     """
     gone = components(docs, **options).where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
     return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")

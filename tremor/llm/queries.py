@@ -47,7 +47,7 @@ def op8_best_fit_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
-    return found.selectExpr("doc_id", "_lines as n_lines", "_exact as n_exact_dropped", "_near as n_near_dropped", "_kept as kept_text")
+    return found.selectExpr("row.doc_id", "n_lines", "n_exact as n_exact_dropped", "n_near as n_near_dropped", "kept as kept_text")
 
 
 def op10_compression_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,8 +80,8 @@ ORACLE_SQL: dict[str, str] = {
     "op9_line_dedup": f"""WITH t AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS x, unnest(range(0, len(string_split(text, chr(10))))) AS line FROM documents),
  l AS (SELECT *, {_WORDS.format(x="x")} AS ws FROM t), o AS (SELECT *, row_number() OVER (ORDER BY doc_id, line) AS o, array_to_string(ws, ' ') AS k FROM l),
  f AS (SELECT k, min(o) AS o, any_value(ws) AS ws FROM o WHERE len(ws) > 0 GROUP BY k),
- g AS (SELECT * FROM f WHERE len(ws) >= 10),
- v AS (SELECT o, i, array_to_string(list_concat(ws[1:i - 1], ws[i + 1:len(ws)]), ' ') AS rest FROM (SELECT o, ws, unnest(range(1, len(ws) + 1)) AS i FROM g) u),
+ g AS (SELECT * FROM f WHERE len(ws) >= 4),
+ v AS (SELECT o, i, array_to_string(list_concat(ws[1:i - 1], ws[i + 1:len(ws)]), ' ') AS rest FROM (SELECT o, ws, unnest(range(1, len(ws) + 1)) AS i FROM f WHERE len(ws) >= 5) u),
  m AS (SELECT o, min(o) OVER (PARTITION BY rest, i) AS first FROM v),
  near AS (SELECT o FROM m WHERE o > first UNION SELECT v.o FROM v JOIN g ON v.rest = g.k WHERE v.o > g.o UNION SELECT g.o FROM g JOIN v ON v.rest = g.k WHERE g.o > v.o),
  d AS (SELECT o.*, len(o.ws) > 0 AS full_line, len(o.ws) > 0 AND o.o > f.o AS exact, near.o IS NOT NULL AS close FROM o LEFT JOIN f ON f.k = o.k AND len(o.ws) > 0 LEFT JOIN near ON near.o = o.o)
