@@ -109,7 +109,7 @@ def test_signatures_lose_no_pair(kind):
         b = np.unique(np.concatenate([rng.permutation(a)[drop:], rng.choice(universe, add)]))
         both = len(np.intersect1d(a, b))
         if both and 100 * both >= 80 * (len(a) + len(b) - both) and not np.array_equal(a, b):
-            hot = np.sort(rng.choice(a, len(a) // 3 + 1))
+            hot = np.sort(rng.choice(a, len(a) // 3 + 1)) & ~np.uint64(63)
             keys, of = ngram_join.signatures(np.concatenate([a, b]), np.array([0, len(a), len(a) + len(b)]), plan, (hot, np.full(len(hot), 9)))
             assert len(np.intersect1d(keys[of == 0], keys[of == 1]))
             # A parity bitmap never differs in more bits than the sets do in elements.
@@ -192,7 +192,7 @@ def test_repeated_passages(spark):
         forest.join(a, b)
     for members in want.values():
         assert len({forest.find(d) for d in members}) == 1
-    assert set(forest) == set().union(*want.values()) and got["n_words"].min() >= 51
+    assert set(forest) == set().union(*want.values()) and got["n_words"].min() >= 51 and not got.duplicated().any()
 
 
 def test_passages_quoted_in_part_before_are_found(spark):
@@ -225,22 +225,76 @@ def test_near_passages_are_found(spark):
     assert got == want
 
 
-def test_compact_windows_are_the_wide_nodes_of_the_tree():
+def test_places_are_the_wide_nodes_of_the_tree():
     rng = np.random.default_rng(1)
-    for n in (10, 46, 47, 48, 60, 300):
-        s = rng.integers(0, 2**62, n).astype(np.uint64)
-        got = {(int(k) & 3, int(c), int(l), int(r)) for k, c, l, r in zip(*substring.compact_windows(s), strict=True)}
-        want = set()
-        for f, h in enumerate(mix(s[None, :] ^ substring._SEEDS[:, None])):
-            for c in range(n):
+    texts = [rng.integers(0, 2**62, n).astype(np.uint64) for n in (10, 46, 47, 0, 48, 60, 300)]
+    edge = np.append(0, np.cumsum([len(x) for x in texts]))
+    got = set(substring.places(np.concatenate(texts), edge).tolist())
+    want = set()
+    low = np.uint64((1 << 18) - 1)
+    for start, s in zip(edge, texts, strict=False):
+        for seed in substring._SEEDS:
+            h = mix(s * seed) & ~low
+            for c in range(len(s)):
                 l = r = c
                 while l > 0 and h[l - 1] > h[c]:
                     l -= 1
-                while r < n - 1 and h[r + 1] > h[c]:
+                while r < len(s) - 1 and h[r + 1] > h[c]:
                     r += 1
                 if r - l + 1 >= substring.LENGTH:
-                    want.add((f, c, l, r))
-        assert got == want
+                    want.add(int(start) + c)
+    assert got == want
+
+
+def linked(got):
+    forest = Forest()
+    for a, b in zip(got["rep_doc_id"], got["doc_id"], strict=True):
+        forest.join(a, b)
+    return forest
+
+
+@pytest.mark.parametrize("reps", [substring.REPS, 2])
+def test_near_passages_behind_other_texts_are_found(spark, monkeypatch, reps):
+    """Pairs of near passages beside texts of smaller ids that hold both halves, against all pairs of texts."""
+    monkeypatch.setattr(substring, "REPS", reps)
+    rng = random.Random(77)
+    voc = [f"v{i}" for i in range(9000)]
+    words = lambda n: [rng.choice(voc) for _ in range(n)]
+    docs, want = [], []
+    for k in range(100):
+        p = words(90)
+        q = list(p)
+        # One or two edits, from the last one: some 69 words hold one of them at most.
+        for at in sorted(rng.sample([20, 45, 70], rng.randint(1, 2)), reverse=True):
+            e = rng.choice(["swap", "add", "cut"])
+            q[at : at + (e != "add")] = [] if e == "cut" else ["changed"]
+        docs += [(k, " ".join(words(30) + p[:45] + words(40) + p[45:] + words(30))), (1000 + 2 * k, " ".join(words(70) + p + words(70))), (1001 + 2 * k, " ".join(words(70) + q + words(70)))]
+        want.append((1000 + 2 * k, 1001 + 2 * k))
+    # The same phrase of 40 words in many texts, and a passage that some of them share around it.
+    phrase, passage = words(40), words(30)
+    docs += [(3000 + k, " ".join(words(60) + (passage if k % 7 == 0 else words(30)) + phrase + words(60))) for k in range(70)]
+    want += [(3000, 3000 + k) for k in range(7, 70, 7)]
+    got = substring.repeated_passages(spark.createDataFrame(docs, "doc_id long, text string")).toPandas()
+    forest = linked(got)
+    found = [forest.find(a) == forest.find(b) for a, b in want]
+    assert sum(found) >= 0.95 * len(want) and all(found[100:])
+    assert not {a for a in forest if a < 1000 or (a >= 3000 and a % 7 != 3000 % 7)}
+    assert got["n_words"].min() >= 46 and (got["similarity"] >= 0.8).all() and (got["rep_doc_id"] < got["doc_id"]).all()
+
+
+def test_passages_of_copies_repeats_and_long_texts(spark):
+    rng = random.Random(78)
+    voc = [f"v{i}" for i in range(9000)]
+    words = lambda n: [rng.choice(voc) for _ in range(n)]
+    p, long = words(80), words(400_000)  # some 2 MB
+    docs = [(k, " ".join(p)) for k in range(40)] + [(50, " ".join(long + p + words(9))), (51, " ".join(p + words(100) + p)), (51, " ".join(words(100) + p)), (52, " ".join(long[300_000:300_060]))]
+    df = spark.createDataFrame([(i, t, 0, 1) for i, t in docs], "doc_id long, text string, key int, `a.b` int").repartition(3)
+    got = substring.repeated_passages(df).toPandas()
+    forest = linked(got)
+    assert len({forest.find(x) for x in [*range(40), 50, 51]}) == 1 and forest.find(52) == forest.find(50)
+    at = {(r.start_word, r.n_words) for r in got[got["doc_id"] == 51].itertuples()}
+    assert {(0, 80), (180, 80), (100, 80)} <= at
+    assert substring.repeated_passages(df.limit(0)).count() == 0
 
 
 def test_mixing_weights_and_budget(corpus):

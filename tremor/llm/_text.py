@@ -19,15 +19,17 @@ CONTINUATION = bytes(range(0x80, 0xC0))
 
 
 class Remembered(dict):
-    """A dictionary that computes missing values by ``make`` and is emptied at ``limit`` entries."""
+    """A dictionary that computes missing values by ``make`` and is emptied at ``limit`` entries; long keys aren't kept."""
 
-    def __init__(self, make, limit: int = 200_000):
-        self.make, self.limit = make, limit
+    def __init__(self, make, limit: int = 100_000, longest: int = 64):
+        self.make, self.limit, self.longest = make, limit, longest
 
     def __missing__(self, key):
-        if len(self) >= self.limit:
-            self.clear()
-        value = self[key] = self.make(key)
+        value = self.make(key)
+        if len(key) <= self.longest:
+            if len(self) >= self.limit:
+                self.clear()
+            self[key] = value
         return value
 
 

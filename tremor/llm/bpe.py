@@ -23,10 +23,12 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tremor.llm._text import Remembered, slices
+from tremor.llm._text import slices
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 NONE = np.int32(2**31 - 1)
+#: What is remembered between texts holds so many characters at most; stretches of more than LONGEST never are.
+CHARACTERS, LONGEST = 8 << 20, 2048
 DIGESTS = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
@@ -108,10 +110,14 @@ class ByteBPE:
                     hasty[b] |= r <= b
         self.hasty = hasty
         self._index(np.array(keys, np.int64), np.array(made, np.int32))
-        self.known: dict[str, str] = {}
-        self.runs: dict[str, str] = {}
-        self.bytes_of = Remembered(self.decode, limit)
         self.limit = limit
+        self.forget()
+
+    def forget(self) -> None:
+        """Drop what is remembered: ids of pre-tokens, and ids and decoded bytes of stretches of text."""
+        self.known: dict[str, str] = {}
+        self.runs: dict[str, tuple[str, bytes]] = {}
+        self.weight = 0
 
     def _index(self, keys: np.ndarray, made: np.ndarray) -> None:
         self.slots, self.found = np.full(1 << 22, -1, np.int64), np.full(1 << 22, NONE, np.int32)
@@ -207,8 +213,6 @@ class ByteBPE:
 
     def learn(self, pretokens: set[str]) -> None:
         """Remember the ids of these pre-tokens, as decimal ids joined by commas."""
-        if len(self.known) + len(pretokens) > self.limit:
-            self.known.clear()
         rest, raw = [], []
         for p in pretokens:
             b = p.encode()
@@ -226,31 +230,33 @@ class ByteBPE:
                 self.known[p] = ",".join(text[at : at + c])
                 at += c
 
-    def _known(self, texts: set[str]) -> None:
-        """Remember the ids of whole stretches of text in ``runs``."""
-        if len(self.runs) + len(texts) > self.limit:
-            self.runs.clear()
+    def _learn_runs(self, texts: set[str]) -> dict[str, tuple[str, bytes]]:
+        """Ids and decoded bytes of whole stretches of text."""
         parts = {t: self.split(t) for t in texts}
         everything = set().union(*parts.values())
         missing = everything.difference(self.known)
+        if len(self.known) + len(missing) > self.limit // 4:
+            self.known.clear()
+            missing = everything
         if missing:
-            if len(self.known) + len(missing) > self.limit:
-                self.known.clear()
-                missing = everything
             self.learn(missing)
         get = self.known.__getitem__
-        for t, p in parts.items():
-            self.runs[t] = ",".join(map(get, p))
+        ids = {t: ",".join(map(get, p)) for t, p in parts.items()}
+        for p in missing:
+            if len(p) > LONGEST:
+                del self.known[p]
+        return {t: (x, self.decode(x)) for t, x in ids.items()}
 
-    def encode_runs(self, texts: list[str]) -> list[list[str]]:
-        """Ids of each text in runs, each run as decimal ids joined by commas.
+    def encode_runs(self, texts: list[str]) -> list[list[tuple[str, bytes]]]:
+        """Each text in runs: their ids as decimal numbers joined by commas, and the bytes that these decode to.
 
         A space between two characters that are no white space always begins a
         pre-token, so the stretches between such spaces can be encoded (and
         remembered) by themselves. Texts with other white space beside a space
-        are one stretch.
+        are one stretch. What is remembered is bounded by number and by
+        characters; stretches of over LONGEST characters never are.
         """
-        out, cut = [], []
+        cut = []
         for t in texts:
             words = t.split(" ")
             if len(words) > 1 and not crowded(t, words):
@@ -261,18 +267,25 @@ class ByteBPE:
                 cut.append([t] if t else [])
         everything = set().union(*cut)
         missing = everything.difference(self.runs)
+        if missing and (len(self.runs) + len(missing) > self.limit or self.weight > CHARACTERS):
+            self.runs.clear()
+            self.weight, missing = 0, everything
+        long = {}
         if missing:
-            if len(self.runs) + len(missing) > self.limit:
-                missing = everything
-            self._known(missing)
-        get = self.runs.__getitem__
-        for c in cut:
-            out.append(list(map(get, c)))
-        return out
+            new = self._learn_runs(missing)
+            long = {t: x for t, x in new.items() if len(t) > LONGEST}
+            for t in long:
+                del new[t]
+            self.weight += sum(map(len, new))
+            self.runs.update(new)
+        if not long:
+            get = self.runs.__getitem__
+            return [list(map(get, c)) for c in cut]
+        return [[long[t] if t in long else self.runs[t] for t in c] for c in cut]
 
     def encode_batch(self, texts: list[str]) -> list[str]:
         """Ids of each text, as decimal numbers joined by commas."""
-        return [",".join(runs) for runs in self.encode_runs(texts)]
+        return [",".join(x for x, _ in runs) for runs in self.encode_runs(texts)]
 
     def decode(self, ids: str) -> bytes:
         """Bytes of decimal ids joined by commas."""
@@ -300,6 +313,7 @@ def encode(docs: DataFrame, ranks: str = RANKS, text: str = "text", doc_id: str
         for part in slices(batches, 1024):
             ids = [np.array(x.split(","), np.int32) if x else np.zeros(0, np.int32) for x in bpe.encode_batch(part["t"])]
             yield pa.RecordBatch.from_arrays([pa.array(part["i"], pa.int64()), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"])
+        bpe.forget()
 
     return _texts(docs, text, doc_id).mapInArrow(run, "doc_id long, ids array<int>")
 
@@ -328,10 +342,12 @@ def round_trip(docs: DataFrame, ranks: str = RANKS, text: str = "text", doc_id:
         for part in slices(batches, 1024):
             n, a, b = [], [], []
             for runs in bpe.encode_runs(part["t"]):
-                x = ",".join(runs)
+                ids, raw = zip(*runs, strict=True) if runs else ((), ())
+                x = ",".join(ids)
                 n.append(x.count(",") + 1 if x else 0)
                 a.append(hashlib.sha256(x.encode()).hexdigest())
-                b.append(hashlib.sha256(b"".join(map(bpe.bytes_of.__getitem__, runs))).hexdigest())
+                b.append(hashlib.sha256(b"".join(raw)).hexdigest())
             yield pa.RecordBatch.from_arrays([pa.array(part["i"], pa.int64()), pa.array(n, pa.int64()), pa.array(a), pa.array(b)], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        bpe.forget()
 
     return _texts(docs, text, doc_id).mapInArrow(run, DIGESTS)

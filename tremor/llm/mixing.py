@@ -21,6 +21,8 @@ from tremor.session import materialize
 #: Share of the greatest entropy that the weights must reach, and the most epochs of any source.
 ENTROPY_SHARE, MAX_EPOCHS = 0.95, 4.0
 BLOCK_ROWS, SEED = 256, 20240229
+#: Blocks are summed up in order by so many ranges of a source, then each by itself.
+RANGES = 4096
 
 
 def weights_at(tokens: list[float], alpha: float) -> list[float]:
@@ -101,7 +103,12 @@ def plan(docs: DataFrame, budget: int | None = None, share: float = ENTROPY_SHAR
     blocks = rows.groupBy("source", "block").agg(F.sum("n_tokens").alias("bt"), F.first("epochs").alias("epochs"), F.first("tokens").alias("tokens"), F.first("room").alias("room"))
     blocks = blocks.withColumn("epoch", F.explode(F.expr("sequence(0, epochs - 1)")))
     blocks = blocks.withColumn("order", F.xxhash64("source", "block", "epoch", F.lit(SEED)))
-    before = F.expr("coalesce(sum(bt) over (partition by source, epoch order by `order`, block rows between unbounded preceding and 1 preceding), 0)")
+    # Sums in order at two levels: over RANGES ranges of the order, and over the blocks of one range.
+    blocks = blocks.withColumn("range", F.expr(f"floor((cast(`order` as double) + pow(2, 63)) / pow(2, 64) * {RANGES})"))
+    ranges = blocks.groupBy("source", "epoch", "range").agg(F.sum("bt").alias("rt"))
+    ranges = ranges.select(F.col("source").alias("rs"), F.col("epoch").alias("re"), F.col("range").alias("rr"), F.expr("coalesce(sum(rt) over (partition by source, epoch order by range rows between unbounded preceding and 1 preceding), 0)").alias("ahead"))
+    blocks = blocks.join(ranges, blocks["source"].eqNullSafe(F.col("rs")) & (blocks["epoch"] == F.col("re")) & (blocks["range"] == F.col("rr")))
+    before = F.expr("ahead + coalesce(sum(bt) over (partition by source, epoch, range order by `order`, block rows between unbounded preceding and 1 preceding), 0)")
     blocks = blocks.withColumn("start", F.col("epoch") * F.col("tokens") + before).where("start < room or (start = 0 and tokens = 0)")
     blocks = blocks.select(F.col("source").alias("bs"), F.col("block").alias("bb"), "epoch", "start")
     rows = rows.join(blocks, rows["source"].eqNullSafe(F.col("bs")) & (rows["block"] == F.col("bb")))
@@ -127,6 +134,6 @@ def mix(docs: DataFrame, **options) -> DataFrame:
     copies = docs.select(*key).groupBy("_d", "_s", "_h").agg(F.count("*").alias("_c"))
     a, b = times.alias("a"), copies.alias("b")
     per = a.join(b, F.expr("a._d <=> b._d and a._s <=> b._s and a._h = b._h")).select("a._d", "a._s", "a._h", F.expr("cast(ceil(_t / _c) as int) as _n"))
-    rows, p = docs.select(F.struct(*docs.columns).alias("row"), *key).alias("r"), per.alias("p")
+    rows, p = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"), *key).alias("r"), per.alias("p")
     found = rows.join(p, F.expr("r._d <=> p._d and r._h = p._h and r._s <=> p._s"))
     return found.withColumn("_e", F.explode(F.expr("sequence(1, _n)"))).select("row.*")

@@ -23,7 +23,7 @@ set (a bit flips for each element) differs in no more bits than the sets do in
 elements, so it rules most others out exactly; the rest is verified on the
 words of the texts. Where a key still holds several components, its sets are
 compared across components by their bitmaps, in blocks, and of those that may
-link only a spanning forest goes on to be verified, until no pair is open.
+link only a few spanning forests go on to be verified, until no pair is open.
 """
 
 from __future__ import annotations
@@ -35,6 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tremor.llm._blobs import SCHEMA, Gathered, buckets_for, by_bucket, scatter, shuffled, unpack
 from tremor.llm._text import as_bytes, batch_slices, column_shingles, mix, sorted_sets, to_signed
 from tremor.operators.components import connected_components
 from tremor.session import materialize, release, remove
@@ -42,17 +43,21 @@ from tremor.session import materialize, release, remove
 #: Similarity as a fraction: 80 of 100.
 PERCENT, WIDTH = 80, 5
 #: First sizes of the bands: the first one takes single shingles as segments; each later one spans this factor of sizes.
-TINY, SPAN = 12, 1.5
+TINY, SPAN = 12, 2.0
 #: Shingles of fewer documents aren't frequent. The most shingles that are known as frequent when segments are ordered (1 MB).
 LEAST_FREQUENT, FREQUENT = 24, 65536
 #: How many segments a band may have for each one that a set needs, and the costs of a key row and of a pair of one key.
 SLACK, ROW_COST, PAIR_COST = (1.0, 1.5, 2.0, 3.0), 1.0, 1.0
 #: Bytes of bitmaps that a task compares at once; a larger group goes by pairs of blocks.
 BLOCK = 8 << 20
+#: Spanning forests of open pairs that are verified at once.
+FORESTS = 4
 #: A set that a task has met has no keys again; so many are remembered.
 SEEN = 200_000
 _SUBSETS, _DELETIONS, _SINGLE = 0, 1, 2
 _NAME = np.uint64(0xD6E8FEB86659FD93)
+#: Frequent shingles are known by their other bits.
+_BAND = np.uint64(63)
 
 
 def difference(a, b, percent: int = PERCENT):
@@ -166,8 +171,9 @@ def signatures(u: np.ndarray, edge: np.ndarray, plan: Allocation, frequent: tupl
         owner = np.repeat(np.arange(len(n)), n)
         cost = np.zeros(len(u), np.int64)
         if frequent is not None and len(frequent[0]):
-            at = np.minimum(np.searchsorted(frequent[0], u), len(frequent[0]) - 1)
-            cost = np.where(frequent[0][at] == u, frequent[1][at], 0)
+            x = u & ~_BAND
+            at = np.minimum(np.searchsorted(frequent[0], x), len(frequent[0]) - 1)
+            cost = np.where(frequent[0][at] == x, frequent[1][at], 0)
         band = np.maximum(np.searchsorted(plan.bases, n, side="right") - 1, 0)
         owners, keys = _band_keys(u, owner, cost, band, difference(n, n * 100 // plan.percent, plan.percent), plan)
         # A smaller partner may lie in the band below.
@@ -188,10 +194,10 @@ def names(u: np.ndarray, edge: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def bitmaps(u: np.ndarray, edge: np.ndarray) -> list[bytes]:
-    """Parity bitmap of each set, 4 to 8 bits for each shingle, a power of two of 64 at least."""
+    """Parity bitmap of each set, 2 to 4 bits for each shingle, a power of two of 64 at least."""
     out = []
     for a, b in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True):
-        bits = 1 << max((4 * (b - a) - 1).bit_length(), 6)
+        bits = 1 << max((2 * (b - a) - 1).bit_length(), 6)
         odd = (np.bincount((u[a:b] & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1).astype(np.uint8)
         out.append(np.packbits(odd, bitorder="little").tobytes())
     return out
@@ -223,17 +229,14 @@ def _facts(width: int, bases: np.ndarray):
             return pa.RecordBatch.from_arrays([*cols, pa.array(bits, pa.binary()) if bits is not None else pa.nulls(k, pa.binary())], [x.split()[0] for x in _FACTS.split(", ")])
 
         def counts():
-            s, b = (np.concatenate(x) for x in zip(*held, strict=True))
-            order = np.argsort(s)
-            s, b = s[order], b[order]
-            start = np.flatnonzero(np.append(True, s[1:] != s[:-1]))
-            often = np.diff(np.append(start, len(s))) > 2
-            keep = np.repeat(often, np.diff(np.append(start, len(s))))
-            s, b = s[keep], b[keep]
-            order = np.lexsort((b, s))
-            s, b = s[order], b[order]
-            start = np.flatnonzero(np.append(True, (s[1:] != s[:-1]) | (b[1:] != b[:-1]))) if len(s) else np.zeros(0, np.int64)
-            return rows(1, None, s[start], np.diff(np.append(start, len(s))).astype(np.uint64), b[start], None)
+            # The band rides in the lowest bits of a shingle, so one sort of numbers counts both.
+            z = np.concatenate(held)
+            z.sort()
+            start = np.flatnonzero(np.append(True, (z[1:] ^ z[:-1]) > _BAND))
+            size = np.diff(np.append(start, len(z)))
+            z = z[np.repeat(size > 2, size)]
+            start = np.flatnonzero(np.append(True, z[1:] != z[:-1])[: len(z)])
+            return rows(1, None, z[start] & ~_BAND, np.diff(np.append(start, len(z))).astype(np.uint64), (z[start] & _BAND).astype(np.int32), None)
 
         with np.errstate(over="ignore"):
             for part in batch_slices(batches):
@@ -241,7 +244,7 @@ def _facts(width: int, bases: np.ndarray):
                 n = np.diff(edge)
                 lo, hi = names(u, edge)
                 yield rows(0, part.column("i"), lo, hi, n, bitmaps(u, edge))
-                held.append((u, np.repeat((np.searchsorted(bases, n, side="right") - 1).astype(np.int8), n)))
+                held.append((u & ~_BAND) | np.repeat((np.searchsorted(bases, n, side="right") - 1).astype(np.uint64), n))
                 size += len(u)
                 if size > 2_000_000:
                     yield counts()
@@ -252,10 +255,26 @@ def _facts(width: int, bases: np.ndarray):
     return run
 
 
-def _emit(width: int, given, clashes: frozenset):
+_KEY = [np.uint64, np.int64, np.int32]
+_PAIR = [np.uint64, np.int64, np.int32, np.int64, np.int32]
+_PAIRS = "key long, rep long, rn int, id long, n int"
+
+
+def _emit(width: int, given, clashes: frozenset, buckets: int):
+    """Keys of sets, packed. Of a key that a task has several times the first goes on; the others are pairs with it."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         plan, frequent = given.value
         seen: set[int] = set()
+        held = Gathered()
+
+        def flush():
+            key, ident, n = held.take()
+            first, at = _leads(key)
+            other = ~first & (ident != ident[at])
+            yield scatter(buckets, False, key[first], ident[first], n[first])
+            yield scatter(buckets, True, key[other], ident[at][other], n[at][other], ident[other], n[other])
+
         with np.errstate(over="ignore"):
             for part in batch_slices(batches):
                 u, edge = sorted_sets(*column_shingles(part.column("t"), width))
@@ -268,11 +287,20 @@ def _emit(width: int, given, clashes: frozenset):
                     seen.clear()
                 take = np.repeat(fresh, n)
                 keys, of = signatures(u[take], np.append(0, np.cumsum(n[fresh])), plan, frequent)
-                yield pa.RecordBatch.from_arrays([pa.array(to_signed(keys)), pa.array(to_signed(ident[fresh][of])), pa.array(n[fresh][of].astype(np.int32))], ["key", "id", "n"])
+                if held.add(keys, to_signed(ident[fresh])[of], n[fresh][of].astype(np.int32)):
+                    yield from flush()
+            if held.rows:
+                yield from flush()
 
     return run
 
 
+def _leads(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of sorted keys: which are the first of their kind, and the place of the first for each."""
+    first = np.append(True, key[1:] != key[:-1])[: len(key)]
+    return first, np.maximum.accumulate(np.where(first, np.arange(len(key)), 0))
+
+
 def _ids(u: np.ndarray, edge: np.ndarray, clashes: frozenset) -> np.ndarray:
     """The first name of each set; of those whose first name another set has too, a mix of both."""
     lo, hi = names(u, edge)
@@ -283,20 +311,19 @@ def _ids(u: np.ndarray, edge: np.ndarray, clashes: frozenset) -> np.ndarray:
 
 
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by key: each with the first of its key, where a key has two sets; holds one row of the batch before."""
-    last = None
-    for b in batches:
-        key, ident, n = (b.column(i).to_numpy(zero_copy_only=False) for i in range(3))
-        if not len(key):
-            continue
-        new = np.append(True, key[1:] != key[:-1])
-        at = np.maximum.accumulate(np.where(new, np.arange(len(key)), 0))
-        rep, rn = ident[at], n[at]
-        if last is not None and last[0] == key[0]:
-            stop = int(np.argmax(new[1:])) + 1 if new[1:].any() else len(key)
-            rep[:stop], rn[:stop] = last[1], last[2]
-        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (key, rep, rn, ident, n)], ["key", "rep", "rn", "id", "n"]).filter(pa.array(rep != ident))
-        last = int(key[-1]), int(rep[-1]), int(rn[-1])
+    """Each set of a key with the first of the key, where a key has two sets."""
+    for bucket, packed in by_bucket(batches):
+        if bucket < 0:
+            columns = unpack(packed, _PAIR)
+        else:
+            key, ident, n = unpack(packed, _KEY)
+            order = np.argsort(key, kind="stable")
+            key, ident, n = key[order], ident[order], n[order]
+            _, at = _leads(key)
+            other = ident != ident[at]
+            columns = [key[other], ident[at][other], n[at][other], ident[other], n[other]]
+        for a in range(0, len(columns[0]), 1 << 16):
+            yield pa.RecordBatch.from_arrays([pa.array(x[a : a + (1 << 16)].view(np.int64) if x.dtype == np.uint64 else x[a : a + (1 << 16)]) for x in columns], ["key", "rep", "rn", "id", "n"])
 
 
 def _within(percent: int):
@@ -349,48 +376,52 @@ def _verify(width: int, percent: int):
 _OPEN = "key long, i int, j int, id long, k long, n int, bits binary, failed array<long>"
 
 
-def across(ident: np.ndarray, comp: np.ndarray, n: np.ndarray, bits: list[np.ndarray], failed: list, side: np.ndarray, percent: int = PERCENT) -> list[tuple[int, int]]:
-    """A spanning forest of the pairs of different components that may link.
+def across(ident: np.ndarray, comp: np.ndarray, n: np.ndarray, bits: list[np.ndarray], failed: list, side: np.ndarray, percent: int = PERCENT) -> tuple[list[tuple[int, int]], bool]:
+    """Pairs of different components that may link, as FORESTS spanning forests, each of what the ones before leave; and whether that is all.
 
     ``side``: the block of each set where two blocks meet (only pairs of both
     count), zeros where one is compared with itself.
     """
     words = min(len(x) for x in bits)
     m = np.stack([fold(x, words) for x in bits])
-    never = {(int(a), int(b)) for a, bs in zip(ident, failed, strict=True) for b in (bs or ())}
+    never = {(int(a), int(b)) for a, bs in zip(ident, failed, strict=True) for b in (bs if bs is not None else ())}
     _, comp = np.unique(comp, return_inverse=True)
-    parent = list(range(int(comp.max()) + 1))
+    parents = [list(range(int(comp.max()) + 1)) for _ in range(FORESTS)]
 
-    def find(x):
+    def find(parent, x):
         while parent[x] != x:
             parent[x] = parent[parent[x]]
             x = parent[x]
         return x
 
     # Rows of the largest component are compared with the others' only.
-    largest = int(np.bincount(comp).argmax())
-    mine = np.flatnonzero(comp != largest)
+    mine = np.flatnonzero(comp != int(np.bincount(comp).argmax()))
     two = bool(side.any())
-    out = []
+    out, all_told = [], True
     step = max(1, (2 << 20) // (len(ident) * words * 8 + 1))
     for at in range(0, len(mine), step):
         rows = mine[at : at + step]
-        now = np.array([find(c) for c in range(len(parent))])[comp]
         d = np.bitwise_count(m[rows][:, None, :] ^ m[None, :, :]).sum(2, dtype=np.int32)
         most = difference(n[rows][:, None].astype(np.int64), n[None, :], percent)
-        ok = (d <= most) & (100 * np.minimum(n[rows][:, None], n[None, :]) >= percent * np.maximum(n[rows][:, None], n[None, :])) & (now[rows][:, None] != now[None, :])
+        ok = (d <= most) & (100 * np.minimum(n[rows][:, None], n[None, :]) >= percent * np.maximum(n[rows][:, None], n[None, :])) & (comp[rows][:, None] != comp[None, :])
         if two:
             ok &= side[rows][:, None] != side[None, :]
         x, y = np.nonzero(ok)
         for k in np.argsort(d[x, y] / np.maximum(most[x, y], 1), kind="stable").tolist():
             i, j = int(rows[x[k]]), int(y[k])
-            a, b = find(int(comp[i])), find(int(comp[j]))
-            if a != b:
-                p = int(ident[i]), int(ident[j])
-                if p not in never and p[::-1] not in never:
+            p = int(ident[i]), int(ident[j])
+            if p in never or p[::-1] in never:
+                continue
+            never.add(p)
+            for parent in parents:
+                a, b = find(parent, int(comp[i])), find(parent, int(comp[j]))
+                if a != b:
                     parent[a] = b
                     out.append(p)
-    return out
+                    break
+            else:
+                all_told = False
+    return out, all_told
 
 
 def _across(percent: int):
@@ -403,8 +434,8 @@ def _across(percent: int):
             if len(held) > 1:
                 ident, comp, n, bits, failed, block = zip(*held, strict=True)
                 block = np.array(block) if name[1] != name[2] else np.zeros(len(held), np.int64)
-                pairs = across(np.array(ident), np.array(comp), np.array(n), [np.frombuffer(x, np.uint64) for x in bits], list(failed), block, percent)
-                found.extend((name[0], *p) for p in pairs)
+                pairs, all_told = across(np.array(ident), np.array(comp), np.array(n), [np.frombuffer(x, np.uint64) for x in bits], list(failed), block, percent)
+                found.extend((name[0], *p, not all_told) for p in pairs)
             held.clear()
 
         for b in batches:
@@ -422,9 +453,9 @@ def _across(percent: int):
     return run
 
 
-def _pairs(found: list[tuple[int, int, int]]) -> pa.RecordBatch:
-    cols = list(zip(*found, strict=True)) or [(), (), ()]
-    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["key", "a", "b"])
+def _pairs(found: list[tuple[int, int, int, bool]]) -> pa.RecordBatch:
+    cols = list(zip(*found, strict=True)) or [(), (), (), ()]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, [pa.int64()] * 3 + [pa.bool_()], strict=True)], ["key", "a", "b", "more"])
 
 
 def frequencies(facts: DataFrame, bases: np.ndarray, percent: int) -> tuple[Allocation, tuple[np.ndarray, np.ndarray]]:
@@ -481,9 +512,9 @@ def components(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH, text
         sets = materialize(named, "join-sets")
     plan, frequent = frequencies(facts, _ALL_BASES, percent)
     given = spark.sparkContext.broadcast((plan, frequent))  # FREQUENT numbers and one row per band
-    rows = texts.where("i is not null").mapInArrow(_emit(width, given, clashes), "key long, id long, n int")
-    rows = rows.repartition("key").sortWithinPartitions("key")
-    keys = materialize(rows.mapInArrow(_groups, "key long, rep long, rn int, id long, n int"), "join-keys")
+    buckets = buckets_for(sets.agg(F.sum("n")).first()[0] or 0)  # a set has fewer keys than shingles, but for deletions
+    rows = shuffled(texts.where("i is not null").mapInArrow(_emit(width, given, clashes, buckets), SCHEMA))
+    keys = materialize(rows.mapInArrow(_groups, _PAIRS), "join-keys")
     del rows
     release(spark)
     # One document stands for each set; the others of the same set link with it.
@@ -521,14 +552,16 @@ def components(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH, text
         rows = rows.join(heavy, "key").withColumn("block", F.expr("cast(pmod(xxhash64(id, 7), blocks) as int)")).withColumn("o", F.explode(F.expr("sequence(0, blocks - 1)")))
         rows = rows.select("key", F.least("block", "o").alias("i"), F.greatest("block", "o").alias("j"), "id", "k", "n", "bits", "failed", "block")
         rows = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-        found = materialize(rows.mapInArrow(_across(percent), "key long, a long, b long"), "join-open")
+        found = materialize(rows.mapInArrow(_across(percent), "key long, a long, b long, more boolean"), "join-open")
         if not _any(found):
             break
         release(spark)
         done = _verified(held, found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), percent, width)
-        keys = found.select("key").distinct()
-        failed = materialize(failed.union(done.where("not link").select("a", "b")), "join-failed")
         links = materialize(links.union(done.where("link").select("a", "b")), "join-links")
+        keys = found.where("more").select("key").distinct()
+        if not _any(keys):
+            break
+        failed = materialize(failed.union(done.where("not link").select("a", "b")), "join-failed")
         reach = materialize(connected_components(links), "join-reach")
     return _labelled(facts, sets, classes, links)
 

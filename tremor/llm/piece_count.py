@@ -25,6 +25,8 @@ SPACE = "▁"
 MODEL = "piece_bpe_32k.model"
 SCHEMA = "doc_id long, n_bytes long, n_tokens long, over_limit boolean"
 NONE = np.int32(2**31 - 1)
+#: Cuts of more characters are never remembered.
+LONGEST = 256
 
 
 class PieceVocabulary:
@@ -163,7 +165,7 @@ def vocabulary(path: str) -> PieceVocabulary:
 
 
 class Counter:
-    """Token counts of whole texts; counts of cuts are remembered up to ``limit`` of them."""
+    """Token counts of whole texts; counts of cuts are remembered up to ``limit`` of them, but of long ones."""
 
     def __init__(self, path: str, limit: int = 300_000):
         self.vocabulary, self.limit, self.known = vocabulary(path), limit, {}
@@ -174,15 +176,19 @@ class Counter:
         if len(self.known) > self.limit:
             self.known.clear()
         fresh = list(set().union(*cut).difference(self.known))
-        at = 0
+        long, at = [], 0
         while at < len(fresh):  # batches of some 200,000 characters, a longer sequence by itself
             size, end = 0, at
             while end < len(fresh) and (size == 0 or size + len(fresh[end]) < 200_000):
                 size, end = size + len(fresh[end]), end + 1
             self.known.update(zip(fresh[at:end], self.vocabulary.count(fresh[at:end]).tolist(), strict=True))
+            long += [x for x in fresh[at:end] if len(x) > LONGEST]
             at = end
         get = self.known.__getitem__
-        return [sum(map(get, c)) for c in cut]
+        total = [sum(map(get, c)) for c in cut]
+        for x in long:
+            del self.known[x]
+        return total
 
 
 _COUNTERS: dict[str, Counter] = {}
@@ -205,5 +211,6 @@ def token_counts(docs: DataFrame, model: str = MODEL, limit: int = 4096, text: s
                 [pa.array(part["i"], pa.int64()), pa.array([len(t.encode()) for t in part["t"]], pa.int64()), pa.array(n, pa.int64()), pa.array([x > limit for x in n], pa.bool_())],
                 ["doc_id", "n_bytes", "n_tokens", "over_limit"],
             )
+        counter.known.clear()
 
     return docs.select(F.col(doc_id).cast("long").alias("i"), F.coalesce(F.col(text), F.lit("")).alias("t")).mapInArrow(run, SCHEMA)

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tremor.llm._text import Remembered, slices
+from tremor.llm._text import Remembered, batch_slices, slices
 
 BITS = 18
 #: The most labelled rows that a model learns from; those of the smallest hash of doc_id.
@@ -131,6 +131,7 @@ def score(docs: DataFrame, weights: np.ndarray, threshold: float = THRESHOLD) ->
                 f = features(t, bits)
                 s.append(1 / (1 + np.exp(-np.clip(w[f].sum() / np.sqrt(max(len(f), 1)) + w[-1], -35, 35))))
             yield pa.RecordBatch.from_arrays([pa.array(part["i"], pa.int64()), pa.array(part["h"], pa.bool_()), pa.array(s, pa.float64()), pa.array([int(x >= threshold) for x in s], pa.int32())], ["doc_id", "held_out", "score", "predicted"])
+        _HASH.clear()
 
     return docs.select(F.col("doc_id").cast("long").alias("i"), held_out().alias("h"), F.coalesce("text", F.lit("")).alias("t")).mapInArrow(run, SCHEMA)
 
@@ -141,20 +142,28 @@ def classify(docs: DataFrame, labels: DataFrame, label: str = "quality") -> Data
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` whose text scores ``threshold`` or more, with their columns."""
+    """The rows of ``docs`` whose text scores ``threshold`` or more, with their columns.
+
+    Null and empty texts have the score of the bias, null doc_ids are scored
+    like others, repeated rows stay as often; without labels every score is a
+    half. An empty table gives an empty result. Rows go by slices of bounded
+    rows and bytes.
+    """
     weights = fit(docs, labels)
     held = docs.sparkSession.sparkContext.broadcast(weights)
     bits = int(np.log2(len(weights) - 1))
     schema = docs.schema
+    at = schema.names.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w = held.value
-        for batch in batches:
+        for batch in batch_slices(batches, 512):
             keep = []
-            for t in batch.column(schema.names.index("text")):
-                f = features(t.as_py() or "", bits)
+            for t in batch.column(at).to_pylist():
+                f = features(t or "", bits)
                 x = w[f].sum() / np.sqrt(max(len(f), 1)) + w[-1]
                 keep.append(bool(1 / (1 + np.exp(-np.clip(x, -35, 35))) >= threshold))
             yield batch.filter(pa.array(keep, pa.bool_()))
+        _HASH.clear()
 
     return docs.mapInArrow(run, schema)
