@@ -134,26 +134,26 @@ def windows_two_sided(spark, d):
     return windows.counts(view(spark, d, "fx_picks"), DAY, 30.0)
 
 
-_DAY = "p AS (SELECT pick_ord, CAST(" + _ROUNDED + " AS BIGINT) AS us, latitude, longitude FROM fx_picks JOIN fx_stations ON network = split_part(station_id, '.', 1) AND station = split_part(station_id, '.', 2) WHERE phase_time >= TIMESTAMP '2024-01-02 00:00:00' AND phase_time < TIMESTAMP '2024-01-03 00:00:00')"
+#: Located picks with the number of their day, counted from the first pick.
+_DAYS = "q AS (SELECT pick_ord, CAST(" + _ROUNDED + " AS BIGINT) AS us, latitude, longitude FROM fx_picks JOIN fx_stations ON network = split_part(station_id, '.', 1) AND station = split_part(station_id, '.', 2)), p AS (SELECT *, (us - (SELECT min(us) FROM q)) // 86400000000 AS day FROM q)"
 
 
 def located_picks(spark: SparkSession, d: str) -> DataFrame:
     return picks.with_coordinates(picks.normalize(view(spark, d, "fx_picks")), view(spark, d, "fx_stations"))
 
 
-def _one_day(spark, d):
-    out = located_picks(spark, d)
-    return out.where("phase_time >= timestamp'2024-01-02' and phase_time < timestamp'2024-01-03'").withColumn("window_id", F.lit(0).cast("long"))
+def _by_day(spark, d):
+    return windows.assign(located_picks(spark, d), DAY, 0.0)
 
 
-@query("WITH " + _DAY + f" SELECT a.pick_ord AS i, b.pick_ord AS j, round({tt_sql('a', 'b', 'us', 5)}, 6) AS tt FROM p a JOIN p b ON a.pick_ord < b.pick_ord WHERE {tt_sql('a', 'b', 'us', 5)} <= 1800")
+@query("WITH " + _DAYS + f" SELECT a.pick_ord AS i, b.pick_ord AS j, round({tt_sql('a', 'b', 'us', 5)}, 6) AS tt FROM p a JOIN p b ON a.day = b.day AND a.pick_ord < b.pick_ord WHERE {tt_sql('a', 'b', 'us', 5)} <= 1800")
 def pair_tt(spark, d):
-    return pairs.pseudo_distances(_one_day(spark, d), 5.0, max_tt=1800.0).select("i", "j", F.round("tt", 6).alias("tt"))
+    return pairs.pseudo_distances(_by_day(spark, d), 5.0, max_tt=1800.0).select("i", "j", F.round("tt", 6).alias("tt"))
 
 
-@query("WITH " + _DAY + f", e AS (SELECT a.pick_ord AS i, {tt_sql('a', 'b', 'us', 5)} AS tt FROM p a JOIN p b ON a.pick_ord <> b.pick_ord), r AS (SELECT *, row_number() OVER (PARTITION BY i ORDER BY tt) AS n FROM e) SELECT i, round(tt, 6) AS tt FROM r WHERE n = 7")
+@query("WITH " + _DAYS + f", e AS (SELECT a.pick_ord AS i, {tt_sql('a', 'b', 'us', 5)} AS tt FROM p a JOIN p b ON a.day = b.day AND a.pick_ord <> b.pick_ord), r AS (SELECT *, row_number() OVER (PARTITION BY i ORDER BY tt) AS n FROM e) SELECT i, round(tt, 6) AS tt FROM r WHERE n = 7")
 def kdist_curve(spark, d):
-    return pairs.neighbour_curve(pairs.pseudo_distances(_one_day(spark, d), 5.0), 8).select("i", F.round("tt", 6).alias("tt"))
+    return pairs.neighbour_curve(pairs.pseudo_distances(_by_day(spark, d), 5.0), 8).select("i", F.round("tt", 6).alias("tt"))
 
 
 @query(f"""WITH RECURSIVE p AS (SELECT event_id, epoch_us(time) AS us, latitude, longitude FROM fx_bulletin),
@@ -176,18 +176,26 @@ def cluster_filter(spark, d):
     return clusters.accepted(_members(spark, d), 6, 1)
 
 
-_COMMON = f"""m AS ({MEMBERS}), x AS (SELECT cluster_id AS c1, station, phase_type, count(*) AS n1 FROM m GROUP BY ALL),
- y AS (SELECT pick_ord % 150 AS c2, station, phase_type, count(*) AS n2 FROM m GROUP BY ALL), c AS (SELECT c1, c2, CAST(sum(least(n1, n2)) AS BIGINT) AS n_common FROM x JOIN y USING (station, phase_type) GROUP BY c1, c2)"""
+# Clusters of windows of six hours that overlap by one: picks are equal by station, phase and time.
+_WINDOWED = "WITH " + _SPAN.format(size=21600000000) + """, m AS (SELECT window_id * 10 + pick_ord % 3 AS cluster_id, window_id, station_id, phase_type, epoch_us(phase_time) AS us, eventid FROM w JOIN fx_picks ON epoch_us(phase_time) >= a + window_id * 21600000000 - 3600000000 AND epoch_us(phase_time) < a + (window_id + 1) * 21600000000),
+ x AS (SELECT cluster_id, window_id, station_id, phase_type, us, count(*) AS n FROM m GROUP BY ALL),
+ c AS (SELECT x.cluster_id AS c1, y.cluster_id AS c2, CAST(sum(least(x.n, y.n)) AS BIGINT) AS n_common FROM x JOIN x y ON y.window_id = x.window_id + 1 AND x.station_id = y.station_id AND x.phase_type = y.phase_type AND x.us = y.us GROUP BY ALL)"""
+_PICK = ["station_id", "phase_type", "us", "w"]
 
 
-@query(f"WITH {_COMMON} SELECT * FROM c WHERE n_common >= 6")
+def _windowed(spark, d, ahead: int):
+    m = windows.assign(view(spark, d, "fx_picks"), SIX_HOURS, 3600.0)
+    return m.select((F.col("window_id") * 10 + F.col("pick_ord") % 3).alias("cluster_id"), (F.col("window_id") + ahead).alias("w"), "station_id", "phase_type", picks.micros(F.col("phase_time")).alias("us"), "eventid")
+
+
+@query(f"{_WINDOWED} SELECT * FROM c WHERE n_common >= 4")
 def cluster_common_picks(spark, d):
-    return clusters.common_picks(_members(spark, d), _members(spark, d, 150), ["station", "phase_type"], 6)
+    return clusters.common_picks(_windowed(spark, d, 1), _windowed(spark, d, 0), _PICK, 4)
 
 
-@query(f"WITH {_COMMON} SELECT c1, c2 FROM c WHERE n_common >= 6 UNION SELECT a.cluster_id, b.pick_ord % 150 FROM m a JOIN m b ON a.eventid = b.eventid")
+@query(f"{_WINDOWED} SELECT c1, c2 FROM c WHERE n_common >= 4 UNION SELECT a.cluster_id, b.cluster_id FROM m a JOIN m b ON a.eventid = b.eventid AND b.window_id = a.window_id + 1")
 def cluster_related(spark, d):
-    return clusters.related(_members(spark, d), _members(spark, d, 150), ["station", "phase_type"], 6)
+    return clusters.related(_windowed(spark, d, 1), _windowed(spark, d, 0), _PICK, 4, ["w"])
 
 
 @query(f"WITH m AS ({MEMBERS}) SELECT DISTINCT cluster_id, pick_ord FROM m UNION SELECT a.cluster_id, b.pick_ord FROM m a JOIN m b ON a.eventid = b.eventid")
@@ -284,10 +292,10 @@ def picks_dup_remove(spark, d):
 
 
 @query(f"""WITH m AS ({MEMBERS}), b AS (SELECT station, phase_type, {_ROUNDED} AS us, max(phase_score) AS s FROM m GROUP BY ALL)
- SELECT m.pick_ord, printf('{{"probability": {{"name": "probability", "value": %.2f}}}}', b.s) AS comment FROM m JOIN b ON m.station = b.station AND m.phase_type = b.phase_type AND {_ROUNDED} = b.us WHERE m.pick_ord % 5 = 0""")
+ SELECT m.pick_ord, printf('{{"probability": {{"name": "probability", "value": %.2f}}}}', b.s) AS comment FROM m JOIN b ON m.station = b.station AND m.phase_type = b.phase_type AND {_ROUNDED} = b.us""")
 def probability_comments(spark, d):
     m = _members(spark, d)
-    return catalog.probability_comments(m.where("pick_ord % 5 = 0"), m).select("pick_ord", "comment")
+    return catalog.probability_comments(m, m).select("pick_ord", "comment")
 
 
 @query(f"""WITH m AS ({MEMBERS}), h AS (SELECT a.pick_ord % 500 AS event_id, a.pick_ord AS ord, b.cluster_id FROM m a JOIN m b ON a.station = b.station AND a.phase_type = b.phase_type AND a.phase_time = b.phase_time WHERE a.pick_ord % 4 <> 0),
@@ -316,10 +324,10 @@ def channel_hints(spark, d):
     return catalog.complete_channels(p, hints).select("pick_ord", "network", "location", "channel")
 
 
-@query("""WITH i AS (SELECT event_id, unnest([CAST(event_id AS STRING), CAST(event_id + 1 AS STRING)]) AS e FROM fx_origins WHERE event_id % 10 = 0)
+@query("""WITH i AS (SELECT event_id, unnest([CAST(event_id AS STRING), CAST(event_id + 1 AS STRING)]) AS e FROM fx_origins)
  SELECT CAST(i.event_id AS STRING) AS merged_id, count(*) AS n_children, CAST(sum(a.ord) AS BIGINT) AS ords FROM i JOIN fx_arrivals a ON CAST(a.event_id AS STRING) = i.e GROUP BY ALL""")
 def catalog_merge(spark, d):
-    info = view(spark, d, "fx_origins").where("event_id % 10 = 0").select(F.col("event_id").cast("string").alias("event_id"), F.concat_ws(" ", F.col("event_id").cast("string"), (F.col("event_id") + 1).cast("string")).alias("agencies_list"))
+    info = view(spark, d, "fx_origins").select(F.col("event_id").cast("string").alias("event_id"), F.concat_ws(" ", F.col("event_id").cast("string"), (F.col("event_id") + 1).cast("string")).alias("agencies_list"))
     return catalog.merge_catalogs(info, view(spark, d, "fx_arrivals")).groupBy("merged_id").agg(F.count("*").alias("n_children"), F.sum("ord").alias("ords"))
 
 
@@ -388,6 +396,12 @@ def associate_events(spark, d):
     return locate.associate_clusters(_clusters(spark, d), locate.AssociatorSettings(tolerance=60.0))
 
 
+@query()
+def relocate(spark, d):
+    stations = view(spark, d, "fx_stations").select(F.expr("concat('S', cast(cast(substring(station, 2, 3) as int) as string))").alias("station"), "latitude", "longitude")
+    return locate.relocate(view(spark, d, "fx_arrivals"), stations, settings=locate.LocatorSettings(p_limit=None, s_limit=None, budget=320, double_pass=False), km=400.0).drop("arrivals")
+
+
 @query()
 def detect_events(spark, d):
     s = pipeline.Settings(time_window=DAY, min_stations=3)
