@@ -517,39 +517,40 @@ def components(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH, text
     keys = materialize(rows.mapInArrow(_groups, _PAIRS), "join-keys")
     del rows
     release(spark)
-    # One document stands for each set; the others of the same set link with it.
-    classes = materialize(sets.groupBy("id").agg(F.min("doc").alias("rep_doc"), F.max("n").alias("n"), F.max("bits").alias("bits")), "join-classes")
+    met = keys.select("key", F.explode(F.array(F.struct(F.col("rep").alias("id"), F.col("rn").alias("n")), F.struct("id", "n"))).alias("s")).select("key", "s.*").distinct()
+    met = materialize(met, "join-met")
+    # One document stands for each set. Only sets that share a key with another go on, with their bitmaps and texts.
+    classes = materialize(sets.groupBy("id").agg(F.min("doc").alias("rep_doc"), F.max("n").alias("n")), "join-classes")
+    wanted = materialize(met.select("id").distinct().join(classes, "id").select("id", F.col("rep_doc").alias("i"), "n"), "join-wanted")
+    bits = sets.select("id", F.col("doc").alias("i"), "bits").join(wanted.select("id", "i"), ["id", "i"])
+    bits = materialize(bits.groupBy("id").agg(F.max("bits").alias("bits")).join(wanted.select("id", "n"), "id"), "join-bits")
     fitting = f"100 * least(na, nb) >= {percent} * greatest(na, nb)"
-    pairs = keys.select(F.least("rep", "id").alias("a"), F.greatest("rep", "id").alias("b"), F.when(F.col("rep") < F.col("id"), F.col("rn")).otherwise(F.col("n")).alias("na"), F.when(F.col("rep") < F.col("id"), F.col("n")).otherwise(F.col("rn")).alias("nb")).where(fitting).distinct()
-    bits = classes.select("id", "bits")
+    turn = F.col("rep") < F.col("id")
+    pairs = keys.select(F.least("rep", "id").alias("a"), F.greatest("rep", "id").alias("b"), F.when(turn, F.col("rn")).otherwise(F.col("n")).alias("na"), F.when(turn, F.col("n")).otherwise(F.col("rn")).alias("nb")).where(fitting).distinct()
     pairs = pairs.join(bits.select(F.col("id").alias("a"), F.col("bits").alias("ba")), "a").join(bits.select(F.col("id").alias("b"), F.col("bits").alias("bb")), "b")
     pairs = materialize(pairs.select("a", "b", "na", "nb", "ba", "bb").mapInArrow(_within(percent), "a long, b long, na int, nb int"), "join-pairs")
-    release(spark)
-    met = keys.select("key", F.explode(F.array(F.struct(F.col("rep").alias("id")), F.struct("id"))).alias("s")).select("key", "s.id").distinct()
-    met = materialize(met, "join-met")
     remove(spark, keys)
-    # Texts of the sets that share a key with another, once.
-    wanted = met.select("id").distinct().join(classes, "id").select("id", F.col("rep_doc").alias("i"))
-    held = texts.join(wanted, "i").select("id", "t")
-    names_ = held.mapInArrow(_check_names(width, clashes), "id long, t binary") if _any(_many_texts(sets)) else held
-    held = materialize(names_.dropDuplicates(["id"]), "join-texts")
+    release(spark)
+    held = texts.join(wanted.select("id", "i"), "i").select("id", "t")
+    if _any(_many_texts(sets)):
+        held = held.mapInArrow(_check_names(width, clashes), "id long, t binary")
+    held = materialize(held.dropDuplicates(["id"]), "join-texts")
     release(spark)
     done = _verified(held, pairs, percent, width)
     links, failed = done.where("link").select("a", "b"), done.where("not link").select("a", "b")
-    keys = met.select("key").distinct()
-    reach = materialize(connected_components(links), "join-reach")
+    reach, first = connected_components(links), True
     while True:
         # Keys of several components; of keys with the very same sets, one.
-        rows = met.join(keys, "key").join(reach, met["id"] == reach["node"], "left").select("key", "id", F.coalesce("component", "id").alias("k"))
-        mixed = rows.groupBy("key").agg(F.min("k").alias("k0"), F.max("k").alias("k1"), F.count("*").alias("c"), F.bit_xor(F.xxhash64("id")).alias("h0"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("h1")).where("k0 <> k1")
-        mixed = mixed.groupBy("c", "h0", "h1").agg(F.min("key").alias("key")).select("key")
-        rows = rows.join(mixed, "key").join(classes.select("id", "n", "bits"), "id")
+        rows = (met if first else met.join(keys, "key")).join(reach, met["id"] == reach["node"], "left").select("key", "id", "n", F.coalesce("component", "id").alias("k"))
+        # A group too large for one task meets in pairs of blocks; a bitmap has half a byte for each shingle at most, and 8 bytes at least.
+        blocks = F.ceil(F.sum(F.col("n") / 2 + 8) / BLOCK).cast("int").alias("blocks")
+        mixed = rows.groupBy("key").agg(F.min("k").alias("k0"), F.max("k").alias("k1"), F.count("*").alias("c"), F.bit_xor(F.xxhash64("id")).alias("h0"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("h1"), blocks).where("k0 <> k1")
+        mixed = mixed.groupBy("c", "h0", "h1").agg(F.min(F.struct("key", "blocks")).alias("m")).select("m.*")
+        rows = rows.drop("n").join(mixed, "key").join(bits, "id")
         # One list per set: of a set's failed pairs, which are pairs that are nearly similar enough.
         lists = failed.groupBy(F.col("a").alias("id")).agg(F.collect_set("b").alias("failed"))
         rows = rows.join(lists, "id", "left")
-        # Groups too large for one task meet in pairs of blocks.
-        heavy = rows.groupBy("key").agg(F.ceil(F.sum(F.length("bits")) / BLOCK).cast("int").alias("blocks"))
-        rows = rows.join(heavy, "key").withColumn("block", F.expr("cast(pmod(xxhash64(id, 7), blocks) as int)")).withColumn("o", F.explode(F.expr("sequence(0, blocks - 1)")))
+        rows = rows.withColumn("block", F.expr("cast(pmod(xxhash64(id, 7), blocks) as int)")).withColumn("o", F.explode(F.expr("sequence(0, blocks - 1)")))
         rows = rows.select("key", F.least("block", "o").alias("i"), F.greatest("block", "o").alias("j"), "id", "k", "n", "bits", "failed", "block")
         rows = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
         found = materialize(rows.mapInArrow(_across(percent), "key long, a long, b long, more boolean"), "join-open")
@@ -557,13 +558,22 @@ def components(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH, text
             break
         release(spark)
         done = _verified(held, found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), percent, width)
-        links = materialize(links.union(done.where("link").select("a", "b")), "join-links")
-        keys = found.where("more").select("key").distinct()
+        reach = _extended(reach, done.where("link").select("a", "b"))
+        keys, first = materialize(found.where("more").select("key").distinct(), "join-open-keys"), False
         if not _any(keys):
             break
         failed = materialize(failed.union(done.where("not link").select("a", "b")), "join-failed")
-        reach = materialize(connected_components(links), "join-reach")
-    return _labelled(facts, sets, classes, links)
+    return _labelled(facts, sets, classes, reach)
+
+
+def _extended(reach: DataFrame, links: DataFrame) -> DataFrame:
+    """Components with new links between them."""
+    a, b = (reach.select(F.col("node").alias(x), F.col("component").alias(f"c{x}")) for x in ("a", "b"))
+    over = links.join(a, "a", "left").join(b, "b", "left").select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
+    top = connected_components(over).select(F.col("node").alias("n"), F.col("component").alias("c"))
+    grown = reach.join(top, reach["component"] == top["n"], "left").select("node", F.coalesce("c", "component").alias("component"))
+    fresh = top.join(reach, top["n"] == reach["node"], "left_anti").select(F.col("n").alias("node"), F.col("c").alias("component"))
+    return materialize(grown.union(fresh), "join-reach")
 
 
 def _named(width: int, clashes: frozenset):
@@ -593,15 +603,20 @@ def _many_texts(sets: DataFrame) -> DataFrame:
     return sets.groupBy("doc").agg(F.min("id").alias("x"), F.max("id").alias("y")).where("x <> y").select("doc")
 
 
-def _labelled(facts: DataFrame, sets: DataFrame, classes: DataFrame, links: DataFrame) -> DataFrame:
-    """The result: links between sets as links between documents, and each document's component."""
-    reps = classes.select("id", "rep_doc")
-    edges = links.join(reps.select(F.col("id").alias("a"), F.col("rep_doc").alias("x")), "a").join(reps.select(F.col("id").alias("b"), F.col("rep_doc").alias("y")), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
-    several = _many_texts(sets)
-    members = sets.join(reps, "id").select("doc", F.when(F.col("n") > 0, F.col("rep_doc")).otherwise(F.col("doc")).alias("rep"), "n")
-    edges = edges.union(members.join(several, "doc", "left_semi").select("doc", "rep"))
-    reach = materialize(connected_components(edges), "join-reach")
-    out = members.join(reach, members["rep"] == reach["node"], "left").select(F.col("doc").alias("doc_id"), F.col("n").cast("long").alias("n_shingles"), F.coalesce("component", "rep").alias("component_id"))
+def _labelled(facts: DataFrame, sets: DataFrame, classes: DataFrame, reach: DataFrame) -> DataFrame:
+    """The result: components of sets as components of documents."""
+    ids = classes.join(reach, classes["id"] == reach["node"], "left").select("id", "rep_doc", "n", F.coalesce("component", "id").alias("component"))
+    least = ids.groupBy("component").agg(F.min("rep_doc").alias("least"))
+    ids = ids.join(least, "component").select("id", F.col("n").alias("size"), "least")
+    members = sets.join(ids, "id").select("doc", "n", F.when(F.col("size") > 0, F.col("least")).otherwise(F.col("doc")).alias("least"))
+    several = members.groupBy("doc").agg(F.min("least").alias("x"), F.max("least").alias("y")).where("x <> y")
+    if _any(several):
+        # The texts of one doc_id are one document, so their components are one.
+        edges = members.join(several, "doc", "left_semi").select(F.col("doc").alias("a"), F.col("least").alias("b"))
+        top = connected_components(edges)
+        members = members.join(top, members["least"] == top["node"], "left").select("doc", "n", F.coalesce("component", "least").alias("least"))
+        members = members.join(members.groupBy(F.col("doc").alias("d")).agg(F.min("least").alias("l")), F.col("doc") == F.col("d")).select("doc", "n", F.col("l").alias("least"))
+    out = members.select(F.col("doc").alias("doc_id"), F.col("n").cast("long").alias("n_shingles"), F.col("least").alias("component_id"))
     bare = facts.where("kind = 0 and doc is null").select(F.lit(None).cast("long"), F.col("n").cast("long"), F.lit(None).cast("long"))
     return out.union(bare)
 
