@@ -366,6 +366,13 @@ def test_embedding_links_equal_brute_force(spark):
     assert sum(got[i] == want[i] for i in want) >= 890
 
 
+def test_rows_of_one_vec_id_are_vectors_of_their_own(spark):
+    a, b = [1.0, 0.0, 0.0], [0.0, 1.0, 0.0]
+    rows = [(1, a, 0), (1, b, 0), (2, [0.999, 0.001, 0.0], 0), (3, [0.001, 0.999, 0.0], 0), (4, [0.002, 0.998, 0.0], 0), (4, a, 1)]
+    got = Counter((r.vec_id, r.n_links, r.component_id, r.kept) for r in ann_graph.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect())
+    assert got == Counter([(1, 1, 1, True), (1, 2, 1, True), (2, 1, 1, False), (3, 2, 1, False), (4, 2, 1, False), (4, 0, 4, True)])
+
+
 def test_dense_family_keeps_its_links(spark, monkeypatch):
     monkeypatch.setattr(ann_graph, "BLOCK", 1000)
     monkeypatch.setattr(ann_graph, "SHARD_ROWS", 100)
@@ -432,31 +439,58 @@ def test_token_counts_equal_the_library(corpus, rows):
     assert multiset(piece_count.token_counts(corpus), "doc_id", "n_bytes", "n_tokens", "over_limit") == want
 
 
-def test_sharding(corpus, rows):
-    p = sharding.assign_shards(corpus, parcels=64).toPandas()
+def test_sharding(corpus, rows, monkeypatch):
+    monkeypatch.setattr(sharding, "SECTION", 20)
+    p = sharding.assign_shards(corpus).toPandas()
     assert len(p) == len(rows) and set(p["shard"]) <= set(range(8)) and p["grown_shard"].isna().all()
     for _, part in p.groupby("shard"):
         assert sorted(part["slot"]) == list(range(len(part)))
     want = Counter((i, len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for i, t in rows)
     assert Counter(zip(p["doc_id"].astype(object).where(p["doc_id"].notna(), None), p["size"], p["text_crc32"], strict=True)) == want
     assert p.groupby("text_crc32")["shard"].nunique().max() == 1
+    weight, group = p.groupby("shard")["size"].sum(), p.groupby("text_crc32")["size"].sum()
+    least = max(-(-int(p["size"].sum()) // 8), int(group.max()))
+    assert weight.max() <= 1.01 * least
+
+
+def test_shards_of_ties_copies_and_rounded_sizes(spark, monkeypatch):
+    """Many groups of one size, a text that a third of the rows hold, nulls; bytes stay near equal where sizes are rounded too."""
+    rng = random.Random(6)
+    texts = ["tie %05d" % k for k in range(900)] + ["copy " * 5] * 700 + [None] * 20 + ["x" * rng.randint(1, 400) + str(k) for k in range(500)]
+    df = spark.createDataFrame([(k % 1500, t, 5) for k, t in enumerate(texts)], "doc_id long, text string, w int").repartition(4)
+    for most in (10**6, 7):
+        monkeypatch.setattr(sharding, "CLASSES", most)
+        p = sharding.assign_shards(df).toPandas()
+        weight = p.groupby("shard")["size"].sum()
+        least = max(-(-int(p["size"].sum()) // 8), int(p.groupby("text_crc32")["size"].sum().max()))
+        assert weight.max() <= 1.02 * least and len(p) == len(texts) and len(weight) == 8
+        assert p[p["text_crc32"] == zlib.crc32(b"copy " * 5)]["shard"].nunique() == 1
+        assert all(sorted(x["slot"]) == list(range(len(x))) for _, x in p.groupby("shard"))
 
 
 def test_best_fit_decreasing_against_a_scan():
     rng = random.Random(2)
     for _ in range(30):
-        items = [(rng.randint(1, 60), f"i{k}") for k in range(rng.randint(0, 80))]
-        capacity, bins = 100, []
-        for size, name in sorted(items, key=lambda x: (-x[0], str(x[1]))):
+        items, capacity, bins = [rng.randint(1, 60) for _ in range(rng.randint(0, 80))], 100, []
+        for size in sorted(items, reverse=True):
             fit = [(room, k) for k, (room, _) in enumerate(bins) if room >= size]
             if fit:
                 room, k = min(fit)
-                bins[k] = (room - size, [*bins[k][1], name])
+                bins[k] = (room - size, [*bins[k][1], size])
             else:
-                bins.append((capacity - size, [name]))
-        assert sharding.best_fit_decreasing(items, capacity) == [names for _, names in bins]
-    packed = sharding.pack_into([(s, i) for i, s in enumerate([9, 8, 7, 6, 5, 4, 3, 2, 1, 1])], 4)
-    assert len(packed) <= 4 and sorted(x for b in packed for x in b) == list(range(10))
+                bins.append((capacity - size, [size]))
+        classes = list(Counter(items).items())
+        got = defaultdict(list)
+        for (size, _), parts in zip(classes, sharding.best_fit_decreasing(classes, capacity), strict=True):
+            for k, n in parts:
+                got[k] += [size] * n
+        assert [sorted(got[k]) for k in range(len(bins))] == [sorted(x) for _, x in bins] and len(got) == len(bins)
+    packed = sharding.pack_into([(s, 1 + (s == 1)) for s in range(1, 10)], 4)
+    room = Counter()
+    for s, parts in zip(range(1, 10), packed, strict=True):
+        for k, n in parts:
+            room[k] += s * n
+    assert len(room) == 4 and max(room.values()) == 12 and sum(room.values()) == 46
 
 
 def test_compression_counts(corpus, rows):

@@ -34,7 +34,7 @@ from tremor.operators.components import connected_components
 from tremor.session import materialize
 
 THRESHOLD = 0.98
-#: Home vectors of a shard on average; the most pivots (the sampled, broadcast part of the index: 16 MB at 64 dimensions).
+#: Home vectors of a shard on average; the most pivots (the sampled, broadcast part of the index: 33 MB at 64 dimensions).
 SHARD_ROWS, MAX_PIVOTS = 500, 65536
 #: A vector is in at most OVERLAP shards at first; rebuilds double it up to the number of pivots.
 OVERLAP = 4
@@ -390,8 +390,16 @@ def near_duplicates(embeddings: DataFrame, threshold: float = THRESHOLD, vec_id:
     rows = rows.withColumn("ok", F.coalesce(sound, F.lit(False)))
     rows = rows.withColumn("group", F.concat_ws("#", "label", F.size("emb").cast("string"))).withColumn("h", F.when(F.col("ok"), F.concat(F.hex(F.xxhash64("group", "emb")), F.hex(F.xxhash64("emb", F.lit(1), "group")))))
     rows = materialize(rows.dropDuplicates(["id", "label", "emb"]), "ann-rows")
-    reps = rows.where("ok").groupBy("h").agg(F.min("id").alias("vec"), F.count("*").alias("many"), F.first("group").alias("group"), F.first("emb").alias("emb"))
+    reps = rows.where("ok").groupBy("h").agg(F.min("id").alias("id"), F.count("*").alias("many"), F.first("group").alias("group"), F.first("emb").alias("emb"))
     reps = materialize(reps, "ann-reps")
+    # Inside, a vector goes by a hash of its own, since several may have one id; it is salted until no two are equal.
+    for salt in range(8):
+        named = reps.withColumn("vec", F.xxhash64("h", F.lit(salt)))
+        if not named.groupBy("vec").count().where("count > 1").limit(1).count():
+            break
+    else:
+        raise RuntimeError("no salt tells the vectors apart")
+    reps = named
     known = _pivots(reps, threshold)
     most, overlap = max(map(len, known.values()), default=1), OVERLAP
     while True:
@@ -404,7 +412,8 @@ def near_duplicates(embeddings: DataFrame, threshold: float = THRESHOLD, vec_id:
     if recall < LEAST_RECALL:
         raise RuntimeError(f"the index finds {recall:.3f} of the audited links, less than {LEAST_RECALL}")
     reach = materialize(connected_components(found.select(F.col("vec").alias("a"), F.col("root").alias("b"))), "ann-reach")
-    per = reps.join(counted, "vec", "left").join(reach, reps["vec"] == reach["node"], "left").select("h", "many", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("component", "vec").alias("component"))
+    per = reps.join(counted, "vec", "left").join(reach, reps["vec"] == reach["node"], "left").select("h", "id", "many", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("component", "vec").alias("c"))
+    per = per.join(per.groupBy("c").agg(F.min("id").alias("component")), "c").select("h", "many", "n", "component")
     out = rows.join(per, "h", "left")
     component = F.coalesce("component", "id")
     return out.select(F.col("id").alias("vec_id"), F.coalesce(F.col("n") + F.col("many") - 1, F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"))

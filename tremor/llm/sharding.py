@@ -1,24 +1,23 @@
 """Sharding by best-fit-decreasing bin packing (operator 8).
 
-Documents of equal text are one group and never part. Groups of any weight
-are packed one by one; the many light ones ride in a bounded number of
-parcels, dealt by a hash of the text, each indivisible as well. So what is
-packed on the driver is bounded whatever the data, and so is its loss: a
-parcel is a small part of a shard.
+Documents of equal text are one group and never part. Groups are packed largest
+first, each into the bin with the tightest room that holds it, found in a
+balanced tree. Groups of one size are interchangeable, so the packing deals
+sizes and numbers, which are few, and ranks tell which group of a size is
+meant.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tremor.session import materialize
 
-#: Light groups travel in so many parcels; a group heavier than a parcel's mean size is packed by itself.
-PARCELS = 4096
+#: Groups over this part of all bytes are packed by name; the most sizes of others; rows of a section that are counted in order.
+HEAVY, CLASSES, SECTION = 4096, 1_000_000, 50_000
 SHARDS = 8
 
 
@@ -115,102 +114,115 @@ class RoomTree:
         return best
 
 
-def best_fit_decreasing(items: Iterable[tuple[int, object]], capacity: int) -> list[list[object]]:
-    """Bins of ``(size, name)`` items, largest first, each into the tightest bin that has room.
+def best_fit_decreasing(classes: Iterable[tuple[int, int]], capacity: int, most: int | None = None) -> list[list[tuple[int, int]]] | None:
+    """Best fit decreasing of ``count`` items of each ``size``: by class, in the order given, the bins it goes to and how many to each.
 
-    An item over the capacity gets a bin of its own.
+    Items are taken largest first, each into the tightest bin that has room.
+    Equal items follow one another into that bin as long as it has room, so a
+    class is dealt by runs. None if more than ``most`` bins would be needed;
+    an item over the capacity gets a bin of its own.
     """
-    tree, bins = RoomTree(), []
-    for size, name in sorted(items, key=lambda x: (-x[0], str(x[1]))):
-        found = tree.tightest(size)
-        if found is None:
-            bins.append([name])
-            room, at = capacity - size, len(bins) - 1
-        else:
-            tree.drop(found)
-            room, at = found[0] - size, found[1]
-            bins[at].append(name)
-        if room > 0:
-            tree.add((room, at))
-    return bins
-
-
-def pack_into(items: list[tuple[int, object]], shards: int) -> list[list[object]]:
-    """The items in at most ``shards`` bins of the least capacity for which best fit decreasing succeeds."""
-    if not items:
+    classes = list(classes)
+    out: list[list[tuple[int, int]]] = [[] for _ in classes]
+    tree, bins = RoomTree(), 0
+    for at in sorted(range(len(classes)), key=lambda k: -classes[k][0]):
+        size, left = classes[at]
+        while left:
+            found = tree.tightest(size)
+            if found is None:
+                if bins == most:
+                    return None
+                room, name = max(capacity, size), bins
+                bins += 1
+            else:
+                tree.drop(found)
+                room, name = found
+            take = min(left, room // size)
+            out[at].append((name, take))
+            left -= take
+            if room > take * size:
+                tree.add((room - take * size, name))
+    return out
+
+
+def pack_into(classes: list[tuple[int, int]], shards: int) -> list[list[tuple[int, int]]]:
+    """The classes in at most ``shards`` bins of the least capacity for which best fit decreasing succeeds."""
+    if not classes:
         return []
-    total, largest = sum(s for s, _ in items), max(s for s, _ in items)
-    low, high = max(largest, -(-total // shards)), max(largest, -(-total // shards)) + largest
-    best = best_fit_decreasing(items, high)
-    while len(best) > shards:
-        low, high = high, 2 * high
-        best = best_fit_decreasing(items, high)
+    total, largest = sum(s * c for s, c in classes), max(s for s, _ in classes)
+    low = max(largest, -(-total // shards))
+    high = low
+    while (best := best_fit_decreasing(classes, high, shards)) is None:
+        low, high = high + 1, high + max(largest, high - low + 1)
     while low < high:
         mid = (low + high) // 2
-        bins = best_fit_decreasing(items, mid)
-        if len(bins) <= shards:
-            high, best = mid, bins
+        if (found := best_fit_decreasing(classes, mid, shards)) is not None:
+            high, best = mid, found
         else:
             low = mid + 1
     return best
 
 
-def text_size(text: str = "text"):
+def text_size(text: Column) -> Column:
     """UTF-8 bytes of the text (null: none) plus 1."""
-    return (F.coalesce(F.octet_length(F.col(text)), F.lit(0)) + 1).cast("long")
+    return (F.coalesce(F.octet_length(text), F.lit(0)) + 1).cast("long")
 
 
-def assign_shards(docs: DataFrame, shards: int = SHARDS, parcels: int = PARCELS, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+def assign_shards(docs: DataFrame, shards: int = SHARDS, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """Shard and slot of every document so that the shards' bytes are near equal.
 
     Returns ``doc_id, size, text_crc32, law, shard, slot, grown_shard``, one
-    row per input row (repeated rows stay, each with its slot). Null texts
-    are one group of size 1 each and crc32 0; an empty table gives an empty
-    result; other columns are ignored. Slots count from 0 in each shard, by
-    parcel and doc_id.
-
-    Only sizes by parcel and by heavy group reach the driver: at most
-    ``2 * parcels`` rows, since heavy groups weigh more than one parcel's
-    mean. A slot is a count over the parcels before (a small table) plus a
-    row number in a section, and sections split heavy groups: no task meets
-    more than a parcel's share of the rows.
+    row per input row (repeated rows stay, each with its slot). Null and empty
+    texts are one group, of size 1 a row and crc32 0; an empty table gives an
+    empty result; other columns are ignored. Slots count from 0 in each shard.
+
+    Groups of equal size are interchangeable, so the driver packs sizes with
+    their numbers: HEAVY groups at most that are larger than that part of all
+    bytes, and as many sizes below as there are, CLASSES at most (with more,
+    sizes are rounded up to a multiple). Which group of a size goes where
+    follows from its rank, counted by sections, and so do the slots.
     """
+    spark = docs.sparkSession
+    col = docs[f"`{text}`"]
     rows = docs.select(
-        F.col(doc_id).cast("long").alias("doc_id"),
-        text_size(text).alias("size"),
-        F.coalesce(F.crc32(F.col(text).cast("binary")), F.lit(0)).cast("long").alias("text_crc32"),
-        F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("g"),
+        docs[f"`{doc_id}`"].cast("long").alias("doc_id"),
+        text_size(col).alias("size"),
+        F.coalesce(F.crc32(col.cast("binary")), F.lit(0)).cast("long").alias("text_crc32"),
+        F.xxhash64(F.coalesce(col, F.lit(""))).alias("g"),
     )
     rows = materialize(rows, "shard-rows")
-    groups = rows.groupBy("g").agg(F.sum("size").alias("w"), F.count("*").alias("n"))
+    groups = materialize(rows.groupBy("g").agg(F.sum("size").alias("w"), F.count("*").alias("n")), "shard-groups")
     total, count = (int(x or 0) for x in groups.agg(F.sum("w"), F.sum("n")).first())
-    mean = max(1, -(-total // parcels))
-    spark = docs.sparkSession
-    parcel = F.pmod(F.col("g"), F.lit(parcels))
-    heavy = groups.where(F.col("w") > mean).select("g", "w").collect()  # under ``parcels`` rows by construction
-    own = {r["g"]: parcels + i for i, r in enumerate(sorted(heavy, key=lambda r: (-r["w"], r["g"])))}
-    named = spark.createDataFrame([(g, p) for g, p in own.items()], T.StructType([T.StructField("g", T.LongType()), T.StructField("p", T.LongType())]))
-    # A heavy group is dealt over sections by doc_id, as many as keep each to a few hundred thousand rows at most.
-    sections = max(1, min(64, -(-count // 4096)))
-    rows = rows.join(F.broadcast(named), "g", "left").select(
-        "doc_id", "size", "text_crc32",
-        F.coalesce("p", parcel).cast("long").alias("p"),
-        F.when(F.col("p").isNotNull(), F.pmod(F.xxhash64("doc_id"), F.lit(sections))).otherwise(F.lit(0)).cast("long").alias("s"),
-    )
-    counts = rows.groupBy("p", "s").agg(F.sum("size").alias("w"), F.count("*").alias("n")).collect()  # at most parcels * (1 + sections)
-    weight: dict[int, int] = {}
-    for r in counts:
-        weight[r["p"]] = weight.get(r["p"], 0) + r["w"]
-    bins = pack_into([(w, p) for p, w in weight.items()], shards)
-    shard_of = {p: k for k, names in enumerate(bins) for p in names}
-    ahead, table = [0] * shards, []
-    for r in sorted(counts, key=lambda r: (r["p"], r["s"])):
-        k = shard_of[r["p"]]
-        table.append((r["p"], r["s"], k, ahead[k]))
-        ahead[k] += r["n"]
-    placed = spark.createDataFrame(table, "p long, s long, shard int, ahead long")
-    rows = rows.withColumn("r", F.expr("row_number() over (partition by p, s order by doc_id, text_crc32)"))
-    return rows.join(F.broadcast(placed), ["p", "s"]).select(
+    mean = max(1, -(-total // HEAVY))
+    heavy = sorted((-r["w"], r["g"]) for r in groups.where(F.col("w") > mean).select("g", "w").collect())  # under HEAVY by construction
+    light = groups.where(F.col("w") <= mean)
+    step = 1 if light.select("w").distinct().limit(CLASSES + 1).count() <= CLASSES else -(-mean // CLASSES)
+    light = light.select("g", (F.ceil(F.col("w") / step) * step).cast("long").alias("w"))
+    classes = [(r["w"], r["c"]) for r in light.groupBy("w").agg(F.count("*").alias("c")).orderBy("w").collect()]  # CLASSES at most
+    dealt = pack_into([(-w, 1) for w, _ in heavy] + classes, shards)
+    own = spark.createDataFrame([(g, dealt[k][0][0]) for k, (_, g) in enumerate(heavy)], "g long, own int")
+    runs = []
+    for (w, _), parts in zip(classes, dealt[len(heavy) :], strict=True):
+        start = 0
+        for name, n in parts:
+            runs.append((w, start, start + n, name))
+            start += n
+    # The rank of a group among those of its size: groups of the sections before, and its place in its own.
+    sections = max(1, -(-count // SECTION))
+    light = light.withColumn("s", F.pmod(F.xxhash64("g", F.lit(5)), F.lit(sections)))
+    ahead = light.groupBy("w", "s").agg(F.count("*").alias("c"))
+    ahead = ahead.withColumn("ahead", F.expr("coalesce(sum(c) over (partition by w order by s rows between unbounded preceding and 1 preceding), 0)")).drop("c")
+    light = light.join(ahead, ["w", "s"]).withColumn("rank", F.col("ahead") + F.expr("row_number() over (partition by w, s order by g)") - 1)
+    table = spark.createDataFrame(runs, "w long, from long, to long, shard int")
+    light = light.join(table, "w").where("rank >= from and rank < to").select("g", "shard")
+    # Rows of heavy groups don't meet in a task: those few groups are known everywhere.
+    rows = rows.join(F.broadcast(own), "g", "left")
+    placed = rows.where("own is not null").withColumnRenamed("own", "shard").union(rows.where("own is null").drop("own").join(light, "g").select("g", "doc_id", "size", "text_crc32", "shard"))
+    placed = materialize(placed.withColumn("s", F.pmod(F.xxhash64("doc_id", "text_crc32"), F.lit(sections))), "shard-placed")
+    before = placed.groupBy("shard", "s").agg(F.count("*").alias("c"))
+    before = before.withColumn("ahead", F.expr("coalesce(sum(c) over (partition by shard order by s rows between unbounded preceding and 1 preceding), 0)")).drop("c")
+    rows = placed.withColumn("r", F.expr("row_number() over (partition by shard, s order by doc_id, text_crc32)")).join(before, ["shard", "s"])
+    return rows.select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
         (F.col("ahead") + F.col("r") - 1).cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"),
     )
