@@ -114,6 +114,56 @@ def test_location_finds_the_source(spark):
     assert 0 not in set(kept["pick_ord"]) and len(kept) >= 20
 
 
+def test_misfit_equals_all_pairs_and_takes_large_clusters():
+    rng = np.random.default_rng(3)
+    s = locate.LocatorSettings()
+    points = rng.uniform(0, 30, (5, 3))
+    for n in (2, 7, 40):
+        obs = {"x": rng.uniform(-50, 50, n), "y": rng.uniform(-50, 50, n), "t": rng.uniform(0, 20, n), "p": rng.random(n) < 0.5, "sigma": rng.choice([0.1, 0.2], n)}
+        km = np.hypot(points[:, None, 0] - obs["x"], points[:, None, 1] - obs["y"])
+        tt = np.where(obs["p"], s.model.time("P", km, points[:, None, 2]), s.model.time("S", km, points[:, None, 2]))
+        r, var = obs["t"] - tt, obs["sigma"] ** 2 + s.model_error**2
+        i, j = np.triu_indices(n, 1)
+        want = (np.exp(-((r[:, i] - r[:, j]) ** 2) / (var[i] + var[j])) / np.sqrt(var[i] + var[j])).sum(axis=1) / len(i)
+        assert np.allclose(locate._misfit(points, obs, s)[0], n * np.log(want))
+    n = 3000
+    rows = pd.DataFrame({"pick_ord": range(n), "station_id": [f"X.S{i % 40:02d}" for i in range(n)], "phase_type": "P", "us": np.sort(rng.integers(0, 86_400_000_000, n)), "latitude": 44 + np.arange(n) % 40 * 0.02, "longitude": 3 + np.arange(n) % 7 * 0.05, "uncertainty": 0.1})
+    assert locate.locate(rows, locate.LocatorSettings(budget=600)) is not None
+
+
+def test_windows_merge_with_the_one_before_only(spark):
+    from tremor.plans.pipeline import merge_labels
+
+    # Each window's cluster shares two picks with the next window's: the second goes into the first, the fourth into the third.
+    labels = frame(spark, [(w, p, 0) for w in range(4) for p in range(4 * w, 4 * w + 6)] + [(2, 90, 1), (3, 91, 1), (2, 92, -1)], "window_id long, pick_ord long, label int")
+    rows = frame(spark, [(p, "e" if p in (90, 91) else None) for p in [*range(30), 90, 91, 92]], "pick_ord long, eventid string")
+    got = {}
+    for r in merge_labels(labels, rows, 2).collect():
+        got.setdefault(r.cluster_id, set()).add(r.pick_ord)
+    assert got == {0: set(range(10)), 200000: set(range(8, 18)), 200001: {90, 91}}
+    assert clusters.fold_links([(0, 1, 1, 11), (1, 11, 1, 12), (1, 12, 2, 21)]) == {11: 1, 12: 1}
+
+
+def test_text_and_file_helpers(spark, tmp_path):
+    from tremor.sources import tables
+
+    df = frame(spark, [("smi:a b/c*~",)], "x string").select(catalog.quoted(F.col("x")).alias("q"), catalog.last_segment(F.col("x")).alias("l"), catalog.unquoted(catalog.quoted(F.col("x"))).alias("u"))
+    assert tuple(df.first()) == ("smi%3Aa%20b%2Fc%2A~", "c*~", "smi:a b/c*~")
+    cloud = frame(spark, [(1.0, 2.0, 3.0, 0.1, 0.5), (1.5, 2.5, 3.5, 0.1, 0.9)], "latitude double, longitude double, depth double, h1 double, h2 double")
+    tables.write_scatter(cloud, str(tmp_path / "scat"))
+    assert sorted(map(tuple, tables.read_scatter(spark, str(tmp_path / "scat")).collect())) == sorted(map(tuple, cloud.collect()))
+    assert catalog.reach_km(cloud).first()["region_km"] > 100
+    side = frame(spark, [(3, "alps", "t", "2024-01-01 00:00:00", 44.0, 3.0, 8000.0)], "cluster_id long, velocity_profile string, template string, time string, latitude double, longitude double, depth_m double")
+    tables.write_velocity_sidecars(side, str(tmp_path / "vel"))
+    assert tables.read_velocity_sidecars(spark, str(tmp_path / "vel")).select("velocity_profile", "depth_m").first() == ("alps", 8000.0)
+    pairs_ = frame(spark, [(0, 1, 2, 0.5)], "window_id long, i long, j long, tt double")
+    tables.save_distances(pairs_, str(tmp_path / "tt"))
+    assert tables.load_distances(spark, str(tmp_path / "tt")).collect() == pairs_.collect()
+    obs = frame(spark, [(1, "S1", "P", "2024-01-01 00:00:02", 0.1), (1, "S2", "S", "2024-01-01 00:00:01", 0.2), (2, "S1", "P", "2024-01-01 00:00:01", 0.1)], "cluster_id long, station string, phase_type string, phase_time string, uncertainty double")
+    tables.write_observations(obs.withColumn("phase_time", F.to_timestamp("phase_time")), str(tmp_path / "obs"))
+    assert [r.value[:2] for r in spark.read.text(str(tmp_path / "obs" / "cluster_id=1")).collect()] == ["S2", "S1"]
+
+
 def test_location_and_association_as_queries(spark):
     rows = two_quakes()
     base = 1704067200e6

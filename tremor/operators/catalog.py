@@ -9,6 +9,7 @@ from tremor.functions.geo import KM_PER_DEGREE, great_circle_km, inside_polygon
 from tremor.operators.picks import micros
 
 DIGITS = "0123456789abcdefghijklmnopqrstuvwxyz"
+MANY_ZONES = 10_000
 
 
 def used(weight: Column | None = None, residual: Column | None = None) -> Column:
@@ -163,9 +164,10 @@ def complete_channels(picks: DataFrame, hints: DataFrame) -> DataFrame:
 def first_zone(points: DataFrame, zones: DataFrame, key: str = "event_id") -> DataFrame:
     """``key, zone, velocity_profile``: the first zone (by ``ord``) that strictly holds the point.
 
-    Zones come from a configuration; their number doesn't grow with the data.
+    Zones come from a configuration; MANY_ZONES at most are sent to every task, more join as Spark sees fit.
     """
-    inside = points.join(F.broadcast(zones), inside_polygon(points["longitude"], points["latitude"], zones["points"]))
+    few = zones.limit(MANY_ZONES + 1).count() <= MANY_ZONES
+    inside = points.join(F.broadcast(zones) if few else zones, inside_polygon(points["longitude"], points["latitude"], zones["points"]))
     best = inside.groupBy(key).agg(F.min(F.struct("ord", "name", "velocity_profile")).alias("z"))
     return best.select(key, F.col("z.name").alias("zone"), F.col("z.velocity_profile").alias("velocity_profile"))
 
@@ -189,18 +191,82 @@ def pick_report(arrivals: DataFrame) -> DataFrame:
     return rows.select("event_id", "ord", "station", "phase", value.alias("probability")).where("probability is not null")
 
 
-def event_report(origins: DataFrame) -> DataFrame:
-    """A line of text per origin: time, place, depth, error and counts."""
-    text = F.format_string("%s %9.4f %9.4f %7.2f", F.date_format("origin_time", "yyyy-MM-dd'T'HH:mm:ss.SSS"), "latitude", "longitude", "depth_km")
-    return origins.select("event_id", text.alias("line"))
+def event_table(origins: DataFrame) -> DataFrame:
+    """The event table: a row per origin, the preferred one of an event first, under the twelve columns of the listing.
+
+    ``tag`` is FAKE for events that don't exist and marks origins that aren't
+    preferred; gaps that are missing or 0 show as a dash.
+    """
+    gap = lambda c: F.when(F.coalesce(F.col(c), F.lit(0.0)) != 0, F.format_string("%.1f", c)).otherwise("-")
+    tag = F.when(~F.col("preferred"), " |__").when(F.col("event_type") == "not existing", "FAKE").otherwise("")
+    return origins.select(
+        "event_id", "preferred", tag.alias("tag"), F.col("origin_time").alias("time"), F.format_string("%.3f", "latitude").alias("latitude"), F.format_string("%.3f", "longitude").alias("longitude"), F.format_string("%.1f", F.col("depth_km") * 1000).alias("depth"),
+        F.col("standard_error").alias("rms"), F.col("used_station_count").alias("sta_count"), F.col("used_phase_count").alias("phase_count"), gap("azimuthal_gap").alias("gap1"), gap("secondary_azimuthal_gap").alias("gap2"),
+        last_segment(F.col("earth_model_id")).alias("model"), last_segment(F.col("method_id")).alias("locator"),
+    )
+
+
+def event_lines(table: DataFrame) -> DataFrame:
+    """Rows of :func:`event_table` as text, separated by a comma and a space."""
+    cols = [c for c in table.columns if c not in ("event_id", "preferred")]
+    return table.select("event_id", "preferred", F.concat_ws(", ", *[F.coalesce(F.col(c).cast("string"), F.lit("None")) for c in cols]).alias("line"))
+
+
+def event_ids_report(events: DataFrame) -> DataFrame:
+    """Time, id, and the number and list of the event ids that an event's comments (array of JSON texts) name, in their order.
+
+    Comments that are no JSON or name none count for nothing.
+    """
+    named = F.flatten(F.transform("comments", lambda x: F.coalesce(F.from_json(F.get_json_object(x, "$.event_ids"), "array<string>"), F.array().cast("array<string>"))))
+    ids = F.coalesce(named, F.array().cast("array<string>"))
+    return events.select(F.col("origin_time").alias("time"), "event_id", F.size(ids).alias("nb_agencies"), F.concat_ws(" ", ids).alias("agencies_list"))
+
+
+def last_segment(path: Column) -> Column:
+    """What follows the last slash."""
+    return F.element_at(F.split(path, "/"), -1)
+
+
+def quoted(text: Column) -> Column:
+    """Percent-encoded text, a space as %20."""
+    return F.replace(F.replace(F.replace(F.url_encode(text), F.lit("+"), F.lit("%20")), F.lit("*"), F.lit("%2A")), F.lit("%7E"), F.lit("~"))
+
+
+def unquoted(text: Column) -> Column:
+    """The text behind percent codes; a plus stays one."""
+    return F.url_decode(F.replace(text, F.lit("+"), F.lit("%2B")))
+
+
+def with_picks(arrivals: DataFrame, picks: DataFrame) -> DataFrame:
+    """Arrivals with the first pick (by ``ord``, then the other columns) of their pick_id, null where there is none."""
+    cols = ["ord", *[c for c in picks.columns if c not in ("pick_id", "ord")]]
+    first = picks.groupBy("pick_id").agg(F.min(F.struct(*cols)).alias("pick"))
+    return arrivals.join(first, "pick_id", "left")
+
+
+def reach_km(cloud: DataFrame) -> DataFrame:
+    """Twice the greatest great-circle distance between the barycentre of a cloud's best samples and its extent's corners, in km."""
+    s = scatter_summary(cloud)
+    corners = [(f"{a}_latitude", f"{b}_longitude") for a in ("min", "max") for b in ("min", "max")]
+    far = F.greatest(*[great_circle_km(F.col("best_latitude"), F.col("best_longitude"), F.col(x), F.col(y)) for x, y in corners])
+    return s.withColumn("region_km", 2 * far)
+
+
+def removal_counts(before: DataFrame, after: DataFrame, keys: list[str]) -> DataFrame:
+    """How many rows of each key a step has left out."""
+    x = before.groupBy(*keys).agg(F.count("*").alias("n_before"))
+    y = after.groupBy(*keys).agg(F.count("*").alias("n_after"))
+    out = x.join(y, keys, "left").withColumn("n_after", F.coalesce("n_after", F.lit(0)))
+    return out.withColumn("removed", F.col("n_before") - F.col("n_after"))
 
 
 def scatter_summary(cloud: DataFrame) -> DataFrame:
     """Mean position of the most probable samples (all rows of the greatest h2) and the extent of the cloud."""
-    top = cloud.agg(F.max("h2").alias("top"))
-    best = cloud.join(F.broadcast(top), F.col("h2") == F.col("top")).agg(*[F.avg(c).alias(f"best_{c}") for c in ("latitude", "longitude", "depth")], F.count("*").alias("n_best"))
-    span = cloud.agg(*[f(c).alias(f"{n}_{c}") for c in ("latitude", "longitude") for n, f in (("min", F.min), ("max", F.max))])
-    return best.join(span)
+    at = F.struct("latitude", "longitude", "depth")
+    # One scan: sums over the rows of each h2 are few where it is a rank, and otherwise combine before the shuffle.
+    per = cloud.groupBy("h2").agg(F.count("*").alias("n"), *[F.sum(c).alias(c) for c in ("latitude", "longitude", "depth")], *[f(c).alias(f"{n}_{c}") for c in ("latitude", "longitude") for n, f in (("min", F.min), ("max", F.max))])
+    one = per.agg(F.max_by(F.struct("n", at.alias("at")), "h2").alias("b"), *[f(f"{n}_{c}").alias(f"{n}_{c}") for c in ("latitude", "longitude") for n, f in (("min", F.min), ("max", F.max))])
+    return one.select(*[(F.col(f"b.at.{c}") / F.col("b.n")).alias(f"best_{c}") for c in ("latitude", "longitude", "depth")], F.col("b.n").alias("n_best"), *[f"{n}_{c}" for c in ("latitude", "longitude") for n in ("min", "max")])
 
 
 def sound_origins(origins: DataFrame, errors: list[str], status: str | None = None) -> DataFrame:

@@ -90,22 +90,25 @@ def detection_time(df: DataFrame) -> DataFrame:
 def with_coordinates(picks: DataFrame, stations: DataFrame) -> DataFrame:
     """Picks with the coordinates of the first station row that is valid at their time; others are dropped.
 
-    ``stations`` may have ``channel``, ``start_date`` and ``end_date``. A
-    pick meets few epochs of one station, so the first is a minimum per pick
-    and not a sort. The station table joins by its keys; Spark broadcasts it
-    while it is small.
+    ``stations`` may have ``channel``, ``start_date`` and ``end_date``. The
+    rows of a station are one sorted array, so a pick finds its row without
+    being grouped: the station table joins by its keys, and Spark broadcasts
+    it while it is small.
     """
-    dated = [c for c in ("start_date", "end_date") if c in stations.columns]
-    row = F.struct(*[stations[c] for c in ("channel", "start_date") if c in stations.columns], stations["latitude"], stations["longitude"], stations["elevation"])
-    if not dated:
-        first = stations.groupBy("network", "station").agg(F.min(row).alias("_s"))
-        return picks.join(first, ["network", "station"]).select(*picks.columns, "_s.latitude", "_s.longitude", "_s.elevation")
-    ids = picks.withColumn("_pick", F.monotonically_increasing_id())
-    on = (ids["network"] == stations["network"]) & (ids["station"] == stations["station"])
-    day = F.to_date(ids["phase_time"])
-    for c in dated:
-        on &= stations[c].isNull() | (stations[c] <= day if c == "start_date" else stations[c] >= day)
-    best = ids.join(stations, on).groupBy("_pick", *[ids[c] for c in picks.columns]).agg(F.min(row).alias("_s"))
+    order = [c for c in ("channel", "start_date") if c in stations.columns]
+    row = F.struct(*order, "latitude", "longitude", "elevation", *(["end_date"] if "end_date" in stations.columns else []))
+    epochs = stations.groupBy("network", "station").agg(F.sort_array(F.collect_list(row)).alias("_epochs"))  # of one station
+    day = F.to_date(picks["phase_time"])
+
+    def valid(e: Column) -> Column:
+        good = F.lit(True)
+        if "start_date" in stations.columns:
+            good &= e["start_date"].isNull() | (e["start_date"] <= day)
+        if "end_date" in stations.columns:
+            good &= e["end_date"].isNull() | (e["end_date"] >= day)
+        return good
+
+    best = picks.join(epochs, ["network", "station"]).withColumn("_s", F.get(F.filter("_epochs", valid), F.lit(0))).where("_s is not null")
     return best.select(*picks.columns, "_s.latitude", "_s.longitude", "_s.elevation")
 
 

@@ -350,6 +350,37 @@ def scatter_barycenter(spark, d):
     return s.withColumns({c: F.round(c, 6) for c in ("best_latitude", "best_longitude", "best_depth")})
 
 
+@query("""SELECT event_id, '' AS tag, printf('%.3f', latitude) AS latitude, printf('%.1f', depth_km * 1000) AS depth, CASE WHEN event_id % 4 = 0 THEN '-' ELSE printf('%.1f', (event_id % 4) * 1.0) END AS gap1, 'm' || CAST(event_id % 3 AS STRING) AS model FROM fx_origins""")
+def event_table(spark, d):
+    o = view(spark, d, "fx_origins").withColumns({"preferred": F.lit(True), "event_type": F.lit("earthquake"), "standard_error": F.lit(0.1), "used_station_count": F.lit(1), "used_phase_count": F.lit(1), "azimuthal_gap": (F.col("event_id") % 4).cast("double"), "secondary_azimuthal_gap": F.lit(None).cast("double"), "earth_model_id": F.concat(F.lit("smi:x/models/m"), (F.col("event_id") % 3).cast("string")), "method_id": F.lit("smi:x/octree")})
+    return catalog.event_table(o).select("event_id", "tag", "latitude", "depth", "gap1", "model")
+
+
+@query("""SELECT epoch_us(origin_time) AS time_us, event_id, CASE WHEN event_id % 2 = 0 THEN 2 ELSE 0 END AS nb_agencies, CASE WHEN event_id % 2 = 0 THEN 'a' || CAST(event_id AS STRING) || ' b' ELSE '' END AS agencies_list FROM fx_origins""")
+def event_ids_report(spark, d):
+    text = F.format_string('{"event_ids": ["a%d", "b"]}', "event_id")
+    o = view(spark, d, "fx_origins").withColumn("comments", F.when(F.col("event_id") % 2 == 0, F.array(F.lit("no json"), text)).otherwise(F.array(F.lit('{"other": 1}'))))
+    return catalog.event_ids_report(o).select(picks.micros(F.col("time")).alias("time_us"), "event_id", "nb_agencies", "agencies_list")
+
+
+@query("""WITH a AS (SELECT event_id, ord, event_id * 3 + ord % 3 AS pick_id FROM fx_arrivals), p AS (SELECT pick_id, arg_min(station, (ord, station)) AS station FROM (SELECT event_id * 3 + ord % 3 AS pick_id, ord, station FROM fx_arrivals WHERE ord <> 2) t GROUP BY pick_id) SELECT a.event_id, a.ord, p.station FROM a LEFT JOIN p USING (pick_id)""")
+def arrivals_with_picks(spark, d):
+    a = view(spark, d, "fx_arrivals").withColumn("pick_id", F.col("event_id") * 3 + F.col("ord") % 3)
+    return catalog.with_picks(a.select("event_id", "ord", "pick_id"), a.where("ord <> 2").select("pick_id", "ord", "station")).select("event_id", "ord", "pick.station")
+
+
+@query("SELECT station_id, n_before, n_before - coalesce(n, 0) AS removed FROM (SELECT station_id, count(*) AS n_before FROM fx_picks GROUP BY 1) t LEFT JOIN (SELECT station_id AS s, count(*) AS n FROM fx_picks WHERE NOT (phase_type = 'P' AND coalesce(phase_score, -1) < 0.2) AND NOT (phase_type = 'S' AND coalesce(phase_score, -1) < 0.5) GROUP BY 1) u ON s = station_id")
+def removal_counts(spark, d):
+    p = view(spark, d, "fx_picks")
+    return catalog.removal_counts(p, picks.above_threshold(p, 0.2, 0.5), ["station_id"]).select("station_id", "n_before", "removed")
+
+
+@query("SELECT pick_ord, CASE WHEN pick_ord % 5 < 0 THEN -1 ELSE pick_ord % 5 END AS label FROM fx_picks UNION ALL SELECT pick_ord, CASE WHEN pick_ord % 4 = 3 THEN -1 ELSE 5 + pick_ord % 4 END FROM fx_picks")
+def cluster_append(spark, d):
+    p = view(spark, d, "fx_picks").select("pick_ord")
+    return clusters.append(p.withColumn("label", F.col("pick_ord") % 5), p.withColumn("label", F.when(F.col("pick_ord") % 4 == 3, -1).otherwise(F.col("pick_ord") % 4)))
+
+
 # Operators that SQL doesn't express: each runs over all picks, in windows of a day.
 
 
@@ -393,7 +424,7 @@ def locate_origins(spark, d):
 
 @query()
 def associate_events(spark, d):
-    return locate.associate_clusters(_clusters(spark, d), locate.AssociatorSettings(tolerance=60.0))
+    return locate.associate_clusters(_clusters(spark, d), locate.AssociatorSettings(pick_match_tolerance=60.0))
 
 
 @query()

@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tremor.operators.clusters import observation_lines
 from tremor.operators.picks import SECOND_LAYOUT, to_official_layout
 
 TYPES = {
@@ -97,3 +98,41 @@ def read_scatter(spark: SparkSession, path) -> DataFrame:
 def write_report(df: DataFrame, path: str, order: str) -> None:
     """A report as CSV in the order of one column; never over existing output."""
     df.orderBy(order).write.mode("errorifexists").option("header", True).csv(path)
+
+
+def write_observations(members: DataFrame, path: str) -> None:
+    """A text file of observation lines per cluster (folders ``cluster_id=...``), in order of time; never over existing output."""
+    lines = members.select("cluster_id", "phase_time", observation_lines(members).alias("value"))
+    lines.repartition("cluster_id").sortWithinPartitions("cluster_id", "phase_time").select("cluster_id", "value").write.mode("errorifexists").partitionBy("cluster_id").text(path)
+
+
+VELOCITY_SIDECAR = ["velocity_profile", "template", "time", "latitude", "longitude", "depth_m"]
+
+
+def write_velocity_sidecars(zones: DataFrame, path: str) -> None:
+    """Six lines per cluster: profile, template, time, latitude, longitude and depth of its first location."""
+    text = F.concat_ws("\n", *[F.col(c).cast("string") for c in VELOCITY_SIDECAR])
+    zones.select("cluster_id", text.alias("value")).write.mode("errorifexists").partitionBy("cluster_id").text(path)
+
+
+def read_velocity_sidecars(spark: SparkSession, path) -> DataFrame:
+    """What :func:`write_velocity_sidecars` has written, a row per cluster."""
+    raw = spark.read.option("basePath", path).text(path, wholetext=True)
+    part = F.split("value", "\n")
+    kinds = {"time": "timestamp", "latitude": "double", "longitude": "double", "depth_m": "double"}
+    return raw.select("cluster_id", *[F.get(part, F.lit(i)).cast(kinds.get(c, "string")).alias(c) for i, c in enumerate(VELOCITY_SIDECAR)])
+
+
+def save_distances(pairs: DataFrame, path: str) -> None:
+    """Pseudo-distances ``window_id, i, j, tt`` for another run; never over existing output."""
+    pairs.write.mode("errorifexists").parquet(path)
+
+
+def load_distances(spark: SparkSession, path) -> DataFrame:
+    return spark.read.schema("window_id long, i long, j long, tt double").parquet(path)
+
+
+def write_scatter(cloud: DataFrame, path: str) -> None:
+    """A scatter cloud as text of the layout that :func:`read_scatter` takes, in one file; never over existing output."""
+    rows = F.array_join(F.array_sort(F.collect_list(F.concat_ws(" ", *[F.col(c).cast("string") for c in ("latitude", "longitude", "depth", "h1", "h2")]))), "\n")  # a cloud has some 10,000 samples
+    cloud.agg(F.concat(F.lit("# scatter\n#\n#\n"), rows).alias("value")).write.mode("errorifexists").text(path)
