@@ -617,3 +617,61 @@ def test_pipeline_equals_plain_versions(spark, tmp_path, corpus, rows):
         ids = library.encode_ordinary(t or "")
         want[i, len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256((t or "").encode()).hexdigest()] += 1
     assert multiset(corpus_pipeline.run(spark, str(tmp_path)), "doc_id", "n_tokens", "ids_sha256", "decoded_sha256") == want
+
+
+def test_training_equals_a_plain_loop():
+    """Follow-the-regularised-leader over two epochs, weight by weight, and scores as plain sums."""
+    rng = random.Random(15)
+    bits, alpha, beta, l2 = 10, 0.5, 1.0, 1.0
+    data = [(prose(rng, rng.randint(1, 30)) + (" bad" if k % 3 else " good"), int(k % 3 == 0)) for k in range(40)]
+    got = quality_lr.train([(*quality_lr.sparse(t, bits), y) for t, y in data], bits=bits, epochs=2)
+    z, n = defaultdict(float), defaultdict(float)
+    bias = 1 << bits
+
+    def weight(i):
+        return -z[i] / ((beta + n[i] ** 0.5) / alpha + l2)
+
+    for _ in range(2):
+        for t, y in data:
+            f = quality_lr.features(t, bits).tolist()
+            x = {i: c / len(f) ** 0.5 for i, c in Counter(f).items()} | {bias: 1.0}
+            w = {i: weight(i) for i in x}
+            p = 1 / (1 + np.exp(-sum(w[i] * x[i] for i in x)))
+            for i in x:
+                g = (p - y) * x[i]
+                z[i] += g - ((n[i] + g * g) ** 0.5 - n[i] ** 0.5) / alpha * w[i]
+                n[i] += g * g
+    assert np.allclose(got, [weight(i) for i in range(bias + 1)])
+
+
+def test_columns_of_any_name(spark):
+    """Names that the operators use inside, names with a dot, and repeated rows pass through."""
+    rng = random.Random(16)
+    line = prose(rng, 12)
+    rows = [(1, line + "\n" + prose(rng, 9)), (2, line + "\n" + prose(rng, 20)), (2, None), (None, "")] * 2
+    cols = ["key", "id", "n", "row", "t", "i", "h", "_lines", "doc", "th", "a.b", "gone", "kept", "component", "_gone", "source"]
+    df = spark.createDataFrame([(*r, *range(len(cols) - 1), "s") for r in rows], "doc_id long, text string, " + ", ".join(f"`{c}` {'string' if c == 'source' else 'int'}" for c in cols))
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int")
+    for out in (line_dedup.keep_first_lines(df), mixing.mix(df), ngram_join.keep_one(df), quality_lr.keep_good(df, labels)):
+        assert out.columns == df.columns and len(out.collect()) > 0
+    assert line_dedup.dedup_lines(df).count() == substring.repeated_passages(df).count() + 8
+    for out in (ngram_join.components(df), quality_lr.classify(df, labels), bpe.round_trip(df), piece_count.token_counts(df), sharding.assign_shards(df), compression.compression_rules(df)):
+        assert out.count() == 8
+    empty = df.limit(0)
+    for out in (line_dedup.keep_first_lines(empty), mixing.mix(empty), ngram_join.keep_one(empty), quality_lr.keep_good(empty, labels), bpe.encode(empty), bpe.decode(bpe.encode(empty))):
+        assert out.count() == 0
+
+
+def test_texts_of_megabytes():
+    """Words, shingles and lines of a long text are those of plain splitting, whatever the stretches."""
+    from tremor.llm import _text
+
+    rng = random.Random(17)
+    text = "\n".join(prose(rng, rng.randint(0, 40)) for _ in range(25_000)).encode() + b" \x0b" + b"y" * 1_500_000 + b"\r\nEND"
+    data = np.frombuffer(text, np.uint8)
+    words, at, bounds = _text.hash_words(data, np.array([0, len(data)]))
+    plain = text.lower().split()
+    assert len(words) == len(plain) == bounds[1] and all(text[i : i + len(w)].lower() == w for i, w in zip(at.tolist(), plain, strict=True))
+    assert len(set(zip(words.tolist(), plain, strict=True))) == len(set(plain)) == len(set(words.tolist()))
+    s, edge = _text.shingle_runs(words, bounds)
+    assert len(s) == len(plain) - 4 == edge[1] and len(set(s.tolist())) == len(set(zip(*[plain[k:] for k in range(5)], strict=False)))

@@ -90,7 +90,7 @@ def rules(text: bytes, press: zstandard.ZstdCompressor) -> tuple:
     chunks = [outside(CHUNK_BAND, ratio(press, text[i : i + CHUNK])) for i in starts]
     bad = [x for x in chunks if x]
     if verdict is None and len(bad) > CHUNK_SHARE * len(chunks):
-        verdict = f"{max(set(bad), key=bad.count)} chunks"
+        verdict = f"{max(sorted(set(bad)), key=bad.count)} chunks"
     return (
         len(words),
         len(solid.translate(None, CONTINUATION)),

@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tremor.llm._text import POWERS, as_bytes, batch_slices, hash_words, mix, text_buffers, to_signed
 from tremor.session import materialize, release, remove
@@ -327,7 +328,8 @@ def dedup_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
     rows = docs.select(row, F.coalesce(docs[f"`{doc_id}`"].cast("long"), F.lit(_NULL_ID)).alias("i"), F.xxhash64(as_bytes(text, docs)).alias("h"), docs[f"`{text}`"].cast("binary").alias("t"))
     rows = rows.join(gone, (F.col("i") == F.col("doc")) & (F.col("h") == F.col("th")), "left")
     rows = rows.select("row", "t", "gone", F.coalesce("n_exact", F.lit(0).cast("long")).alias("n_exact"), F.coalesce("n_near", F.lit(0).cast("long")).alias("n_near"))
-    return rows.mapInArrow(_kept, f"row {rows.schema['row'].dataType.simpleString()}, kept string, n_lines long, n_exact long, n_near long")
+    kinds = {"row": rows.schema["row"].dataType, "kept": T.StringType(), "n_lines": T.LongType(), "n_exact": T.LongType(), "n_near": T.LongType()}
+    return rows.mapInArrow(_kept, T.StructType([T.StructField(k, v) for k, v in kinds.items()]))
 
 
 def keep_first_lines(docs: DataFrame) -> DataFrame:

@@ -152,8 +152,8 @@ def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD)
     weights = fit(docs, labels)
     held = docs.sparkSession.sparkContext.broadcast(weights)
     bits = int(np.log2(len(weights) - 1))
-    schema = docs.schema
-    at = schema.names.index("text")
+    at = docs.columns.index("text")
+    plain = docs.toDF(*[f"c{k}" for k in range(len(docs.columns))])  # names with a dot can't be mapped
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w = held.value
@@ -166,4 +166,4 @@ def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD)
             yield batch.filter(pa.array(keep, pa.bool_()))
         _HASH.clear()
 
-    return docs.mapInArrow(run, schema)
+    return plain.mapInArrow(run, plain.schema).toDF(*docs.columns)
