@@ -50,8 +50,8 @@ LEAST_FREQUENT, FREQUENT = 24, 65536
 SLACK, ROW_COST, PAIR_COST = (1.0, 1.5, 2.0, 3.0), 1.0, 1.0
 #: Bytes of bitmaps that a task compares at once; a larger group goes by pairs of blocks.
 BLOCK = 8 << 20
-#: Spanning forests of open pairs that are verified at once.
-FORESTS = 4
+#: Spanning forests of open pairs that are verified at once, and how many times more in each round after the first.
+FORESTS, MORE = 8, 16
 #: A set that a task has met has no keys again; so many are remembered.
 SEEN = 200_000
 _SUBSETS, _DELETIONS, _SINGLE = 0, 1, 2
@@ -376,8 +376,8 @@ def _verify(width: int, percent: int):
 _OPEN = "key long, i int, j int, id long, k long, n int, bits binary, failed array<long>"
 
 
-def across(ident: np.ndarray, comp: np.ndarray, n: np.ndarray, bits: list[np.ndarray], failed: list, side: np.ndarray, percent: int = PERCENT) -> tuple[list[tuple[int, int]], bool]:
-    """Pairs of different components that may link, as FORESTS spanning forests, each of what the ones before leave; and whether that is all.
+def across(ident: np.ndarray, comp: np.ndarray, n: np.ndarray, bits: list[np.ndarray], failed: list, side: np.ndarray, percent: int = PERCENT, forests: int = FORESTS) -> tuple[list[tuple[int, int]], bool]:
+    """Pairs of different components that may link, as ``forests`` spanning forests, each of what the ones before leave; and whether that is all.
 
     ``side``: the block of each set where two blocks meet (only pairs of both
     count), zeros where one is compared with itself.
@@ -386,7 +386,7 @@ def across(ident: np.ndarray, comp: np.ndarray, n: np.ndarray, bits: list[np.nda
     m = np.stack([fold(x, words) for x in bits])
     never = {(int(a), int(b)) for a, bs in zip(ident, failed, strict=True) for b in (bs if bs is not None else ())}
     _, comp = np.unique(comp, return_inverse=True)
-    parents = [list(range(int(comp.max()) + 1)) for _ in range(FORESTS)]
+    parents = [list(range(int(comp.max()) + 1)) for _ in range(min(forests, len(ident)))]
 
     def find(parent, x):
         while parent[x] != x:
@@ -424,7 +424,7 @@ def across(ident: np.ndarray, comp: np.ndarray, n: np.ndarray, bits: list[np.nda
     return out, all_told
 
 
-def _across(percent: int):
+def _across(percent: int, forests: int):
     """:func:`across` over rows sorted by key and blocks; a group has 2 * BLOCK bytes of bitmaps at most, or two sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -434,7 +434,7 @@ def _across(percent: int):
             if len(held) > 1:
                 ident, comp, n, bits, failed, block = zip(*held, strict=True)
                 block = np.array(block) if name[1] != name[2] else np.zeros(len(held), np.int64)
-                pairs, all_told = across(np.array(ident), np.array(comp), np.array(n), [np.frombuffer(x, np.uint64) for x in bits], list(failed), block, percent)
+                pairs, all_told = across(np.array(ident), np.array(comp), np.array(n), [np.frombuffer(x, np.uint64) for x in bits], list(failed), block, percent, forests)
                 found.extend((name[0], *p, not all_told) for p in pairs)
             held.clear()
 
@@ -538,7 +538,7 @@ def components(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH, text
     release(spark)
     done = _verified(held, pairs, percent, width)
     links, failed = done.where("link").select("a", "b"), done.where("not link").select("a", "b")
-    reach, first = connected_components(links), True
+    reach, first, forests = connected_components(links), True, FORESTS
     while True:
         # Keys of several components; of keys with the very same sets, one.
         rows = (met if first else met.join(keys, "key")).join(reach, met["id"] == reach["node"], "left").select("key", "id", "n", F.coalesce("component", "id").alias("k"))
@@ -553,13 +553,14 @@ def components(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH, text
         rows = rows.withColumn("block", F.expr("cast(pmod(xxhash64(id, 7), blocks) as int)")).withColumn("o", F.explode(F.expr("sequence(0, blocks - 1)")))
         rows = rows.select("key", F.least("block", "o").alias("i"), F.greatest("block", "o").alias("j"), "id", "k", "n", "bits", "failed", "block")
         rows = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-        found = materialize(rows.mapInArrow(_across(percent), "key long, a long, b long, more boolean"), "join-open")
+        found = materialize(rows.mapInArrow(_across(percent, forests), "key long, a long, b long, more boolean"), "join-open")
         if not _any(found):
             break
         release(spark)
         done = _verified(held, found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), percent, width)
         reach = _extended(reach, done.where("link").select("a", "b"))
-        keys, first = materialize(found.where("more").select("key").distinct(), "join-open-keys"), False
+        # Few keys have more pairs than that, of sets that are nearly similar enough; they tell so many more at once that rounds are few.
+        keys, first, forests = materialize(found.where("more").select("key").distinct(), "join-open-keys"), False, forests * MORE
         if not _any(keys):
             break
         failed = materialize(failed.union(done.where("not link").select("a", "b")), "join-failed")
