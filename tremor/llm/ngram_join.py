@@ -537,6 +537,7 @@ def components(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH, text
     held = materialize(held.dropDuplicates(["id"]), "join-texts")
     release(spark)
     done = _verified(held, pairs, percent, width)
+    remove(spark, pairs)
     links, failed = done.where("link").select("a", "b"), done.where("not link").select("a", "b")
     reach, first, forests = connected_components(links), True, FORESTS
     while True:
@@ -545,11 +546,12 @@ def components(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH, text
         # A group too large for one task meets in pairs of blocks; a bitmap has half a byte for each shingle at most, and 8 bytes at least.
         blocks = F.ceil(F.sum(F.col("n") / 2 + 8) / BLOCK).cast("int").alias("blocks")
         mixed = rows.groupBy("key").agg(F.min("k").alias("k0"), F.max("k").alias("k1"), F.count("*").alias("c"), F.bit_xor(F.xxhash64("id")).alias("h0"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("h1"), blocks).where("k0 <> k1")
-        mixed = mixed.groupBy("c", "h0", "h1").agg(F.min(F.struct("key", "blocks")).alias("m")).select("m.*")
-        rows = rows.drop("n").join(mixed, "key").join(bits, "id")
+        mixed = materialize(mixed.groupBy("c", "h0", "h1").agg(F.min(F.struct("key", "blocks")).alias("m")).select("m.*"), "join-mixed")
+        rows = rows.drop("n").join(mixed, "key", "left_semi").join(bits, "id")
         # One list per set: of a set's failed pairs, which are pairs that are nearly similar enough.
         lists = failed.groupBy(F.col("a").alias("id")).agg(F.collect_set("b").alias("failed"))
         rows = rows.join(lists, "id", "left")
+        rows = rows.join(mixed.where("blocks > 1"), "key", "left").na.fill(1, ["blocks"])
         rows = rows.withColumn("block", F.expr("cast(pmod(xxhash64(id, 7), blocks) as int)")).withColumn("o", F.explode(F.expr("sequence(0, blocks - 1)")))
         rows = rows.select("key", F.least("block", "o").alias("i"), F.greatest("block", "o").alias("j"), "id", "k", "n", "bits", "failed", "block")
         rows = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
@@ -623,8 +625,11 @@ def _labelled(facts: DataFrame, sets: DataFrame, classes: DataFrame, reach: Data
 
 
 def _verified(texts: DataFrame, pairs: DataFrame, percent: int, width: int) -> DataFrame:
-    """``a, b, link`` of each pair, from the whole texts."""
-    rows = pairs.select("a", "b").join(texts.select(F.col("id").alias("b"), F.col("t").alias("tb")), "b")
+    """``a, b, link`` of each pair, from the whole texts; only texts of these pairs move."""
+    pairs = materialize(pairs.select("a", "b"), "join-asked")
+    wanted = materialize(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "join-ids")
+    texts = texts.join(wanted, "id", "left_semi")
+    rows = pairs.join(texts.select(F.col("id").alias("b"), F.col("t").alias("tb")), "b")
     rows = rows.join(texts.select(F.col("id").alias("a"), F.col("t").alias("ta")), "a").select("a", "b", "ta", "tb")
     done = materialize(rows.mapInArrow(_verify(width, percent), "a long, b long, link boolean"), "join-done")
     release(texts.sparkSession)
