@@ -153,7 +153,7 @@ def pair_tt(spark, d):
 
 @query("WITH " + _DAYS + f", e AS (SELECT a.pick_ord AS i, {tt_sql('a', 'b', 'us', 5)} AS tt FROM p a JOIN p b ON a.day = b.day AND a.pick_ord <> b.pick_ord), r AS (SELECT *, row_number() OVER (PARTITION BY i ORDER BY tt) AS n FROM e) SELECT i, round(tt, 6) AS tt FROM r WHERE n = 7")
 def kdist_curve(spark, d):
-    return pairs.neighbour_curve(pairs.pseudo_distances(_by_day(spark, d), 5.0), 8).select("i", F.round("tt", 6).alias("tt"))
+    return pairs.nearest_distances(_by_day(spark, d), 8, 5.0).select("i", F.round("tt", 6).alias("tt"))
 
 
 @query(f"""WITH RECURSIVE p AS (SELECT event_id, epoch_us(time) AS us, latitude, longitude FROM fx_bulletin),
