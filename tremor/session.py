@@ -76,6 +76,6 @@ def remove(spark: SparkSession, *tables: DataFrame) -> None:
     """Delete the files behind tables made by :func:`materialize` that nothing reads any more."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     for df in tables:
-        for f in df.inputFiles()[:1]:
-            folder = jvm.org.apache.hadoop.fs.Path(f.rsplit("/", 1)[0])
-            folder.getFileSystem(conf).delete(folder, True)
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(conf).delete(path, True)
