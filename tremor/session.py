@@ -44,6 +44,13 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+def small_batches(spark: SparkSession, rows: int = 2048) -> None:
+    """Arrow batches of so many rows at most from now on in the session: operators that map whole texts hold one batch at a time."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name, "10000")) <= rows:
+        spark.conf.set(name, str(rows))
+
+
 def materialize(df: DataFrame, label: str = "t") -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back.
 
