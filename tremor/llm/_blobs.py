@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 
 SCHEMA = "bucket int, packed binary"
 #: Rows that a task gathers before it sends them, and rows of a bucket on average.
-FLUSH, BUCKET_ROWS = 1 << 20, 1 << 19
+FLUSH, BUCKET_ROWS = 1 << 19, 1 << 19
 
 
 def buckets_for(rows: float) -> int:

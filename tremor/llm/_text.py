@@ -164,6 +164,7 @@ def batch_slices(batches: Iterator[pa.RecordBatch], rows: int = 256, size: int =
                 part = part.slice(0, part.num_rows // 2)
             at += part.num_rows
             yield part
+    pa.default_memory_pool().release_unused()  # a worker stays for other tasks
 
 
 def column_shingles(column: pa.Array, width: int = 5) -> tuple[np.ndarray, np.ndarray]:

@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tremor.llm._text import slices
+from tremor.session import small_batches
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 NONE = np.int32(2**31 - 1)
@@ -116,7 +117,8 @@ class ByteBPE:
     def forget(self) -> None:
         """Drop what is remembered: ids of pre-tokens, and ids and decoded bytes of stretches of text."""
         self.known: dict[str, str] = {}
-        self.runs: dict[str, tuple[str, bytes]] = {}
+        self.runs: dict[str, str] = {}
+        self.raw: dict[str, bytes] = {}
         self.weight = 0
 
     def _index(self, keys: np.ndarray, made: np.ndarray) -> None:
@@ -230,12 +232,12 @@ class ByteBPE:
                 self.known[p] = ",".join(text[at : at + c])
                 at += c
 
-    def _learn_runs(self, texts: set[str]) -> dict[str, tuple[str, bytes]]:
-        """Ids and decoded bytes of whole stretches of text."""
+    def _learn_runs(self, texts: set[str]) -> dict[str, str]:
+        """Ids of whole stretches of text."""
         parts = {t: self.split(t) for t in texts}
         everything = set().union(*parts.values())
         missing = everything.difference(self.known)
-        if len(self.known) + len(missing) > self.limit // 4:
+        if len(self.known) + len(missing) > self.limit:
             self.known.clear()
             missing = everything
         if missing:
@@ -245,9 +247,9 @@ class ByteBPE:
         for p in missing:
             if len(p) > LONGEST:
                 del self.known[p]
-        return {t: (x, self.decode(x)) for t, x in ids.items()}
+        return ids
 
-    def encode_runs(self, texts: list[str]) -> list[list[tuple[str, bytes]]]:
+    def encode_runs(self, texts: list[str]) -> Iterator[tuple[list[str], list[bytes]]]:
         """Each text in runs: their ids as decimal numbers joined by commas, and the bytes that these decode to.
 
         A space between two characters that are no white space always begins a
@@ -269,23 +271,25 @@ class ByteBPE:
         missing = everything.difference(self.runs)
         if missing and (len(self.runs) + len(missing) > self.limit or self.weight > CHARACTERS):
             self.runs.clear()
+            self.raw.clear()
             self.weight, missing = 0, everything
-        long = {}
         if missing:
             new = self._learn_runs(missing)
-            long = {t: x for t, x in new.items() if len(t) > LONGEST}
-            for t in long:
-                del new[t]
             self.weight += sum(map(len, new))
             self.runs.update(new)
-        if not long:
-            get = self.runs.__getitem__
-            return [list(map(get, c)) for c in cut]
-        return [[long[t] if t in long else self.runs[t] for t in c] for c in cut]
+            self.raw.update((x, self.decode(x)) for x in new.values())
+        get, raw = self.runs.__getitem__, self.raw.__getitem__
+        for c in cut:
+            ids = list(map(get, c))
+            yield ids, list(map(raw, ids))
+        for t in missing:
+            if len(t) > LONGEST:
+                self.weight -= len(t)
+                self.raw.pop(self.runs.pop(t), None)
 
     def encode_batch(self, texts: list[str]) -> list[str]:
         """Ids of each text, as decimal numbers joined by commas."""
-        return [",".join(x for x, _ in runs) for runs in self.encode_runs(texts)]
+        return [",".join(ids) for ids, _ in self.encode_runs(texts)]
 
     def decode(self, ids: str) -> bytes:
         """Bytes of decimal ids joined by commas."""
@@ -298,6 +302,7 @@ def codec(ranks: str) -> ByteBPE:
 
 
 def _texts(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
+    small_batches(docs.sparkSession)
     return docs.select(F.col(doc_id).cast("long").alias("i"), F.coalesce(F.col(text), F.lit("")).alias("t"))
 
 
@@ -341,8 +346,7 @@ def round_trip(docs: DataFrame, ranks: str = RANKS, text: str = "text", doc_id:
         bpe = codec(ranks)
         for part in slices(batches, 1024):
             n, a, b = [], [], []
-            for runs in bpe.encode_runs(part["t"]):
-                ids, raw = zip(*runs, strict=True) if runs else ((), ())
+            for ids, raw in bpe.encode_runs(part["t"]):
                 x = ",".join(ids)
                 n.append(x.count(",") + 1 if x else 0)
                 a.append(hashlib.sha256(x.encode()).hexdigest())

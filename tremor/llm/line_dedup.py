@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tremor.llm._text import POWERS, as_bytes, batch_slices, hash_words, mix, text_buffers, to_signed
-from tremor.session import materialize, release, remove
+from tremor.session import materialize, release, remove, small_batches
 
 #: One edit must leave so much of the longer line (percent): lines of MIN_WORDS words or more.
 KEEP = 80
@@ -262,6 +262,7 @@ def dropped_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -
     that a third of the rows hold travels once per slice.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     texts = docs.select(F.coalesce(docs[f"`{doc_id}`"].cast("long"), F.lit(_NULL_ID)).alias("i"), as_bytes(text, docs).alias("t"))
     texts = texts.withColumn("h", F.xxhash64("t"))
     rows = texts.mapInArrow(_emit, _ROWS).repartition("key").sortWithinPartitions("key", "kind", "h", "doc", "th", "line")

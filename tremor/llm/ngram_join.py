@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from tremor.llm._blobs import SCHEMA, Gathered, buckets_for, by_bucket, scatter, shuffled, unpack
 from tremor.llm._text import as_bytes, batch_slices, column_shingles, mix, sorted_sets, to_signed
 from tremor.operators.components import connected_components
-from tremor.session import materialize, release, remove
+from tremor.session import materialize, release, remove, small_batches
 
 #: Similarity as a fraction: 80 of 100.
 PERCENT, WIDTH = 80, 5
@@ -246,7 +246,7 @@ def _facts(width: int, bases: np.ndarray):
                 yield rows(0, part.column("i"), lo, hi, n, bitmaps(u, edge))
                 held.append((u & ~_BAND) | np.repeat((np.searchsorted(bases, n, side="right") - 1).astype(np.uint64), n))
                 size += len(u)
-                if size > 2_000_000:
+                if size > 1_000_000:
                     yield counts()
                     held, size = [], 0
             if held:
@@ -499,6 +499,7 @@ def components(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH, text
     gives an empty result; other columns are ignored.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     texts = docs.select(docs[f"`{doc_id}`"].cast("long").alias("i"), as_bytes(text, docs).alias("t"))
     facts = materialize(texts.mapInArrow(_facts(width, _ALL_BASES), _FACTS), "join-facts")
     sets = facts.where("kind = 0 and doc is not null")

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tremor.llm._text import Remembered, batch_slices, slices
+from tremor.session import small_batches
 
 BITS = 18
 #: The most labelled rows that a model learns from; those of the smallest hash of doc_id.
@@ -87,6 +88,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", max_rows: in
     the partitioning. It is bounded, so it is joined by broadcast, trained on
     in one task, and only the 2**bits weights come to the driver.
     """
+    small_batches(docs.sparkSession)
     known = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
     known = known.groupBy("doc_id").agg(F.max(label).cast("int").alias("y"))
     known = known.select("doc_id", "y", F.xxhash64("doc_id").alias("o")).orderBy("o", "doc_id").limit(max_rows)
