@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tremor.llm import ann_graph, bpe, compression, line_dedup, mixing, ngram_join, piece_count, quality_lr, sharding, substring
+from tremor.llm import ann_graph, bpe, compression, line_dedup, mixing, ngram_join, piece_count, quality_lr, secret_scan, sharding, substring
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,8 +54,12 @@ def op10_compression_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compression.compression_rules(table(spark, sf_dir, "documents"))
 
 
+def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan_secrets(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_substring_dedup, op2_source_mixing, op3_ngram_jaccard_join, op4_quality_classifier, op5_embedding_near_dedup, op6_bpe_round_trip, op7_token_counts, op8_best_fit_shards, op9_line_dedup, op10_compression_rules)}
+    return {f.__name__: f for f in (op1_substring_dedup, op2_source_mixing, op3_ngram_jaccard_join, op4_quality_classifier, op5_embedding_near_dedup, op6_bpe_round_trip, op7_token_counts, op8_best_fit_shards, op9_line_dedup, op10_compression_rules, op11_secret_scan)}
 
 
 _LOWER = "translate({x}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -65,6 +69,23 @@ _REACH = """both_ways AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
  reach AS (SELECT DISTINCT a AS n, a AS m FROM both_ways UNION SELECT b.b, r.m FROM reach r JOIN both_ways b ON r.n = b.a),
  component AS (SELECT n, min(m) AS m FROM reach GROUP BY n)"""
 
+
+
+def _secrets_sql() -> str:
+    """Spans by lists of what matches and of what lies between, rule by rule."""
+    rules = [*secret_scan.BASE, *secret_scan.MORE]
+    quoted = lambda x: "'" + x.replace("'", "''") + "'"
+    arms = [f"SELECT r, {k} AS k, regexp_extract_all(x, {quoted(r.regex)}, 0) AS m, regexp_extract_all(x, {quoted(r.regex)}, {r.group}) AS g, string_split_regex(x, {quoted(r.regex)}) AS b, {r.least} AS least FROM t" for k, r in enumerate(rules)]
+    kinds = "[" + ", ".join(quoted(r.kind) for r in rules) + "]"
+    counts = ", ".join(f"count(*) FILTER (WHERE k = {k}) AS n_{r.kind}" for k, r in enumerate(secret_scan.BASE))
+    return f"""WITH t AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS x FROM documents), h AS ({" UNION ALL ".join(arms)}),
+ i AS (SELECT *, unnest(range(1, len(m) + 1)) AS i FROM h WHERE len(m) > 0),
+ p AS (SELECT r, k, CAST(list_sum(list_transform(b[1:i], lambda y: length(y))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda y: length(y))), 0) AS BIGINT) AS a, length(m[i]) AS n FROM i WHERE length(g[i]) >= least),
+ s AS (SELECT r, k, a, {kinds}[k + 1] || ':' || CAST(a AS VARCHAR) || ':' || CAST(a + n AS VARCHAR) AS w FROM p),
+ c AS (SELECT r, {counts}, string_agg(w, ',' ORDER BY a, k) FILTER (WHERE k < {len(secret_scan.BASE)}) AS base, string_agg(w, ',' ORDER BY a, k) AS spans FROM s GROUP BY r)
+ SELECT doc_id, {", ".join(f"coalesce(n_{r.kind}, 0) AS n_{r.kind}" for r in secret_scan.BASE)}, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM t LEFT JOIN c USING (r)"""
+
+
 #: DuckDB SQL of those queries that SQL can express.
 ORACLE_SQL: dict[str, str] = {
     "op3_ngram_jaccard_join": f"""WITH RECURSIVE w AS (SELECT doc_id, {_WORDS.format(x="coalesce(text, '')")} AS ws FROM documents),
@@ -87,4 +108,5 @@ ORACLE_SQL: dict[str, str] = {
  d AS (SELECT o.*, len(o.ws) > 0 AS full_line, len(o.ws) > 0 AND o.o > f.o AS exact, near.o IS NOT NULL AS close FROM o LEFT JOIN f ON f.k = o.k AND len(o.ws) > 0 LEFT JOIN near ON near.o = o.o)
  SELECT doc_id, count(*) FILTER (WHERE full_line) AS n_lines, count(*) FILTER (WHERE exact) AS n_exact_dropped, count(*) FILTER (WHERE close) AS n_near_dropped,
   coalesce(string_agg(x, chr(10) ORDER BY line) FILTER (WHERE NOT coalesce(exact, false) AND NOT close), '') AS kept_text FROM d GROUP BY doc_id""",
+    "op11_secret_scan": _secrets_sql(),
 }
