@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tremor.llm import ann_graph, bpe, compression, line_dedup, mixing, ngram_join, piece_count, quality_lr, secret_scan, sharding, substring
+from tremor.llm import ann_graph, bpe, collocations, compression, line_dedup, mixing, ngram_join, piece_count, quality_lr, secret_scan, sharding, substring
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -58,8 +58,12 @@ def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan_secrets(table(spark, sf_dir, "documents"))
 
 
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_substring_dedup, op2_source_mixing, op3_ngram_jaccard_join, op4_quality_classifier, op5_embedding_near_dedup, op6_bpe_round_trip, op7_token_counts, op8_best_fit_shards, op9_line_dedup, op10_compression_rules, op11_secret_scan)}
+    return {f.__name__: f for f in (op1_substring_dedup, op2_source_mixing, op3_ngram_jaccard_join, op4_quality_classifier, op5_embedding_near_dedup, op6_bpe_round_trip, op7_token_counts, op8_best_fit_shards, op9_line_dedup, op10_compression_rules, op11_secret_scan, op13_phrase_collocations)}
 
 
 _LOWER = "translate({x}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -109,4 +113,13 @@ ORACLE_SQL: dict[str, str] = {
  SELECT doc_id, count(*) FILTER (WHERE full_line) AS n_lines, count(*) FILTER (WHERE exact) AS n_exact_dropped, count(*) FILTER (WHERE close) AS n_near_dropped,
   coalesce(string_agg(x, chr(10) ORDER BY line) FILTER (WHERE NOT coalesce(exact, false) AND NOT close), '') AS kept_text FROM d GROUP BY doc_id""",
     "op11_secret_scan": _secrets_sql(),
+    "op13_phrase_collocations": f"""WITH t AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({_LOWER.format(x="coalesce(text, '')")}, '[.,;:!?\\x0A-\\x0D]')) AS x FROM documents),
+ p AS (SELECT lang, regexp_extract_all(x, '[^\\x20\\x09]+') AS w FROM t), n AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM p GROUP BY lang),
+ g AS (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS p, count(*) AS f FROM (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM p) u, (VALUES (1), (2), (3), (4), (5)) v(k) WHERE i + k - 1 <= len(w) GROUP BY ALL),
+ c AS (SELECT *, string_split(p, ' ') AS w FROM g WHERE k > 1 AND f >= 100),
+ u AS (SELECT lang, p, k, f AS a, j, array_to_string(w[1:j], ' ') AS x, array_to_string(w[j + 1:k], ' ') AS y FROM (SELECT *, unnest(range(1, k)) AS j FROM c) c),
+ s AS (SELECT u.*, x.f AS l, y.f AS r, n.n, CAST(1000::HUGEINT * a * n.n // (x.f::HUGEINT * y.f) AS BIGINT) AS score FROM u JOIN g x ON x.lang = u.lang AND x.p = u.x JOIN g y ON y.lang = u.lang AND y.p = u.y JOIN n ON n.lang = u.lang),
+ m AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, p ORDER BY score, j) AS b FROM s) WHERE b = 1),
+ o AS (SELECT * FROM m WHERE NOT EXISTS (SELECT 1 FROM c WHERE c.lang = m.lang AND c.k > m.k AND 100 * c.f >= 100 * m.a AND contains(' ' || c.p || ' ', ' ' || m.p || ' ')))
+ SELECT lang, rank, p AS phrase, a, l, r, n, score FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, p) AS rank FROM o) WHERE rank <= 2000""",
 }
