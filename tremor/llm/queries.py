@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tremor.llm import ann_graph, bpe, collocations, compression, line_dedup, mixing, ngram_join, piece_count, quality_lr, secret_scan, sharding, substring
+from tremor.llm import alignment, ann_graph, bpe, collocations, compression, line_dedup, mixing, ngram_join, piece_count, quality_lr, secret_scan, sharding, substring
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -58,12 +58,16 @@ def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan_secrets(table(spark, sf_dir, "documents"))
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_tokens(table(spark, sf_dir, "documents"))
+
+
 def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_substring_dedup, op2_source_mixing, op3_ngram_jaccard_join, op4_quality_classifier, op5_embedding_near_dedup, op6_bpe_round_trip, op7_token_counts, op8_best_fit_shards, op9_line_dedup, op10_compression_rules, op11_secret_scan, op13_phrase_collocations)}
+    return {f.__name__: f for f in (op1_substring_dedup, op2_source_mixing, op3_ngram_jaccard_join, op4_quality_classifier, op5_embedding_near_dedup, op6_bpe_round_trip, op7_token_counts, op8_best_fit_shards, op9_line_dedup, op10_compression_rules, op11_secret_scan, op12_token_alignment, op13_phrase_collocations)}
 
 
 _LOWER = "translate({x}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
