@@ -196,6 +196,34 @@ def test_hdbscan_separates_groups_and_noise():
     assert (same == 0).all()
 
 
+def random_picks(n, span, seed=0):
+    rng = np.random.default_rng(seed)
+    us, site = np.sort((rng.random(n) * span * 1e6).astype(np.int64)), rng.integers(0, 40, n)
+    return us, 42 + site * 37 % 40 * 0.15, -2 + site * 23 % 40 * 0.2
+
+
+def test_spanning_trees_of_picks_equal_those_of_matrices():
+    for n, span, k in ((2000, 900, 8), (2000, 86400, 5), (300, 0, 5), (2, 10, 8), (60, 5, 1)):
+        us, lat, lon = random_picks(n, span, n)
+        d = density.pseudo_matrix(us, lat, lon, 5.0)
+        for m in (density.PickTimes(us, lat, lon, 5.0), density.PickTimes(us, lat, lon, 5.0, ellipsoid=True)):
+            want = density.spanning_tree(d if not m.ellipsoid else density.pseudo_matrix(us, lat, lon, 5.0, True), k)
+            got = density.pick_tree(m, k)
+            assert np.array_equal(got[:, 1:], want[:, 1:]) and np.allclose(got[:, 0], want[:, 0], rtol=1e-12)
+        labels, strength = density.hdbscan(d, 8, 2.0)
+        assert np.array_equal(labels, density.hdbscan_picks(density.PickTimes(us, lat, lon, 5.0), 8, 2.0)[0])
+
+
+def test_a_window_of_many_picks_needs_no_matrix():
+    import tracemalloc
+
+    us, lat, lon = random_picks(50_000, 86400)
+    tracemalloc.start()
+    labels, _ = density.hdbscan_picks(density.PickTimes(us, lat, lon, 5.0), 8)
+    assert len(labels) == 50_000 and tracemalloc.get_traced_memory()[1] < 500e6  # a matrix would have 20 GB
+    tracemalloc.stop()
+
+
 def test_clustering_by_window(spark):
     rows = two_quakes()
     base = 1704067200e6
