@@ -144,6 +144,33 @@ def test_windows_merge_with_the_one_before_only(spark):
     assert clusters.fold_links([(0, 1, 1, 11), (1, 11, 1, 12), (1, 12, 2, 21)]) == {11: 1, 12: 1}
 
 
+def test_chains_of_windows_fold_as_one(spark):
+    import random
+
+    from tremor.operators.chain import fold_chain
+
+    rng = random.Random(4)
+    quads = []
+    for w in range(400):
+        have, nxt = [10 * w + k for k in range(1 + w % 3)], [10 * (w + 1) + k for k in range(1 + (w + 1) % 3)]
+        quads += [(w, a, w + 1, b) for a in have for b in nxt if rng.random() < (0.9 if w != 77 else 0)]
+        quads += [(w, have[0], w, have[-1])] if len(have) > 1 and rng.random() < 0.2 else []
+    want = clusters.fold_links(quads)
+    df = frame(spark, quads, "w1 long, c1 long, w2 long, c2 long")
+    for block, fan, reach in ((10, 4, 8), (7, 1000, 8), (5, 3, 1), (5, 1000, 0), (1000, 1000, 8)):
+        assert {r.old: r.new for r in fold_chain(df, block, fan, reach).collect()} == want, (block, fan, reach)
+    assert fold_chain(df.limit(0)).count() == 0
+
+
+def test_a_chain_of_a_hundred_thousand_windows(spark):
+    # One cluster a window, each sharing picks with the next: every second one goes into the one before.
+    links = spark.range(99_999).selectExpr("id as w1", "id * 10 as c1", "id + 1 as w2", "(id + 1) * 10 as c2")
+    from tremor.operators.chain import fold_chain
+
+    got = fold_chain(links).agg(F.count("*").alias("n"), F.count_if(F.expr("old % 20 = 10 and new = old - 10")).alias("right")).first()
+    assert (got.n, got.right) == (50_000, 50_000)
+
+
 def test_text_and_file_helpers(spark, tmp_path):
     from tremor.sources import tables
 
@@ -183,6 +210,73 @@ def test_association_takes_as_many_events_as_there_are():
     assert len(found) == 20 and sum(len(p) for _, p in found) >= 20 * 20
 
 
+def test_nodes_bound_what_their_points_can_explain():
+    from tremor.operators import octree
+
+    rows = two_quakes()
+    obs = pd.DataFrame({"pick_ord": [r[0] for r in rows], "station_id": [r[1] for r in rows], "phase_type": [r[2] for r in rows], "us": [round(r[3] * 1e6) for r in rows], "latitude": [r[4] for r in rows], "longitude": [r[5] for r in rows], "uncertainty": 0.1})
+    rng = np.random.default_rng(2)
+    for model in (locate.VelocityModel(), locate.VelocityModel((0.0, 3.0, 20.0), (4.0, 6.0, 8.0), (2.3, 3.5, 4.6), "first")):
+        v = octree.Volume(obs, locate.AssociatorSettings(locator=locate.LocatorSettings(model=model)))
+        every = np.arange(len(obs))
+        for root in v.roots():
+            for part in octree.divided(octree.divided(root[None]))[::37]:
+                inside = part[:4] + rng.uniform(-1, 1, (20, 4)) * part[4:]
+                points = np.concatenate([inside, np.zeros((20, 4))], axis=1)
+                assert not (v.consistent(points, every) & ~v.consistent(part[None], every)).any()
+
+
+def test_first_arrivals_agree_with_closed_forms():
+    m = locate.VelocityModel((0.0, 20.0), (6.0, 8.0), (3.5, 4.6), "first")
+    rng = np.random.default_rng(0)
+    km, z = rng.uniform(0, 400, 5000), rng.uniform(0, 20, 5000)
+    cosine = np.sqrt(1 - 0.75**2)
+    head = np.where(km >= (40 - z) * 0.75 / cosine, km / 8 + (40 - z) * cosine / 6, np.inf)
+    assert np.abs(m.time("P", km, z) - np.minimum(np.hypot(km, z) / 6, head)).max() < 1e-3
+    # From below the second layer's top: the earliest way over all places where a ray may cross it (Fermat).
+    for x, depth in zip(rng.uniform(0, 300, 40), rng.uniform(20.5, 60, 40), strict=True):
+        u = np.linspace(0, x, 400_001)
+        assert abs(m.time("P", x, depth) - (np.hypot(u, 20) / 6 + np.hypot(x - u, depth - 20) / 8).min()) < 1e-3
+    assert abs(locate.VelocityModel(rays="first").time("S", 30.0, 8.0) - np.hypot(30, 8) / 3.5) < 1e-9
+
+
+def test_events_that_overlap_are_told_apart_and_failures_block_nothing():
+    rng = np.random.default_rng(8)
+    a = np.arange(14) * np.pi / 7
+    lat, lon = 44 + 0.9 * np.sin(a), 3 + 1.25 * np.cos(a)
+    rows, true = [], []
+    for k in range(40):
+        la, lo, dep, t0 = 44 + rng.uniform(-0.5, 0.5), 3 + rng.uniform(-0.7, 0.7), rng.uniform(3, 15), 90.0 * (k // 2) + (k % 2) * rng.uniform(3, 20)
+        true.append((la, lo, t0))
+        for i in rng.permutation(14)[:11]:
+            km = float(vincenty_km([la], [lo], [lat[i]], [lon[i]])[0])
+            rows += [(f"XX.S{i:02d}", phase, t0 + np.hypot(km, dep) / v + rng.normal(0, 0.05), lat[i], lon[i]) for phase, v in (("P", 6.0), ("S", 3.5))]
+    rows += [(f"XX.S{i:02d}", rng.choice(["P", "S"]), t, lat[i], lon[i]) for i, t in zip(rng.integers(0, 14, 150), rng.uniform(0, 1900, 150), strict=True)]
+    obs = pd.DataFrame(rows, columns=["station_id", "phase_type", "t", "latitude", "longitude"]).assign(uncertainty=0.1)
+    obs["us"] = (obs.pop("t") * 1e6).round().astype("int64")
+    obs = obs.assign(pick_ord=range(len(obs))).sort_values(["us", "station_id", "phase_type"], ignore_index=True)
+    found = locate.associate(obs, locate.AssociatorSettings(n_picks=10))
+    near = lambda e, q: abs(e["origin_us"] / 1e6 - q[2]) < 2 and vincenty_km([e["latitude"]], [e["longitude"]], [q[0]], [q[1]])[0] < 10
+    assert sum(any(near(e, q) for e, _ in found) for q in true) >= 38
+    assert len(found) <= 42 and len({p for _, f in found for p in f["pick_ord"]}) == sum(len(f) for _, f in found)
+
+
+def test_a_cluster_of_150_events_keeps_them_apart(spark):
+    from tremor.plans import pipeline
+
+    rows = [r for r in two_quakes() if r[6] == 0]
+    base = 1704067200e6
+    every = [(k * 100 + i, r[1] + ".00.HH", r[2], round(base + (r[3] + 120 * k) * 1e6), 0.9) for k in range(150) for i, r in enumerate(rows)]
+    df = frame(spark, every, "pick_ord long, station_id string, phase_type string, us long, phase_score double").withColumn("phase_time", F.timestamp_micros("us")).drop("us")
+    stations = frame(spark, sorted({("XX", r[1][3:], float(r[4]), float(r[5]), 0.0) for r in rows}), "network string, station string, latitude double, longitude double, elevation double")
+    # A search distance beyond the gaps makes one cluster of all.
+    s = pipeline.Settings(time_window=86400.0, max_search_dist=1e6, associate=True, locator=locate.LocatorSettings(budget=600))
+    out = pipeline.run(df, stations, s)
+    events = out["events"].select("cluster_id", "origin_us", "latitude", "longitude").toPandas()
+    assert len(events) == 150 and events["cluster_id"].is_unique and out["members"].count() == 150 * 24
+    assert set(((events["origin_us"] - base) / 1e6 / 120).round().astype(int)) == set(range(1, 151))
+
+
 def test_hdbscan_separates_groups_and_noise():
     rng = np.random.default_rng(1)
     pts = np.concatenate([rng.normal(0, 0.3, (30, 2)), rng.normal(10, 0.3, (25, 2)), rng.uniform(-30, 40, (6, 2))])

@@ -285,3 +285,18 @@ def with_prelocation(origins: DataFrame, preloc: DataFrame, model: str) -> DataF
 def stamped(origins: DataFrame, **defaults: str) -> DataFrame:
     """Origins with agency, author, mode, method and model where these are missing."""
     return origins.withColumns({k: F.coalesce(origins[k] if k in origins.columns else F.lit(None).cast("string"), F.lit(v)) for k, v in defaults.items()})
+
+
+def matched_events(first: DataFrame, second: DataFrame, seconds: float, km: float) -> DataFrame:
+    """``id, other, seconds, km``: events of two catalogues that lie within so many seconds and km of one another.
+
+    ``first`` has ``id, us, latitude, longitude`` and ``second`` ``other`` and
+    the same. They join on bins of time as wide as the limit.
+    """
+    width = max(1, round(seconds * 1e6))
+    a = first.withColumn("bin", F.explode(F.expr(f"array(us div {width} - 1, us div {width}, us div {width} + 1)"))).alias("a")
+    b = second.withColumn("bin", F.expr(f"us div {width}")).alias("b")
+    c = F.col
+    far = great_circle_km(c("a.latitude"), c("a.longitude"), c("b.latitude"), c("b.longitude"))
+    met = a.join(b, "bin").select("id", "other", (F.abs(c("a.us") - c("b.us")) / 1e6).alias("seconds"), far.alias("km"))
+    return met.where((c("seconds") <= seconds) & (c("km") <= km))

@@ -8,6 +8,9 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tremor.functions.geo import great_circle_km
 
 VIEWS: dict[str, str] = {
     "fx_picks": """SELECT event_id AS pick_ord,
@@ -61,6 +64,41 @@ def with_views(sql: str) -> str:
     named = [n for n in VIEWS if re.search(rf"\b{n}\b", sql)]
     views = ", ".join(f"{n} AS ({re.sub(r'[{}]', '', VIEWS[n])})" for n in named)
     body = sql.strip()
+    if not named:
+        return body
     if body.upper().startswith("WITH RECURSIVE"):
         return f"WITH RECURSIVE {views}, {body[14:]}"
     return f"WITH {views}, {body[4:]}" if body.upper().startswith("WITH ") else f"WITH {views} {body}"
+
+
+#: Events with a known truth, and their picks. Every ARRIVALS customers make an event: each is one of its stations, with a
+#: P and an S arrival over straight rays (6 and 3.5 km/s) and a little noise; every row of ``events`` is a pick of no event.
+#: An event is 40 s after the one before it, elsewhere, if its number ends in 9; the others are 43 minutes apart or more.
+ARRIVALS, SITES = 15, 24
+
+_QUAKE = "CAST(floor(c_custkey / 15.0) AS BIGINT)"
+QUAKES = f"""SELECT quake, 1704067200 + pmod((quake - if(quake % 10 = 9, 1, 0)) * 2593, 2592000) + if(quake % 10 = 9, 40, 0) + (quake % 7) * 0.1D AS origin_s,
+  43.6D + (quake * 37 % 41) * 0.034D AS latitude, 0.5D + (quake * 23 % 43) * 0.03D AS longitude, 4D + quake % 11 AS depth_km, n
+FROM (SELECT {_QUAKE} AS quake, count(*) AS n FROM {{customer}} GROUP BY 1)"""
+_SITE = "43.2D + (site % 6) * 0.45D + (site * 5 % 7) * 0.03D AS latitude, 0.2D + floor(site / 6.0) * 0.6D + (site * 3 % 5) * 0.04D AS longitude"
+
+
+def quakes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``quake, origin_s, latitude, longitude, depth_km, n``: the events behind :func:`quake_picks`, with their number of stations."""
+    return spark.sql(QUAKES, customer=spark.read.parquet(f"{sf_dir}/customer.parquet"))
+
+
+def quake_stations(spark: SparkSession) -> DataFrame:
+    return spark.sql(f"SELECT 'QK' AS network, concat('S', lpad(CAST(site AS STRING), 3, '0')) AS station, {_SITE}, 0D AS elevation FROM (SELECT explode(sequence(0, {SITES - 1})) AS site)")
+
+
+def quake_picks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Picks of the events and of none, as :func:`view` ``fx_picks`` has them, with the event's number in ``quake``."""
+    km = great_circle_km(F.col("q.latitude"), F.col("q.longitude"), F.col("s.latitude"), F.col("s.longitude"))
+    at = spark.sql(f"SELECT c_custkey, {_QUAKE} AS quake, pmod({_QUAKE} * 7 + c_custkey * 5, {SITES}) AS site FROM {{customer}}", customer=spark.read.parquet(f"{sf_dir}/customer.parquet"))
+    sites = at.selectExpr("*", *_SITE.replace(" AS latitude, ", " AS latitude;").split(";")).alias("s")
+    rows = sites.join(quakes(spark, sf_dir).alias("q"), "quake").withColumn("far", F.sqrt(km * km + F.col("depth_km") * F.col("depth_km")))
+    noise = lambda k: (F.pmod(F.xxhash64("c_custkey", F.lit(k)), F.lit(1000)) - 500) * 0.0001  # noqa: E731  up to 50 ms
+    arm = lambda phase, v, k: rows.select((F.col("c_custkey") * 2 + k).alias("pick_ord"), F.concat(F.lit("QK.S"), F.lpad(F.col("site").cast("string"), 3, "0"), F.lit(".00.HH")).alias("station_id"), F.lit(phase).alias("phase_type"), F.timestamp_micros(((F.col("origin_s") + F.col("far") / v + noise(k)) * 1000000).cast("long")).cast("timestamp_ntz").alias("phase_time"), F.lit(0.9).alias("phase_score"), F.lit(None).cast("string").alias("eventid"), F.col("quake"))
+    other = spark.read.parquet(f"{sf_dir}/events.parquet").selectExpr("-1 - event_id as pick_ord", f"concat('QK.S', lpad(cast(user_id % {SITES} as string), 3, '0'), '.00.HH') as station_id", "if(event_type in ('click', 'view'), 'P', 'S') as phase_type", "cast(ts as timestamp_ntz) as phase_time", "0.9D as phase_score", "cast(null as string) as eventid", "cast(null as bigint) as quake")
+    return arm("P", 6.0, 0).union(arm("S", 3.5, 1)).union(other)

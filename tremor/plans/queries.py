@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import dataclasses
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,7 +10,8 @@ from pyspark.sql import functions as F
 
 from tremor.operators import catalog, clusters, density, locate, pairs, picks, windows
 from tremor.plans import pipeline
-from tremor.plans.fixtures import ZONES, view, with_views, zones
+from tremor.plans.fixtures import ARRIVALS, ZONES, quake_picks, quake_stations, quakes, view, with_views, zones
+from tremor.session import materialize
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -412,9 +414,14 @@ def fixpoint_merge(spark, d):
     return clusters.merge_windows_to_fixpoint(_labelled(spark, d), 3)
 
 
+#: Windows of an hour over picks with a known truth: what clusters, locates and associates is seen at work.
+QUAKES = pipeline.Settings(time_window=3600.0, overlap=120.0, min_cluster_size=8, min_stations=6, min_picks_common=4)
+
+
 def _clusters(spark, d):
-    rows = located_picks(spark, d)
-    return clusters.observations(pipeline.merge_labels(hdbscan_labels(spark, d), rows, 6).join(rows, "pick_ord"))
+    rows = picks.with_coordinates(picks.normalize(quake_picks(spark, d)), quake_stations(spark))
+    labels = density.cluster_windows(windows.assign(rows, QUAKES.time_window, QUAKES.overlap), 5.0, QUAKES.min_cluster_size)
+    return clusters.observations(pipeline.merge_labels(materialize(labels, "labels"), rows, QUAKES.min_picks_common).join(rows, "pick_ord"))
 
 
 @query()
@@ -424,7 +431,22 @@ def locate_origins(spark, d):
 
 @query()
 def associate_events(spark, d):
-    return locate.associate_clusters(_clusters(spark, d), locate.AssociatorSettings(pick_match_tolerance=60.0))
+    return locate.associate_clusters(_clusters(spark, d))
+
+
+#: An event counts as found if one within so many seconds and km is.
+NEAR_S, NEAR_KM = 3.0, 10.0
+
+
+@query(f"SELECT count(DISTINCT floor(c_custkey / {ARRIVALS}.0)) AS n_quakes, true AS most_found, true AS few_made_up FROM customer")
+def quake_recovery(spark, d):
+    """Whether 95 percent of the true events are among the associated ones, and no more than 5 percent of these are none."""
+    found = materialize(locate.associate_clusters(_clusters(spark, d)).select("cluster_id", "event", "preloc_us", "preloc_latitude", "preloc_longitude").distinct(), "found")
+    true = quakes(spark, d)
+    met = catalog.matched_events(true.select(F.col("quake").alias("id"), (F.col("origin_s") * 1000000).cast("long").alias("us"), "latitude", "longitude"), found.select(F.struct("cluster_id", "event").alias("other"), F.col("preloc_us").alias("us"), F.col("preloc_latitude").alias("latitude"), F.col("preloc_longitude").alias("longitude")), NEAR_S, NEAR_KM)
+    hits = met.agg(F.count_distinct("id").alias("hit"), F.count_distinct("other").alias("right"))
+    sums = true.agg(F.count("*").alias("n_quakes")).crossJoin(hits).crossJoin(found.agg(F.count("*").alias("n_found")))  # a row each
+    return sums.select("n_quakes", (F.col("hit") >= 0.95 * F.col("n_quakes")).alias("most_found"), (F.col("n_found") - F.col("right") <= 0.05 * F.col("n_found")).alias("few_made_up"))
 
 
 @query()
@@ -435,5 +457,5 @@ def relocate(spark, d):
 
 @query()
 def detect_events(spark, d):
-    s = pipeline.Settings(time_window=DAY, min_stations=3)
-    return pipeline.run(view(spark, d, "fx_picks"), view(spark, d, "fx_stations"), s)["events"].drop("arrivals")
+    s = dataclasses.replace(QUAKES, associate=True)
+    return pipeline.run(quake_picks(spark, d), quake_stations(spark), s)["events"].drop("arrivals")
