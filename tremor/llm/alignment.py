@@ -16,6 +16,7 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cached_property, lru_cache
+from itertools import chain, pairwise
 
 import numpy as np
 import public_tokenizers
@@ -36,6 +37,10 @@ KNOWN, LONGEST = 200_000, 64
 #: At a space between a visible ASCII character and an ASCII letter both tokenizers begin anew: the byte-level one starts
 #: a pre-token there, and no piece of the other holds a space behind another character. So parts are encoded apart.
 _CUT = re.compile(r"(?<=[!-~]) (?=[A-Za-z])")
+#: Latin letters and signs, whose classes no edition of Unicode changes: on these the two libraries that know A's vocabulary agree.
+_SETTLED = re.compile("[\t\n\r -~\u00a1-\u00ac\u00ae-\u01bf]*")
+#: How byte-level BPE cuts texts into pre-tokens (a fixed value).
+_PRE_TOKENS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
 def _byte_of() -> dict[str, int]:
@@ -51,6 +56,7 @@ class Encoder:
     def __init__(self, a_path: str, b_path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import sentencepiece
+        import tiktoken
         from tokenizers import Tokenizer
 
         self.a = Tokenizer.from_file(a_path)
@@ -60,6 +66,9 @@ class Encoder:
         self.a_bytes = [b""] * self.a.get_vocab_size()
         for token, i in self.a.get_vocab().items():
             self.a_bytes[i] = bytes(byte_of[c] for c in token) if all(c in byte_of for c in token) else token.encode()
+        # The same vocabulary by ranks, for texts on whose characters both libraries agree.
+        ranks = {token: i for i, token in enumerate(self.a_bytes) if i not in self.a.get_added_tokens_decoder()}
+        self.fast = tiktoken.Encoding("a", pat_str=_PRE_TOKENS, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         if any("▁" in p.lstrip("▁") for p in pieces):
             raise ValueError("a piece holds a space behind another character: texts can't be cut at spaces")
@@ -70,14 +79,21 @@ class Encoder:
         self.bad: set[str] = set()
 
     def learn(self, parts: set[str]) -> None:
-        fresh = list(parts)
-        for at in range(0, len(fresh), 4096):
-            some = fresh[at : at + 4096]
-            for p, a, b in zip(some, self.a.encode_batch([" " + p for p in some], add_special_tokens=False), self.b.encode(some, num_threads=1), strict=True):
-                raw = b" " + p.encode()
-                if b"".join(map(self.a_bytes.__getitem__, a.ids)) != raw or b"".join(map(self.b_bytes.__getitem__, b)) != raw:
-                    self.bad.add(p)
-                self.known_a[p], self.known_b[p] = np.array(a.ids, np.uint32).tobytes(), np.array(b, np.uint32).tobytes()
+        fresh = sorted(parts)
+        plain = [p for p in fresh if _SETTLED.fullmatch(p)]
+        other = [p for p in fresh if not _SETTLED.fullmatch(p)]
+        fresh = plain + other
+        ids_a = [self.fast(" " + p) for p in plain] + [x.ids for x in self.a.encode_batch([" " + p for p in other], add_special_tokens=False)]
+        ids_b = self.b.encode(fresh, num_threads=1) if fresh else []
+        raw = [b" " + p.encode() for p in fresh]
+        for known, ids, of in ((self.known_a, ids_a, self.a_bytes), (self.known_b, ids_b, self.b_bytes)):
+            flat = list(chain.from_iterable(ids))
+            given = [of[i] for i in flat]
+            packed, edge = np.array(flat, np.uint32).tobytes(), np.append(0, np.cumsum([len(x) for x in ids])).tolist()
+            known.update(zip(fresh, [packed[4 * i : 4 * j] for i, j in pairwise(edge)], strict=True))
+            size = np.append(0, np.cumsum([len(x) for x in given]))[edge]
+            if b"".join(given) != b"".join(raw) or (np.diff(size) != [len(x) for x in raw]).any():  # which of them?
+                self.bad.update(p for p, r, i, j in zip(fresh, raw, edge[:-1], edge[1:], strict=True) if b"".join(given[i:j]) != r)
 
     def encode(self, texts: list[str]) -> Slice:
         """Tokens of both sides of space and text, for each text; none where it is empty or a side's bytes differ from it."""
@@ -106,6 +122,24 @@ def encoder(a_file: str, b_file: str) -> Encoder:
     return Encoder(public_tokenizers.path(a_file), public_tokenizers.path(b_file))
 
 
+def _union(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """np.union1d of arrays in ascending order, which need only be merged."""
+    both = np.sort(np.concatenate([a, b]), kind="stable")
+    return both[np.append(True, both[1:] != both[:-1])] if len(both) else both
+
+
+@lru_cache(4)
+def _digits(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The decimal digits of numbers below ``n`` from the left, with room for a mark behind them, and how many they are."""
+    size = np.char.str_len(np.arange(n).astype("U"))
+    width = int(size.max())
+    table = np.zeros((n, width + 1), np.uint8)
+    for k in range(width):
+        some = size > k
+        table[some, k] = np.arange(n)[some] // 10 ** (size[some] - 1 - k) % 10 + ord("0")
+    return table, size.astype(np.int64)
+
+
 @dataclass
 class Slice:
     """Tokens ``a`` and ``b`` of some texts that lie side by side; ``a_edge`` and ``b_edge`` bound those of each text."""
@@ -128,13 +162,14 @@ class Slice:
     @cached_property
     def links(self) -> tuple[np.ndarray, np.ndarray]:
         """Token of either side for each elementary interval."""
-        ends = np.union1d(self.a_end, self.b_end)
+        ends = _union(self.a_end, self.b_end)
         return np.searchsorted(self.a_end, ends), np.searchsorted(self.b_end, ends)
 
     @cached_property
     def shared(self) -> np.ndarray:
         """Ends of the groups."""
-        return np.intersect1d(self.a_end, self.b_end, assume_unique=True)
+        both = np.sort(np.concatenate([self.a_end, self.b_end]), kind="stable")
+        return both[1:][both[1:] == both[:-1]]
 
     @cached_property
     def groups(self) -> tuple[np.ndarray, np.ndarray]:
@@ -176,14 +211,8 @@ class Slice:
         mark[pb_[y[1:] - 1]] = ord(";")
         edge = self.a_edge + self.b_edge
         mark[edge[1:][edge[1:] > edge[:-1]] - 1] = 0
-        width = max(1, len(str(int(ids.max())))) if total else 1
-        out = np.zeros((total, width + 1), np.uint8)
-        size = np.ones(total, np.int64)
-        for k in range(1, width):
-            size += ids >= 10**k
-        for k in range(width):  # digit k from the left
-            some = size > k
-            out[some, k] = ids[some] // 10 ** (size[some] - 1 - k) % 10 + ord("0")
+        table, lengths = _digits(max(len(self.a_size), len(self.b_size)))
+        out, size = table[ids], lengths[ids]
         out[np.arange(total), size] = mark
         at = np.append(0, np.cumsum(size + (mark > 0)))
         flat = out.ravel()
