@@ -370,3 +370,70 @@ def test_window_merges(spark):
     got = {r.pick_ord: r.label for r in clusters.merge_windows_by_eventid(df).collect()}
     assert got == {1: 0, 2: 0, 3: 0, 4: 1, 5: -1, 6: 0}
     assert {r.pick_ord: r.label for r in clusters.merge_windows_to_fixpoint(df, 2).where("window_id = 0").collect()} == {1: 0, 2: 0, 3: 0, 4: 0}
+
+
+def test_zone_cells_leave_no_point_to_a_nested_loop(spark):
+    rng = np.random.default_rng(6)
+    zones, rings = [], []
+    for k in range(12):
+        a = np.sort(rng.uniform(0, 2 * np.pi, rng.integers(3, 12)))
+        r = rng.uniform(0.05, 2.5, len(a))
+        ring = [(float(5 + rng.uniform(-2, 2) + x), float(44 + y)) for x, y in zip(r * np.cos(a), r * np.sin(a), strict=True)]
+        rings.append(ring + ring[:1])
+        zones.append((k, f"z{k}", f"v{k % 5}", ring + ring[:1]))
+    zones.append((12, "point", "v0", [(5.0, 44.0)] * 3))
+    df = frame(spark, zones, "ord int, name string, velocity_profile string, points array<struct<lon: double, lat: double>>")
+    pts = [(i, float(x), float(y)) for i, (x, y) in enumerate(rng.uniform([0, 41], [10, 47], (4000, 2)))]
+    pts += [(5000 + i, *p) for i, p in enumerate(p for r in rings for p in r)] + [(9000, None, 44.0)]
+    points = frame(spark, pts, "event_id long, longitude double, latitude double")
+
+    def inside(x, y, ring):
+        hit = False
+        for (x1, y1), (x2, y2) in zip(ring, ring[1:], strict=False):
+            if (y1 > y) != (y2 > y) and x < x1 + (y - y1) * (x2 - x1) / (y2 - y1):
+                hit = not hit
+        return hit
+
+    want = {i: next((f"z{k}" for k, r in enumerate(rings) if inside(x, y, r)), None) for i, x, y in pts if x is not None}
+    for degrees in (0.25, 0.07, 3.0):
+        found = catalog.first_zone(points, df, degrees=degrees)
+        assert {r.event_id: r.zone for r in found.collect()} == {i: z for i, z in want.items() if z}
+    plan = found._jdf.queryExecution().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    profiles = frame(spark, [(f"v{k}", 6.0) for k in range(5)], "velocity_profile string, vp double")
+    assert catalog.zones_with_profiles(df, profiles).count() == 13
+    assert catalog.zones_with_profiles(df, profiles.where("velocity_profile <> 'v3'")).count() == 0
+
+
+def test_sessions_that_cross_bins_are_one(spark):
+    rng = np.random.default_rng(4)
+    t, rows = 0.0, []
+    for i in range(600):
+        t += rng.choice([0.05, 0.1, 0.15, 3.0], p=[0.6, 0.25, 0.1, 0.05])
+        rows.append((i, "A" if i % 50 else None, rng.choice(["P", "Pn", "S", "X"], p=[0.7, 0.1, 0.15, 0.05]), round(t, 3), float(rng.integers(0, 4)) if i % 11 else None))
+    df = pick_rows(spark, rows)
+    want = set()
+    for station in ("A", None):
+        for family in "PS":
+            mine = [r for r in rows if r[1] == station and family in r[2]]
+            run: list = []
+            for r in [*mine, None]:
+                if r is None or (run and round(r[3] * 1e6) - round(run[-1][3] * 1e6) > (100_000 if family == "P" else 200_000)):
+                    if run:
+                        want.add(max(run, key=lambda q: (-1.0 if q[4] is None else q[4], q[2], -q[3]))[0])
+                    run = []
+                if r is not None:
+                    run.append(r)
+    want |= {r[0] for r in rows if r[2] == "X"}
+    for bins in (0.5, 2.0, 3600.0):
+        assert {r.pick_ord for r in picks.dedup_close(df, 0.1, 0.2, bins).collect()} == want
+
+
+def test_nearest_distances_by_ever_wider_bins(spark):
+    us, lat, lon = random_picks(400, 3000)
+    rows = [(int(i % 2), int(i), int(u), float(a), float(b)) for i, (u, a, b) in enumerate(zip(us, lat, lon, strict=True))] + [(7, 1000, 5, 44.0, 3.0)]
+    df = frame(spark, rows, "window_id long, pick_ord long, us long, latitude double, longitude double").withColumn("phase_time", F.timestamp_micros("us"))
+    want = {(r.window_id, r.i): r.tt for r in pairs.neighbour_curve(pairs.pseudo_distances(df, 5.0), 6).collect()}
+    for seconds in (None, 7.0, 1e6):
+        got = {(r.window_id, r.i): r.tt for r in pairs.nearest_distances(df, 6, 5.0, seconds=seconds).collect()}
+        assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want)

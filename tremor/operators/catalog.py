@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+import itertools
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tremor.functions.geo import KM_PER_DEGREE, great_circle_km, inside_polygon
 from tremor.operators.picks import micros
+from tremor.session import materialize
 
 DIGITS = "0123456789abcdefghijklmnopqrstuvwxyz"
-MANY_ZONES = 10_000
+#: Side of the cells by which points and zones meet.
+CELL_DEGREES = 0.25
 
 
 def used(weight: Column | None = None, residual: Column | None = None) -> Column:
@@ -161,17 +167,65 @@ def complete_channels(picks: DataFrame, hints: DataFrame) -> DataFrame:
     return out.withColumn("channel", F.when(F.length("channel") == 2, F.concat("channel", last)).otherwise(F.col("channel")))
 
 
-def first_zone(points: DataFrame, zones: DataFrame, key: str = "event_id") -> DataFrame:
+def zone_cells(zones: DataFrame, degrees: float = CELL_DEGREES) -> DataFrame:
+    """``cx, cy, ord, name, velocity_profile, border``: the cells of a grid that each zone holds or touches.
+
+    Every point of a cell that isn't on the border lies strictly inside. A
+    zone's cells are found along its edges, and between them by the crossings
+    of the cells' middles, so they cost what the zone's extent in cells is.
+    """
+
+    def cells(frames):
+        for pdf in frames:
+            for r in pdf.itertuples(index=False):
+                ring = np.array([(p["lon"], p["lat"]) for p in r.points], np.float64) / degrees
+                if len(ring) < 2 or not np.isfinite(ring).all():
+                    continue
+                low = np.floor(ring.min(axis=0)).astype(int) - 1
+                wide, high = np.floor(ring.max(axis=0)).astype(int) + 2 - low
+                touched, odd = np.zeros((wide, high), bool), np.zeros((wide, high), bool)
+                middle = low[1] + np.arange(high) + 0.5
+                for (x1, y1), (x2, y2) in itertools.pairwise(ring - low):
+                    # Along the edge: in each column of cells the rows between the places where it comes and goes, and a little more.
+                    x1, y1, x2, y2 = (x1, y1, x2, y2) if x1 <= x2 else (x2, y2, x1, y1)
+                    for c in range(int(x1 - 1e-9), int(x2 + 1e-9) + 1):
+                        u, v = (y1 + (y2 - y1) * (min(max(x, x1), x2) - x1) / (x2 - x1) if x2 > x1 else y for x, y in ((c, y1), (c + 1, y2)))
+                        touched[c, int(min(u, v) - 1e-9) : int(max(u, v) + 1e-9) + 1] = True
+                    m = middle - low[1]
+                    rows = np.flatnonzero((y1 > m) != (y2 > m))
+                    if len(rows):
+                        x = x1 + (m[rows] - y1) * (x2 - x1) / (y2 - y1)
+                        odd[:, rows] ^= (np.arange(wide)[:, None] + 0.5) < x[None, :]
+                take = touched | odd
+                cx, cy = np.nonzero(take)
+                yield pd.DataFrame({"cx": (cx + low[0]).astype("int64"), "cy": (cy + low[1]).astype("int64"), "ord": int(r.ord), "name": r.name, "velocity_profile": r.velocity_profile, "border": touched[take]})
+
+    return zones.select("ord", "name", "velocity_profile", "points").mapInPandas(cells, "cx long, cy long, ord int, name string, velocity_profile string, border boolean")
+
+
+def first_zone(points: DataFrame, zones: DataFrame, key: str = "event_id", degrees: float = CELL_DEGREES) -> DataFrame:
     """``key, zone, velocity_profile``: the first zone (by ``ord``) that strictly holds the point.
 
-    Zones come from a configuration; MANY_ZONES at most are sent to every task, more join as Spark sees fit.
+    Points meet zones by the cell that they are in; only in cells on a zone's
+    border is the ring itself tried.
     """
-    few = zones.limit(MANY_ZONES + 1).count() <= MANY_ZONES
-    inside = points.join(F.broadcast(zones) if few else zones, inside_polygon(points["longitude"], points["latitude"], zones["points"]))
+    cells = materialize(zone_cells(zones, degrees), "zone-cells")  # written, so that Spark knows its size
+    at = points.select(key, "longitude", "latitude", F.floor(F.col("longitude") / degrees).alias("cx"), F.floor(F.col("latitude") / degrees).alias("cy"))
+    met = at.join(cells, ["cx", "cy"])
+    rings = zones.select(F.col("ord").alias("_ord"), "points")
+    close = met.where("border").join(rings, F.col("ord") == F.col("_ord"))
+    close = close.where(inside_polygon(F.col("longitude"), F.col("latitude"), F.col("points"))).select(key, "ord", "name", "velocity_profile")
+    inside = met.where("not border").select(key, "ord", "name", "velocity_profile").union(close)
     best = inside.groupBy(key).agg(F.min(F.struct("ord", "name", "velocity_profile")).alias("z"))
     return best.select(key, F.col("z.name").alias("zone"), F.col("z.velocity_profile").alias("velocity_profile"))
 
 
+def zones_with_profiles(zones: DataFrame, profiles: DataFrame) -> DataFrame:
+    """Zones with the columns of their velocity profile (``velocity_profile``); none at all if a zone names a profile that is missing."""
+    missing = zones.join(profiles, "velocity_profile", "left_anti").agg(F.count("*").alias("_missing"))
+    return zones.join(profiles, "velocity_profile").crossJoin(missing).where("_missing = 0").drop("_missing")  # one row of a count
+
+
 def merge_catalogs(info: DataFrame, children: DataFrame) -> DataFrame:
     """Children (origins, magnitudes, picks) of all events that an event's space-separated list names, under that event."""
     parts = info.select(F.col("event_id").alias("merged_id"), F.explode(F.array_distinct(F.split(F.coalesce("agencies_list", F.lit("")), " "))).alias("event_id")).where("event_id <> ''")

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tremor.operators.components import connected_components
+from tremor.session import materialize
+
 #: Names of the second input layout and what they become.
 SECOND_LAYOUT = {"seedid": "station_id", "phasename": "phase_type", "time": "phase_time", "probability": "phase_score"}
 KEY = ["station_id", "phase_type", "phase_time"]
@@ -127,22 +130,34 @@ def first_letter(phase: Column) -> Column:
     return F.upper(F.substring(phase, 1, 1))
 
 
-def dedup_close(picks: DataFrame, p_seconds: float = 0.1, s_seconds: float = 0.2) -> DataFrame:
+def dedup_close(picks: DataFrame, p_seconds: float = 0.1, s_seconds: float = 0.2, bin_seconds: float = 3600.0) -> DataFrame:
     """One pick of each run of close picks (same station and phase family, gaps within the limit).
 
     The best score stays; on ties the greater phase name, then the earlier
-    time. Picks of neither family pass. Runs are found per station, so the
-    window's partitions are bounded by what one station records.
+    time. Picks of neither family pass. Runs are found inside bins of time,
+    and those that meet at a bin's edge are joined as components, so nothing
+    holds all that a station has recorded.
     """
     family = phase_family(F.col("phase_type"))
-    df = picks.withColumn("_family", family).withColumn("_us", micros(F.col("phase_time")))
-    by = Window.partitionBy("station_id", "_family").orderBy("_us")
+    width = round(max(bin_seconds, 2 * p_seconds, 2 * s_seconds) * 1e6)
     limit = F.when(F.col("_family") == "P", round(p_seconds * 1e6)).otherwise(round(s_seconds * 1e6))
-    df = df.withColumn("_new", (F.col("_us") - F.lag("_us").over(by) > limit).cast("int"))
-    df = df.withColumn("_run", F.sum(F.coalesce("_new", F.lit(0))).over(by))
-    best = Window.partitionBy("station_id", "_family", "_run").orderBy(F.desc("phase_score"), F.desc("phase_type"), "_us")
-    df = df.withColumn("_n", F.row_number().over(best)).where("_n = 1 or _family is null")
-    return df.drop("_family", "_us", "_new", "_run", "_n")
+    every = picks.withColumn("_family", family).withColumn("_us", micros(F.col("phase_time")))
+    df = every.where("_family is not null").withColumn("_bin", F.expr(f"_us div {width}"))
+    by = ["station_id", "_family", "_bin"]
+    inside = Window.partitionBy(*by).orderBy("_us")
+    df = df.withColumn("_new", F.coalesce((F.col("_us") - F.lag("_us").over(inside) > limit).cast("int"), F.lit(0)))
+    df = df.withColumn("_run", F.sum("_new").over(inside))
+    best = F.max(F.struct("phase_score", "phase_type", (-F.col("_us")).alias("_neg"), F.struct(*[F.col(f"`{c}`") for c in picks.columns]).alias("row")))
+    runs = df.groupBy(*by, "_run").agg(best.alias("_best"), F.min("_us").alias("_from"), F.max("_us").alias("_to"))
+    runs = materialize(runs.withColumn("_id", F.monotonically_increasing_id()), "runs")
+    # A run goes on in the next bin where the gap between them is within the limit; a bin is wider than that.
+    last = runs.select(F.col("station_id").alias("_s"), F.col("_family").alias("_f"), (F.col("_bin") + 1).alias("_b"), F.col("_to").alias("_before"), F.col("_id").alias("a"))
+    met = runs.where("_run = 0").join(last, F.expr("station_id <=> _s and _family = _f and _bin = _b")).where(F.col("_from") - F.col("_before") <= limit)
+    edges = materialize(met.select("a", F.col("_id").alias("b")), "run-links")
+    reach = connected_components(edges)
+    whole = runs.join(reach, F.col("_id") == F.col("node"), "left").groupBy(F.coalesce("component", "_id").alias("_id")).agg(F.max("_best").alias("_best"))
+    kept = whole.select(*[F.col("_best.row")[c].alias(c) for c in picks.columns])
+    return kept.union(every.where("_family is null").select(*[F.col(f"`{c}`") for c in picks.columns]))
 
 
 def uncertainty(phase: Column, p: float = 0.1, s: float = 0.2, any_case: bool = False) -> Column:
