@@ -48,8 +48,8 @@ TINY, SPAN = 12, 2.0
 LEAST_FREQUENT, FREQUENT = 24, 65536
 #: How many segments a band may have for each one that a set needs, and the costs of a key row and of a pair of one key.
 SLACK, ROW_COST, PAIR_COST = (1.0, 1.5, 2.0, 3.0), 1.0, 1.0
-#: Bytes of bitmaps that a task compares at once; a larger group goes by pairs of blocks.
-BLOCK = 8 << 20
+#: Bytes of bitmaps, and sets, that a task compares at once; a larger group goes by pairs of blocks, 10**8 pairs of sets each at most.
+BLOCK, BLOCK_SETS = 8 << 20, 10_000
 #: Spanning forests of open pairs that are verified at once, and how many times more in each round after the first.
 FORESTS, MORE = 8, 16
 #: A set that a task has met has no keys again; so many are remembered.
@@ -525,6 +525,11 @@ def components(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH, text
     wanted = materialize(met.select("id").distinct().join(classes, "id").select("id", F.col("rep_doc").alias("i"), "n"), "join-wanted")
     bits = sets.select("id", F.col("doc").alias("i"), "bits").join(wanted.select("id", "i"), ["id", "i"])
     bits = materialize(bits.groupBy("id").agg(F.max("bits").alias("bits")).join(wanted.select("id", "n"), "id"), "join-bits")
+    # From here on the sets are told by their names alone: what held their bitmaps and the counts of shingles goes.
+    members = materialize(sets.select("doc", "id", "n"), "join-members")
+    bare = materialize(facts.where("kind = 0 and doc is null").select("n"), "join-bare")
+    remove(spark, facts, *([sets] if clashes else []))
+    release(spark)
     fitting = f"100 * least(na, nb) >= {percent} * greatest(na, nb)"
     turn = F.col("rep") < F.col("id")
     pairs = keys.select(F.least("rep", "id").alias("a"), F.greatest("rep", "id").alias("b"), F.when(turn, F.col("rn")).otherwise(F.col("n")).alias("na"), F.when(turn, F.col("n")).otherwise(F.col("rn")).alias("nb")).where(fitting).distinct()
@@ -533,9 +538,10 @@ def components(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH, text
     remove(spark, keys)
     release(spark)
     held = texts.join(wanted.select("id", "i"), "i").select("id", "t")
-    if _any(_many_texts(sets)):
+    if _any(_many_texts(members)):
         held = held.mapInArrow(_check_names(width, clashes), "id long, t binary")
     held = materialize(held.dropDuplicates(["id"]), "join-texts")
+    remove(spark, wanted)
     release(spark)
     done = _verified(held, pairs, percent, width)
     remove(spark, pairs)
@@ -545,7 +551,7 @@ def components(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH, text
         # Keys of several components; of keys with the very same sets, one.
         rows = (met if first else met.join(keys, "key")).join(reach, met["id"] == reach["node"], "left").select("key", "id", "n", F.coalesce("component", "id").alias("k"))
         # A group too large for one task meets in pairs of blocks; a bitmap has half a byte for each shingle at most, and 8 bytes at least.
-        blocks = F.ceil(F.sum(F.col("n") / 2 + 8) / BLOCK).cast("int").alias("blocks")
+        blocks = F.greatest(F.ceil(F.sum(F.col("n") / 2 + 8) / BLOCK), F.ceil(F.count("*") / BLOCK_SETS)).cast("int").alias("blocks")
         mixed = rows.groupBy("key").agg(F.min("k").alias("k0"), F.max("k").alias("k1"), F.count("*").alias("c"), F.bit_xor(F.xxhash64("id")).alias("h0"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("h1"), blocks).where("k0 <> k1")
         mixed = materialize(mixed.groupBy("c", "h0", "h1").agg(F.min(F.struct("key", "blocks")).alias("m")).select("m.*"), "join-mixed")
         rows = rows.drop("n").join(mixed, "key", "left_semi").join(bits, "id")
@@ -557,17 +563,25 @@ def components(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH, text
         rows = rows.select("key", F.least("block", "o").alias("i"), F.greatest("block", "o").alias("j"), "id", "k", "n", "bits", "failed", "block")
         rows = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
         found = materialize(rows.mapInArrow(_across(percent, forests), "key long, a long, b long, more boolean"), "join-open")
+        remove(spark, mixed, *([] if first else [keys]))
         if not _any(found):
             break
         release(spark)
         done = _verified(held, found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), percent, width)
-        reach = _extended(reach, done.where("link").select("a", "b"))
+        grown = _extended(reach, done.where("link").select("a", "b"))
+        remove(spark, reach)
+        reach = grown
         # Few keys have more pairs than that, of sets that are nearly similar enough; they tell so many more at once that rounds are few.
         keys, first, forests = materialize(found.where("more").select("key").distinct(), "join-open-keys"), False, forests * MORE
+        remove(spark, found)
         if not _any(keys):
             break
-        failed = materialize(failed.union(done.where("not link").select("a", "b")), "join-failed")
-    return _labelled(facts, sets, classes, reach)
+        more = materialize(failed.union(done.where("not link").select("a", "b")), "join-failed")
+        remove(spark, failed, done)
+        failed = more
+    remove(spark, met, bits, held)
+    release(spark)
+    return _labelled(members, bare, classes, reach)
 
 
 def _extended(reach: DataFrame, links: DataFrame) -> DataFrame:
@@ -607,8 +621,8 @@ def _many_texts(sets: DataFrame) -> DataFrame:
     return sets.groupBy("doc").agg(F.min("id").alias("x"), F.max("id").alias("y")).where("x <> y").select("doc")
 
 
-def _labelled(facts: DataFrame, sets: DataFrame, classes: DataFrame, reach: DataFrame) -> DataFrame:
-    """The result: components of sets as components of documents."""
+def _labelled(sets: DataFrame, bare: DataFrame, classes: DataFrame, reach: DataFrame) -> DataFrame:
+    """The result: components of sets as components of documents; ``bare`` are rows without a doc_id."""
     ids = classes.join(reach, classes["id"] == reach["node"], "left").select("id", "rep_doc", "n", F.coalesce("component", "id").alias("component"))
     least = ids.groupBy("component").agg(F.min("rep_doc").alias("least"))
     ids = ids.join(least, "component").select("id", F.col("n").alias("size"), "least")
@@ -621,8 +635,7 @@ def _labelled(facts: DataFrame, sets: DataFrame, classes: DataFrame, reach: Data
         members = members.join(top, members["least"] == top["node"], "left").select("doc", "n", F.coalesce("component", "least").alias("least"))
         members = members.join(members.groupBy(F.col("doc").alias("d")).agg(F.min("least").alias("l")), F.col("doc") == F.col("d")).select("doc", "n", F.col("l").alias("least"))
     out = members.select(F.col("doc").alias("doc_id"), F.col("n").cast("long").alias("n_shingles"), F.col("least").alias("component_id"))
-    bare = facts.where("kind = 0 and doc is null").select(F.lit(None).cast("long"), F.col("n").cast("long"), F.lit(None).cast("long"))
-    return out.union(bare)
+    return out.union(bare.select(F.lit(None).cast("long"), F.col("n").cast("long"), F.lit(None).cast("long")))
 
 
 def _verified(texts: DataFrame, pairs: DataFrame, percent: int, width: int) -> DataFrame:
@@ -633,6 +646,7 @@ def _verified(texts: DataFrame, pairs: DataFrame, percent: int, width: int) -> D
     rows = pairs.join(texts.select(F.col("id").alias("b"), F.col("t").alias("tb")), "b")
     rows = rows.join(texts.select(F.col("id").alias("a"), F.col("t").alias("ta")), "a").select("a", "b", "ta", "tb")
     done = materialize(rows.mapInArrow(_verify(width, percent), "a long, b long, link boolean"), "join-done")
+    remove(texts.sparkSession, pairs, wanted)
     release(texts.sparkSession)
     return done
 
