@@ -415,13 +415,14 @@ def fixpoint_merge(spark, d):
 
 
 #: Windows of an hour over picks with a known truth: what clusters, locates and associates is seen at work.
-QUAKES = pipeline.Settings(time_window=3600.0, overlap=120.0, min_cluster_size=8, min_stations=6, min_picks_common=4)
+QUAKES = pipeline.Settings(time_window=3600.0, overlap=120.0, min_cluster_size=8, min_stations=6, min_both=3, min_picks_common=4)
 
 
 def _clusters(spark, d):
     rows = picks.with_coordinates(picks.normalize(quake_picks(spark, d)), quake_stations(spark))
     labels = density.cluster_windows(windows.assign(rows, QUAKES.time_window, QUAKES.overlap), 5.0, QUAKES.min_cluster_size)
-    return clusters.observations(pipeline.merge_labels(materialize(labels, "labels"), rows, QUAKES.min_picks_common).join(rows, "pick_ord"))
+    members = materialize(clusters.observations(pipeline.merge_labels(materialize(labels, "labels"), rows, QUAKES.min_picks_common).join(rows, "pick_ord")), "members")
+    return members.join(clusters.accepted(members, QUAKES.min_stations, QUAKES.min_both).select("cluster_id"), "cluster_id", "left_semi")
 
 
 @query()
@@ -451,8 +452,10 @@ def quake_recovery(spark, d):
 
 @query()
 def relocate(spark, d):
-    stations = view(spark, d, "fx_stations").select(F.expr("concat('S', cast(cast(substring(station, 2, 3) as int) as string))").alias("station"), "latitude", "longitude")
-    return locate.relocate(view(spark, d, "fx_arrivals"), stations, settings=locate.LocatorSettings(p_limit=None, s_limit=None, budget=320, double_pass=False), km=400.0).drop("arrivals")
+    """Catalogue events (those with a known truth) from their own arrivals, with the default search."""
+    p = quake_picks(spark, d).where("quake is not null")
+    arrivals = p.select(F.col("quake").alias("event_id"), F.col("pick_ord").alias("ord"), F.split_part("station_id", F.lit("."), F.lit(2)).alias("station"), F.lower("phase_type").alias("phase"), F.col("phase_time").alias("pick_time"), F.lit(1.0).alias("time_weight"), F.lit(0.1).alias("time_residual"), F.lit(0.1).alias("distance_deg"))
+    return locate.relocate(arrivals, quake_stations(spark), km=400.0).drop("arrivals")
 
 
 @query()
