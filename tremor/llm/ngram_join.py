@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from tremor.llm._blobs import SCHEMA, Gathered, buckets_for, by_bucket, scatter, shuffled, unpack
 from tremor.llm._text import as_bytes, batch_slices, column_shingles, mix, sorted_sets, to_signed
 from tremor.operators.components import connected_components
-from tremor.session import materialize, release, remove, small_batches
+from tremor.session import materialize, materialize_with, release, remove, small_batches
 
 #: Similarity as a fraction: 80 of 100.
 PERCENT, WIDTH = 80, 5
@@ -52,6 +52,8 @@ SLACK, ROW_COST, PAIR_COST = (1.0, 1.5, 2.0, 3.0), 1.0, 1.0
 BLOCK, BLOCK_SETS = 8 << 20, 10_000
 #: Spanning forests of open pairs that are verified at once, and how many times more in each round after the first.
 FORESTS, MORE = 8, 16
+#: Rows of two ids that are sent to every task (some 30 MB); more meet texts and bitmaps by a shuffle.
+SENT = 1 << 20
 #: A set that a task has met has no keys again; so many are remembered.
 SEEN = 200_000
 _SUBSETS, _DELETIONS, _SINGLE = 0, 1, 2
@@ -522,8 +524,9 @@ def components(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH, text
     met = materialize(met, "join-met")
     # One document stands for each set. Only sets that share a key with another go on, with their bitmaps and texts.
     classes = materialize(sets.groupBy("id").agg(F.min("doc").alias("rep_doc"), F.max("n").alias("n")), "join-classes")
-    wanted = materialize(met.select("id").distinct().join(classes, "id").select("id", F.col("rep_doc").alias("i"), "n"), "join-wanted")
-    bits = sets.select("id", F.col("doc").alias("i"), "bits").join(wanted.select("id", "i"), ["id", "i"])
+    wanted, seen = materialize_with(met.select("id").distinct().join(classes, "id").select("id", F.col("rep_doc").alias("i"), "n"), "join-wanted", F.count("*").alias("n"))
+    chosen = _sent(wanted.select("id", "i"), seen["n"])
+    bits = sets.select("id", F.col("doc").alias("i"), "bits").join(chosen, ["id", "i"])
     bits = materialize(bits.groupBy("id").agg(F.max("bits").alias("bits")).join(wanted.select("id", "n"), "id"), "join-bits")
     # From here on the sets are told by their names alone: what held their bitmaps and the counts of shingles goes.
     members = materialize(sets.select("doc", "id", "n"), "join-members")
@@ -537,7 +540,7 @@ def components(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH, text
     pairs = materialize(pairs.select("a", "b", "na", "nb", "ba", "bb").mapInArrow(_within(percent), "a long, b long, na int, nb int"), "join-pairs")
     remove(spark, keys)
     release(spark)
-    held = texts.join(wanted.select("id", "i"), "i").select("id", "t")
+    held = texts.join(chosen, "i").select("id", "t")
     if _any(_many_texts(members)):
         held = held.mapInArrow(_check_names(width, clashes), "id long, t binary")
     held = materialize(held.dropDuplicates(["id"]), "join-texts")
@@ -641,8 +644,8 @@ def _labelled(sets: DataFrame, bare: DataFrame, classes: DataFrame, reach: DataF
 def _verified(texts: DataFrame, pairs: DataFrame, percent: int, width: int) -> DataFrame:
     """``a, b, link`` of each pair, from the whole texts; only texts of these pairs move."""
     pairs = materialize(pairs.select("a", "b"), "join-asked")
-    wanted = materialize(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "join-ids")
-    texts = texts.join(wanted, "id", "left_semi")
+    wanted, seen = materialize_with(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "join-ids", F.count("*").alias("n"))
+    texts = texts.join(_sent(wanted, seen["n"]), "id", "left_semi")
     rows = pairs.join(texts.select(F.col("id").alias("b"), F.col("t").alias("tb")), "b")
     rows = rows.join(texts.select(F.col("id").alias("a"), F.col("t").alias("ta")), "a").select("a", "b", "ta", "tb")
     done = materialize(rows.mapInArrow(_verify(width, percent), "a long, b long, link boolean"), "join-done")
@@ -651,6 +654,11 @@ def _verified(texts: DataFrame, pairs: DataFrame, percent: int, width: int) -> D
     return done
 
 
+def _sent(ids: DataFrame, n: int) -> DataFrame:
+    """A table of so many ids, sent to every task while it is small, so that what it is met with needn't move."""
+    return F.broadcast(ids) if n <= SENT else ids
+
+
 def _any(df: DataFrame) -> bool:
     return df.limit(1).count() > 0
 
