@@ -203,6 +203,24 @@ def test_location_and_association_as_queries(spark):
     assert events["event"].nunique() == 2 and events.groupby("event").size().min() >= 20
 
 
+def test_a_large_cluster_is_searched_by_many_tasks(spark):
+    rng = np.random.default_rng(5)
+    quake = [r for r in two_quakes() if r[6] == 0]
+    base = 1704067200e6
+    rows = [(r[0], r[1], r[2], round(base + (1000 + r[3]) * 1e6), float(r[4]), float(r[5])) for r in quake for _ in range(6)]
+    sites = {r[1]: (float(r[4]), float(r[5])) for r in quake}
+    for t, k in zip(rng.uniform(0, 3000, 1500), rng.integers(0, 12, 1500), strict=True):
+        rows.append((0, f"XX.S{k:02d}", "P", round(base + t * 1e6), *sites[f"XX.S{k:02d}"]))
+    rows = [(i, *r[1:]) for i, r in enumerate(rows)]
+    df = frame(spark, [(c, *r) for c in (1, 2) for r in rows] + [(3, *r) for r in rows[:40]], "cluster_id long, pick_ord long, station_id string, phase_type string, us long, latitude double, longitude double")
+    df = df.withColumn("phase_time", F.timestamp_micros("us")).drop("us").withColumn("uncertainty", F.lit(0.1))
+    one, many = ({(r.cluster_id, r["pass"]): r for r in locate.locate_clusters(df, large=n).drop("arrivals").collect()} for n in (10**9, 1000))
+    assert one.keys() == many.keys() and one[3, 1] == many[3, 1]
+    for k in one:
+        assert float(vincenty_km([one[k].latitude], [one[k].longitude], [many[k].latitude], [many[k].longitude])[0]) < 2
+        assert float(vincenty_km([many[k].latitude], [many[k].longitude], [44.1], [3.1])[0]) < 4 and abs(one[k].origin_us - many[k].origin_us) < 1_000_000
+
+
 def test_association_takes_as_many_events_as_there_are():
     rows = [(r, k) for k in range(20) for r in two_quakes() if r[6] == 0]
     obs = pd.DataFrame({"pick_ord": range(len(rows)), "station_id": [r[1] for r, _ in rows], "phase_type": [r[2] for r, _ in rows], "us": [round((r[3] + 600 * k) * 1e6) for r, k in rows], "latitude": [r[4] for r, _ in rows], "longitude": [r[5] for r, _ in rows], "uncertainty": 0.1})
