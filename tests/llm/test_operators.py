@@ -282,6 +282,66 @@ def test_near_passages_behind_other_texts_are_found(spark, monkeypatch, reps):
     assert got["n_words"].min() >= 46 and (got["similarity"] >= 0.8).all() and (got["rep_doc_id"] < got["doc_id"]).all()
 
 
+@pytest.mark.parametrize("decoys", [0, 5, 20, 40])
+def test_near_passages_behind_many_texts_are_found(spark, decoys):
+    """One swapped word in passages of 90, behind so many texts that hold both halves (44 words each), more than REPS among them."""
+    rng = random.Random(78)
+    voc = [f"v{i}" for i in range(9000)]
+    words = lambda n: [rng.choice(voc) for _ in range(n)]
+    docs, want = [], []
+    for k in range(100):
+        p = words(90)
+        q = list(p)
+        q[rng.randrange(10, 80)] = "changed"
+        docs += [(100 * k + d, " ".join(words(20) + p[:44] + words(30) + p[46:] + words(20))) for d in range(decoys)]
+        docs += [(100 * k + 98, " ".join(words(50) + p + words(50))), (100 * k + 99, " ".join(words(50) + q + words(50)))]
+        want.append((100 * k + 98, 100 * k + 99))
+    got = {(r.rep_doc_id, r.doc_id) for r in substring.repeated_passages(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert len(got.intersection(want)) >= 98 and got <= set(want)
+
+
+@pytest.mark.parametrize("group", [substring.GROUP, 30])
+def test_near_passages_around_one_phrase_are_all_found(spark, monkeypatch, group):
+    """One phrase of 30 words in 200 texts; pairs of them share 60 words around it, one of which differs near either end."""
+    monkeypatch.setattr(substring, "GROUP", group)
+    rng = random.Random(79)
+    voc = [f"v{i}" for i in range(9000)]
+    words = lambda n: [rng.choice(voc) for _ in range(n)]
+    phrase, docs, want = words(30), [], set()
+    for k in range(100):
+        before, after = words(30), words(30)
+        near = ["changed" if i == 14 else w for i, w in enumerate(before)], ["changed" if i == 15 else w for i, w in enumerate(after)]
+        docs += [(k, " ".join(words(50) + before + phrase + after + words(50))), (100 + k, " ".join(words(50) + near[0] + phrase + near[1] + words(50)))]
+        want.add((k, 100 + k))
+    got = {(r.rep_doc_id, r.doc_id) for r in substring.repeated_passages(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == want
+
+
+def test_representatives_against_all_pairs(monkeypatch):
+    monkeypatch.setattr(substring, "TRY", 16)
+    monkeypatch.setattr(substring, "AGAINST", 50)
+    rng = np.random.default_rng(5)
+    sketch = rng.integers(1, 256, (60, substring._SPAN)).astype(np.uint8)
+    sketch = sketch[rng.integers(0, 60, 400)]
+    for row in sketch:  # edits, shifts and ends of texts
+        at = rng.integers(0, 80, 2)
+        row[at[0] : at[0] + 5] = rng.integers(1, 256, 5)
+        if rng.random() < 0.4:
+            row[at[1] :] = np.roll(row[at[1] :], 2)
+        if rng.random() < 0.2:
+            row[: rng.integers(0, 40)] = 0
+    all_ = np.array([substring.fits(np.repeat(x[None], len(sketch), axis=0), sketch) for x in sketch])
+    x, y = substring.meet(sketch, sketch)
+    assert set(zip(x.tolist(), y.tolist(), strict=True)) == set(map(tuple, np.argwhere(all_).tolist()))
+    group = np.sort(rng.integers(0, 3, 400))
+    lead, x, y = substring.represented(group, sketch)
+    together = all_ & (group[:, None] == group[None])
+    assert lead.sum() > 3 * substring.REPS and not (together[np.ix_(lead, lead)] & ~np.eye(lead.sum(), dtype=bool)).any()
+    # Every other row goes by one, the first that it fits.
+    by = dict(zip(y.tolist(), x.tolist(), strict=True))
+    assert by == {b: np.flatnonzero(together[b] & lead)[0] for b in np.flatnonzero(~lead)} and len(x) == (~lead).sum()
+
+
 def test_passages_of_copies_repeats_and_long_texts(spark):
     rng = random.Random(78)
     voc = [f"v{i}" for i in range(9000)]
